@@ -56,10 +56,17 @@ def is_truthy(c: Column | str) -> Column:
 
 # -- text ----------------------------------------------------------------------
 
+# Whitespace a Python ``str.strip()`` removes (the reference strips with it),
+# derived from the Unicode database rather than listed by hand.
+UNICODE_SPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+# Whitespace a number parser skips around a number.
+ASCII_SPACE = " \t\n\r\f\v"
+
+
 def strip(c: Column | str) -> Column:
-    """Remove all Unicode whitespace at both ends (``trim`` only removes
-    spaces)."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    """Remove all Unicode whitespace at both ends (``trim`` with a
+    character set: no regex, stays in codegen)."""
+    return F.trim(_c(c), F.lit(UNICODE_SPACE))
 
 
 def strip_blank_null(c: Column | str) -> Column:
@@ -92,32 +99,33 @@ def inventory_kind_label(c: Column | str) -> Column:
 
 # -- coercion ------------------------------------------------------------------
 
-def _ascii_strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+_NUMBER_CHARS = "0123456789+-.eE" + ASCII_SPACE
+_INF_WORDS = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
 
 
 def to_float(c: Column | str) -> Column:
     """Text -> double.  Junk and empty give NULL, ``nan`` gives NULL,
-    ``inf``/``infinity`` are kept.  Suffixes Spark would accept (``5d``,
-    ``5f``) are rejected by the pattern guard."""
+    ``inf``/``infinity`` are kept.  Spark's own cast also accepts ``5d``/``5f``
+    suffixes and hex floats, so a value is only cast when it is made of
+    number characters (a ``translate``, no regex) or is an infinity word."""
     x = _c(c).cast("string")
-    t = _ascii_strip(x)
-    inf = F.regexp_extract(x, INF_PATTERN, 1)
-    return (
-        F.when(x.rlike(NUMBER_PATTERN), t.try_cast("double"))
-        .when(x.rlike(INF_PATTERN),
-              F.when(inf == F.lit("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
-    )
+    only_number_chars = (F.translate(x, _NUMBER_CHARS, "") == F.lit("")) & (x != F.lit(""))
+    inf_word = F.lower(F.trim(x, F.lit(ASCII_SPACE))).isin(*_INF_WORDS)
+    return F.when(only_number_chars | inf_word, x.try_cast("double"))
 
 
 def to_int(c: Column | str) -> Column:
     """Text -> bigint.  Accepts what a float parser accepts
     (``' 12 '``, ``'+7'``, ``'1e3'``, ``'1.0'``), exactly (no detour via double,
     so 2^53+1 survives).  Fractional, infinite, NaN or out-of-range values give
-    NULL (see :func:`int_reject` to count them)."""
+    NULL (see :func:`int_reject` to count them).
+
+    Fast path: Spark's integer cast takes plain (signed, padded) integers; only
+    other spellings go through the pattern check and an exact decimal."""
     x = _c(c).cast("string")
-    d = _ascii_strip(x).try_cast("decimal(38,18)")
-    return F.when(x.rlike(NUMBER_PATTERN) & (d == F.floor(d)), d.try_cast("bigint"))
+    d = F.trim(x, F.lit(ASCII_SPACE)).try_cast("decimal(38,18)")
+    slow = F.when(x.rlike(NUMBER_PATTERN) & (d == F.floor(d)), d.try_cast("bigint"))
+    return F.coalesce(x.try_cast("bigint"), slow)
 
 
 def int_reject(c: Column | str) -> Column:
@@ -131,7 +139,7 @@ def int_reject(c: Column | str) -> Column:
 
 def to_bool(c: Column | str) -> Column:
     """Tri-state boolean from text."""
-    u = F.upper(strip(_c(c).cast("string")))
+    u = F.upper(strip(_c(c).cast("string")))  # no regex: trim + upper + isin
     return (F.when(u.isin(*TRUE_WORDS), F.lit(True))
             .when(u.isin(*FALSE_WORDS), F.lit(False))
             .otherwise(F.lit(None).cast("boolean")))

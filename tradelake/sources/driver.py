@@ -745,7 +745,16 @@ def frame_sql(source: str, path: str, naming=lambda t: t) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table.  A table stored as a single unsplittable row
+    group scans in one task, which would put all narrow work after it (landing
+    expressions, coercion) on one core; only in that case spread the rows
+    round-robin over the session's parallelism.  Inputs of many files/row
+    groups (any real cluster) already yield enough splits and skip this."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores and name not in ("nation", "region"):
+        df = df.repartition(cores)
+    return df
 
 
 def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
