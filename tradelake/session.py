@@ -24,12 +24,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; only when the cluster names none (local
-    tests) set a scratch directory of our own."""
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.  Only
+    when none is configured (local tests) a scratch directory of our own is
+    used; it is remembered in the session conf so every caller agrees."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or \
+        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="tradelake-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+        spark.conf.set("spark.checkpoint.dir", d)
+    return d
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Make ``DataFrame.checkpoint()`` write under :func:`checkpoint_root` and
+    return the root (stable across restarts, unlike the per-context subdir)."""
+    root = checkpoint_root(spark)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root

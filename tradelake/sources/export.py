@@ -35,11 +35,11 @@ class Frame:
 def ref_width(refs: tuple[str, ...], depth: int) -> int:
     """Number of leading ref columns that identify a row at ``depth``.
 
-    Ref columns are named ``_ord`` (depth 0) and ``_p{k}`` / ``_p{k}_<x>``
-    (depth k; a level may use several columns for its position)."""
+    Ref columns are named ``_ord`` / ``_ord_<x>`` (depth 0) and ``_p{k}`` /
+    ``_p{k}_<x>`` (depth k); a level may use several columns for its position."""
     n = 0
     for r in refs:
-        lvl = 0 if r == "_ord" else int(r[2:].split("_")[0])
+        lvl = 0 if r.startswith("_ord") else int(r[2:].split("_")[0])
         if lvl <= depth:
             n += 1
     return n
