@@ -12,6 +12,8 @@ so a restarted or retried run never refreshes from the same export twice.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.build import build_with_refs, output_columns
@@ -23,9 +25,12 @@ from ..sources.sinks import write_table
 
 
 def refresh_on_landing(spark: SparkSession, source: str, landing: str, out_root: str,
-                       *, available_now: bool = True, on_empty: str = "keep"):
+                       *, available_now: bool = True, on_empty: str = "keep",
+                       checkpoint: str | None = None):
     """Start the refresh stream for ``source``; returns the StreamingQuery."""
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{source}"
+    # one stream = (export, landing directory): its file log lives with it
+    key = hashlib.sha1(landing.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{source}-{key}"
     stream = (spark.readStream.schema(line_schema(source))
               .option("maxFilesPerTrigger", 1000).json(landing))
 
