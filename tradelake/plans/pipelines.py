@@ -16,7 +16,7 @@
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import SparkSession
 
@@ -36,7 +36,8 @@ def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
         docs = jsonsrc.date_window(docs, date_column, as_of)
     if docs.isEmpty():                                   # S6: no records, no writes
         return {}
-    bronze = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze/{source}/{uuid.uuid4().hex}"
+    key = hashlib.sha1(landing.rstrip("/").encode()).hexdigest()[:16]
+    bronze = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze/{source}-{key}"
     docs.write.mode("overwrite").parquet(bronze)
     export = jsonsrc.flatten(source, spark.read.parquet(bronze))
 
