@@ -158,3 +158,12 @@ def test_empty_child_table_has_schema(spark, tmpdir_path):
     exp = land_json(spark, "order", write_lines(os.path.join(tmpdir_path, "o"), docs))
     df = table(exp, "order_product_details")
     assert df.count() == 0 and df.columns[:2] == ["deal_id", "product_unit_id"]
+
+
+def test_rejects_counted_not_fatal(spark, tmpdir_path):
+    from tradelake.plans.build import rejects
+    exp = land_json(spark, "order", write_lines(os.path.join(tmpdir_path, "r"), ORDERS))
+    got = {r["column"]: r["n_rejects"] for r in rejects(exp, "orders").collect()}
+    assert got["deal_id"] == 1 and got["room_id"] == 0          # "12.5"
+    got = {r["column"]: r["n_rejects"] for r in rejects(exp, "order_products").collect()}
+    assert got == {"product_unit_id": 0, "price_type_id": 1}   # "1.5"

@@ -96,3 +96,10 @@ def test_streaming_refresh_available_now(spark, tmpdir_path):
     refresh_on_landing(spark, "logistics", land, out).awaitTermination(120)
     ids = sorted(r.logistics_id for r in spark.read.parquet(os.path.join(out, "logistics")).collect())
     assert ids == [8, 9]
+
+
+def test_strict_run_refuses_fractional_ids(spark, tmpdir_path):
+    import pytest
+    land = write_lines(os.path.join(tmpdir_path, "s"), [{"_ord": 1, "logistics_id": "1.5"}])
+    with pytest.raises(ValueError, match="logistics_id"):
+        pipelines.run(spark, "logistics", land, os.path.join(tmpdir_path, "o"), strict=True)

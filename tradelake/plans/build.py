@@ -126,3 +126,23 @@ def table(export: Export, name: str, memo=None) -> DataFrame:
     """Table ``name`` as written: business columns only, in reference order."""
     df, _ = build_with_refs(export, name, memo)
     return df.select(*output_columns(name))
+
+
+def rejects(export: Export, name: str) -> DataFrame:
+    """Per integer column of table ``name``, how many input values looked
+    numeric but could not become a bigint (fraction, infinity, overflow).  The
+    reference aborts the whole run on the first such value; we keep NULL in
+    the table and report the count.  One aggregate over the table's frame, no
+    collect; callers decide (``strict`` runs raise on a non-zero count)."""
+    spec = SPEC_BY_NAME[name]
+    ints = [c for c in spec.typed("long") if c not in spec.inherited]
+    if spec.first_of:
+        ints = [c for c in ints if c != spec.first_of[1]]
+    raw = export.frame(spec.path).df
+    aggs = [F.sum(C.int_reject(_field(raw, c)).cast("long")).alias(c) for c in ints]
+    if not aggs:
+        return raw.sparkSession.createDataFrame([], "table string, column string, n_rejects long")
+    wide = raw.agg(*aggs)
+    stack = ", ".join(f"'{c}', coalesce(`{c}`, 0L)" for c in ints)
+    return wide.selectExpr(f"'{name}' AS table",
+                           f"stack({len(ints)}, {stack}) AS (column, n_rejects)")

@@ -23,13 +23,14 @@ from pyspark.sql import SparkSession
 from ..session import ensure_checkpoint_dir
 from ..sources import jsonsrc
 from ..sources.sinks import write_csv_copy, write_table
-from .build import build_with_refs, output_columns
+from .build import build_with_refs, output_columns, rejects
 from .specs import JOB_GROUPS, PIPELINES, SPEC_BY_NAME, SPECS
 
 
 def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
         envelope: bool = False, as_of: str | None = None, date_column: str | None = None,
-        csv_root: str | None = None, on_empty: str = "keep") -> dict[str, bool]:
+        csv_root: str | None = None, on_empty: str = "keep",
+        strict: bool = False) -> dict[str, bool]:
     docs = (jsonsrc.read_envelopes(spark, source, landing) if envelope
             else jsonsrc.read_lines(spark, source, landing))
     if as_of and date_column:
@@ -41,6 +42,13 @@ def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
     docs.write.mode("overwrite").parquet(bronze)
     export = jsonsrc.flatten(source, spark.read.parquet(bronze))
 
+    if strict:                       # D2 as the reference: refuse input it cannot type
+        for name in PIPELINES[source]:
+            bad = rejects(export, name).where("n_rejects > 0").limit(1).collect()
+            if bad:
+                raise ValueError(f"{name}.{bad[0]['column']}: {bad[0]['n_rejects']} values "
+                                 f"are not integers")
+
     memo: dict = {}
     parents = {s.parent for s in SPECS if s.source == source and s.parent}
     for s in SPECS:                                      # specs are parent-first

@@ -751,10 +751,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     round-robin over the session's parallelism.  Inputs of many files/row
     groups (any real cluster) already yield enough splits and skip this."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and name not in ("nation", "region"):
-        df = df.repartition(cores)
-    return df
+    if name in ("nation", "region"):                 # fixed-size dimensions
+        return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()           # plans the scan, runs no job
+    except Exception:                                # e.g. a Connect session: no RDD API
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
