@@ -758,7 +758,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         splits = df.rdd.getNumPartitions()           # plans the scan, runs no job
     except Exception:                                # e.g. a Connect session: no RDD API
         return df
-    return df.repartition(cores) if splits < cores else df
+    if splits >= cores:
+        return df
+    # Hash on every column: deterministic on retry without the local sort a
+    # round-robin repartition needs, and no key skew (rows differ somewhere).
+    return df.repartition(cores, *df.columns)
 
 
 def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
