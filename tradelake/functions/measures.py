@@ -106,14 +106,12 @@ def top_branches(orders: DataFrame, k: int = 10) -> DataFrame:
 
 
 def contribution(orders: DataFrame) -> DataFrame:
-    """D9m: each branch's share of total sales.  The grand total is a one-row
-    aggregate joined by broadcast (its size is one row by construction)."""
+    """D9m: each branch's share of total sales.  The grand total is a scalar
+    subquery (one row, computed once and inlined), so no join is needed."""
     agg = orders.groupBy("filial_code").agg(F.sum(_money()).alias("sales"))
-    grand = orders.agg(F.sum(_money()).alias("grand")).withColumn("_k", F.lit(1))
-    j = agg.withColumn("_k", F.lit(1)).join(F.broadcast(grand), "_k")
-    return j.select("filial_code", F.col("sales").cast("double").alias("total_sales"),
-                    (F.col("sales").cast("double") / F.col("grand").cast("double"))
-                    .alias("share"))
+    grand = orders.agg(F.sum(_money()).cast("double").alias("grand")).scalar()
+    return agg.select("filial_code", F.col("sales").cast("double").alias("total_sales"),
+                      (F.col("sales").cast("double") / grand).alias("share"))
 
 
 def moving_average(orders: DataFrame, months: int = 3) -> DataFrame:
