@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF_SMALL
 from tradelake.operators.dedup import keep_first
-from tradelake.plans.build import table
+from tradelake.plans.build import build_with_refs, table
 from tradelake.sources.driver import land
 
 import __spark_entry__ as E
@@ -38,7 +38,7 @@ def test_dedup_idempotent_and_order_independent(spark):
     a = table(exp, "order_products")
     ref = sorted(map(tuple, a.collect()), key=repr)
     # keep-first again on its own output changes nothing
-    df, refs = __import__("tradelake.plans.build", fromlist=["x"]).build_with_refs(exp, "order_products")
+    df, refs = build_with_refs(exp, "order_products")
     again = keep_first(df, ["deal_id", "product_unit_id", "external_id"], refs)
     assert sorted(map(tuple, again.drop(*refs).collect()), key=repr) == ref
     # shuffling the input rows does not change the output (order comes from refs)
