@@ -109,7 +109,9 @@ def contribution(orders: DataFrame) -> DataFrame:
     """D9m: each branch's share of total sales.  The grand total is a scalar
     subquery (one row, computed once and inlined), so no join is needed."""
     agg = orders.groupBy("filial_code").agg(F.sum(_money()).alias("sales"))
-    grand = orders.agg(F.sum(_money()).cast("double").alias("grand")).scalar()
+    # total of the (exact decimal) branch sums: same subtree as `agg`, so the
+    # orders pipeline and its shuffles are shared instead of run twice
+    grand = agg.agg(F.sum("sales").cast("double").alias("grand")).scalar()
     return agg.select("filial_code", F.col("sales").cast("double").alias("total_sales"),
                       (F.col("sales").cast("double") / grand).alias("share"))
 
