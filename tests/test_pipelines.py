@@ -103,3 +103,11 @@ def test_strict_run_refuses_fractional_ids(spark, tmpdir_path):
     land = write_lines(os.path.join(tmpdir_path, "s"), [{"_ord": 1, "logistics_id": "1.5"}])
     with pytest.raises(ValueError, match="logistics_id"):
         pipelines.run(spark, "logistics", land, os.path.join(tmpdir_path, "o"), strict=True)
+
+
+def test_cli_run(spark, tmpdir_path):
+    from tradelake.__main__ import main
+    land = write_lines(os.path.join(tmpdir_path, "cli"), LOGISTICS)
+    out = os.path.join(tmpdir_path, "cli-out")
+    main(["run", "--source", "logistics", "--landing", land, "--out", out])
+    assert spark.read.parquet(os.path.join(out, "logistics")).count() == 1
