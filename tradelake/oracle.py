@@ -16,7 +16,7 @@ from .sources.driver import FRAMES, frame_sql
 from .sources.export import path_depth, ref_width
 
 _NUM = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-_INF = r"^\s*[+-]?(inf|infinity)\s*$"
+_INF = r"^[+-]?(inf|infinity)$"
 
 
 def _q(words) -> str:
@@ -29,14 +29,19 @@ def _strip(x: str) -> str:
 
 def _int(x: str) -> str:
     d = f"TRY_CAST({_strip(x)} AS DECIMAL(38,18))"
-    return (f"(CASE WHEN regexp_full_match({x}, '{_NUM}') AND {d} = floor({d}) "
-            f"THEN TRY_CAST({d} AS BIGINT) END)")
+    v = f"TRY_CAST({_strip(x)} AS DOUBLE)"
+    return (f"(CASE WHEN NOT regexp_full_match({x}, '{_NUM}') THEN NULL "
+            f"WHEN {d} IS NOT NULL THEN (CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS BIGINT) END) "
+            f"WHEN isfinite({v}) AND {v} = floor({v}) AND abs({v}) < 9223372036854775807 "
+            f"THEN TRY_CAST({v} AS BIGINT) END)")
 
 
 def _float(x: str) -> str:
-    return (f"(CASE WHEN regexp_full_match({x}, '{_NUM}') THEN TRY_CAST({_strip(x)} AS DOUBLE) "
+    v = f"TRY_CAST({_strip(x)} AS DOUBLE)"
+    return (f"(CASE WHEN regexp_full_match({x}, '{_NUM}') THEN "
+            f"(CASE WHEN isfinite({v}) THEN {v} END) "
             f"WHEN regexp_full_match(lower({x}), '{_INF}') THEN "
-            f"(CASE WHEN {_strip(x)} LIKE '-%' THEN CAST('-inf' AS DOUBLE) "
+            f"(CASE WHEN {x} LIKE '-%' THEN CAST('-inf' AS DOUBLE) "
             f"ELSE CAST('inf' AS DOUBLE) END) END)")
 
 

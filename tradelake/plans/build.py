@@ -29,8 +29,11 @@ from ..sources.export import Export, path_depth, ref_width
 from .specs import SPEC_BY_NAME, TableSpec
 
 
-def _field(df: DataFrame, name: str):
-    return F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name)
+def _field(df: DataFrame, name: str, have: set[str] | None = None):
+    """Column ``name``, or a NULL text column when the export lacks it.
+    Pass ``have`` (the frame's column names) when asking for many fields."""
+    have = set(df.columns) if have is None else have
+    return F.col(name) if name in have else F.lit(None).cast("string").alias(name)
 
 
 def _first_element(export: Export, depth_refs: tuple[str, ...], child_path: str,
@@ -60,7 +63,8 @@ def build_with_refs(export: Export, name: str,
     raw = fr.df
 
     fields = [f for f in spec.read_fields if not (spec.first_of and f == spec.first_of[1])]
-    df = raw.select(*refs, *[_field(raw, f) for f in fields if f not in spec.inherited])
+    have = set(raw.columns)
+    df = raw.select(*refs, *[_field(raw, f, have) for f in fields if f not in spec.inherited])
 
     if spec.first_of:
         child_path, fname = spec.first_of
@@ -139,7 +143,10 @@ def rejects(export: Export, name: str) -> DataFrame:
     if spec.first_of:
         ints = [c for c in ints if c != spec.first_of[1]]
     raw = export.frame(spec.path).df
-    aggs = [F.sum(C.int_reject(_field(raw, c)).cast("long")).alias(c) for c in ints]
+    have = set(raw.columns)
+    # a field the export lacks is all NULL, which is never a reject
+    aggs = [(F.sum(C.int_reject(c).cast("long")) if c in have else F.lit(0).cast("long")).alias(c)
+            for c in ints]
     if not aggs:
         return raw.sparkSession.createDataFrame([], "table string, column string, n_rejects long")
     wide = raw.agg(*aggs)

@@ -20,7 +20,7 @@ import hashlib
 
 from pyspark.sql import SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, tune_session
 from ..sources import jsonsrc
 from ..sources.sinks import write_csv_copy, write_table
 from .build import build_with_refs, output_columns, rejects
@@ -31,6 +31,7 @@ def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
         envelope: bool = False, as_of: str | None = None, date_column: str | None = None,
         csv_root: str | None = None, on_empty: str = "keep",
         strict: bool = False) -> dict[str, bool]:
+    tune_session(spark)
     docs = (jsonsrc.read_envelopes(spark, source, landing) if envelope
             else jsonsrc.read_lines(spark, source, landing))
     if as_of and date_column:

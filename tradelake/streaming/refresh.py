@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.build import build_with_refs, output_columns
 from ..plans.specs import PIPELINES
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, tune_session
 from ..sources import jsonsrc
 from ..sources.registry import line_schema
 from ..sources.sinks import write_table
@@ -28,6 +28,7 @@ def refresh_on_landing(spark: SparkSession, source: str, landing: str, out_root:
                        *, available_now: bool = True, on_empty: str = "keep",
                        checkpoint: str | None = None):
     """Start the refresh stream for ``source``; returns the StreamingQuery."""
+    tune_session(spark)
     # one stream = (export, landing directory): its file log lives with it
     key = hashlib.sha1(landing.rstrip("/").encode()).hexdigest()[:16]
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{source}-{key}"
