@@ -4,7 +4,8 @@
 
 1. read the landed export with its declared schema (JSON Lines or envelopes),
    optionally restricted to a date window (S5);
-2. stop when the export is empty (S6) — nothing is replaced;
+2. stop when the export is empty (S6) — nothing is replaced (steps 2-5 are
+   :func:`refresh`, shared with the landing stream);
 3. write the nested documents once to a bronze Parquet copy under the
    cluster's checkpoint directory, so the export is parsed once and every
    table reads only the nested columns it needs (nested schema pruning);
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, tune_session
 from ..sources import jsonsrc
@@ -36,9 +37,20 @@ def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
             else jsonsrc.read_lines(spark, source, landing))
     if as_of and date_column:
         docs = jsonsrc.date_window(docs, date_column, as_of)
+    return refresh(spark, source, docs, out_root, bronze_key=landing, csv_root=csv_root,
+                   on_empty=on_empty, strict=strict)
+
+
+def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
+            bronze_key: str, csv_root: str | None = None, on_empty: str = "keep",
+            strict: bool = False) -> dict[str, bool]:
+    """Steps 2-5 for one export's documents ``docs`` (a batch read or one
+    micro-batch of the landing stream).  ``bronze_key`` names the bronze copy
+    (landing directory, plus the batch for a stream), so a retried run
+    overwrites its own copy only."""
     if docs.isEmpty():                                   # S6: no records, no writes
         return {}
-    key = hashlib.sha1(landing.rstrip("/").encode()).hexdigest()[:16]
+    key = hashlib.sha1(bronze_key.rstrip("/").encode()).hexdigest()[:16]
     bronze = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze/{source}-{key}"
     docs.write.mode("overwrite").parquet(bronze)
     export = jsonsrc.flatten(source, spark.read.parquet(bronze))

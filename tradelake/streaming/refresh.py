@@ -4,8 +4,10 @@ The reference refreshes every table from the newest export on a daily
 schedule.  Spark-native form: a file-stream source watches
 ``{landing}/{source}`` (declared schema, JSON Lines); each micro-batch of newly
 landed files is one export, and ``foreachBatch`` runs the full table refresh
-for it.  ``trigger(availableNow=True)`` processes what has landed and stops,
-so a scheduler (or a human) can start it daily; the stream checkpoint
+for it through the same :func:`~tradelake.plans.pipelines.refresh` as a batch
+run (bronze copy, checkpointed parents).  ``trigger(availableNow=True)``
+processes what has landed and stops, so a scheduler (or a human) can start it
+daily; the stream checkpoint
 (under ``spark.checkpoint.dir``) records which files were already processed,
 so a restarted or retried run never refreshes from the same export twice.
 """
@@ -16,12 +18,9 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.build import build_with_refs, output_columns
-from ..plans.specs import PIPELINES
+from ..plans import pipelines
 from ..session import ensure_checkpoint_dir, tune_session
-from ..sources import jsonsrc
 from ..sources.registry import line_schema
-from ..sources.sinks import write_table
 
 
 def refresh_on_landing(spark: SparkSession, source: str, landing: str, out_root: str,
@@ -35,17 +34,11 @@ def refresh_on_landing(spark: SparkSession, source: str, landing: str, out_root:
     stream = (spark.readStream.schema(line_schema(source))
               .option("maxFilesPerTrigger", 1000).json(landing))
 
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        export = jsonsrc.flatten(source, batch.persist())
-        memo: dict = {}
-        for name in PIPELINES[source]:
-            df, _ = build_with_refs(export, name, memo)
-            write_table(df.select(*output_columns(name)), f"{out_root.rstrip('/')}/{name}",
-                        on_empty=on_empty)
-        batch.unpersist()
-
-    w = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", ckpt)
+    def refresh_batch(batch: DataFrame, batch_id: int) -> None:
+        # same path as a batch run: bronze copy, checkpointed parents, writes
+        pipelines.refresh(batch.sparkSession, source, batch, out_root,
+                          bronze_key=f"{landing.rstrip('/')}#stream", on_empty=on_empty)
+
+    w = stream.writeStream.foreachBatch(refresh_batch).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 day")
     return w.start()
