@@ -90,3 +90,28 @@ def test_tune_session_keeps_explicit_settings(spark):
         assert spark.conf.get(key) == SESSION_DEFAULTS[key]
     finally:
         spark.conf.unset(key)
+
+
+# -- text rules against the Python string methods the reference applies --------
+
+SPACES = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0    　"
+WORDS = st.sampled_from(["1", "0", "true", "False", "T", "f", "yes", "NO", "Y", "N", "1.0",
+                         "None", "tRuE", "", "x"])
+PADDED = st.builds(lambda a, w, b: a + w + b, st.text(alphabet=SPACES, max_size=3), WORDS,
+                   st.text(alphabet=SPACES, max_size=3))
+
+
+def _py_bool(v):
+    u = str(v).strip().upper()                 # the reference's rule, NULL -> "None"
+    return True if u in ("1", "TRUE", "T", "YES") else False if u in ("0", "FALSE", "F", "NO") \
+        else None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(values=st.lists(st.one_of(PADDED, st.none()), min_size=50, max_size=200))
+def test_bool_and_strip_match_python(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = df.orderBy("i").select(C.to_bool("v"), C.strip("v")).collect()
+    for v, (b, s) in zip(values, got):
+        assert b == _py_bool(v), (v, b)
+        assert s == (None if v is None else v.strip()), (v, s)
