@@ -775,15 +775,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
-    """Export ``source`` derived from the driver tables under ``sf_dir``."""
+    """Export ``source`` derived from the driver tables under ``sf_dir``.
+    Frames are defined on first use; each driver table is read once."""
     exp = Export(source)
     cache: dict[str, DataFrame] = {}
-    for path, fd in FRAMES[source].items():
+
+    def make(fd: FrameDef) -> Frame:
         sql = fd.sql()
         dfs = {}
         for t in tables_of(sql):
             if t not in cache:
                 cache[t] = read_table(spark, sf_dir, t)
             dfs[t] = cache[t]
-        exp.frames[path] = Frame(spark.sql(sql, **dfs), fd.refs)
+        return Frame(spark.sql(sql, **dfs), fd.refs)
+
+    for path, fd in FRAMES[source].items():
+        exp.frames.defer(path, lambda fd=fd: make(fd))
     return exp

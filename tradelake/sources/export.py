@@ -17,6 +17,7 @@ ever groups an unbounded list into one row.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, MutableMapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -49,11 +50,44 @@ def path_depth(path: str) -> int:
     return 0 if path == "" else path.count(".") + 1
 
 
+class FrameMap(MutableMapping):
+    """Frames by nesting path.  A frame may be registered as a factory
+    (:meth:`defer`) and is then built on first use, so a query that needs two
+    of an export's fifteen paths only defines (and analyses) those two."""
+
+    def __init__(self) -> None:
+        self._built: dict[str, Frame] = {}
+        self._pending: dict[str, Callable[[], Frame]] = {}
+
+    def defer(self, path: str, make: Callable[[], Frame]) -> None:
+        self._built.pop(path, None)
+        self._pending[path] = make
+
+    def __getitem__(self, path: str) -> Frame:
+        if path not in self._built:
+            self._built[path] = self._pending.pop(path)()      # KeyError when unknown
+        return self._built[path]
+
+    def __setitem__(self, path: str, fr: Frame) -> None:
+        self._pending.pop(path, None)
+        self._built[path] = fr
+
+    def __delitem__(self, path: str) -> None:
+        if self._built.pop(path, None) is None:
+            del self._pending[path]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter([*self._built, *self._pending])
+
+    def __len__(self) -> int:
+        return len(self._built) + len(self._pending)
+
+
 @dataclass
 class Export:
     """All frames of one export, keyed by nesting path."""
     name: str
-    frames: dict[str, Frame] = field(default_factory=dict)
+    frames: FrameMap = field(default_factory=FrameMap)
 
     def frame(self, path: str) -> Frame:
         try:
