@@ -98,6 +98,22 @@ def test_streaming_refresh_available_now(spark, tmpdir_path):
     assert ids == [8, 9]
 
 
+def test_streaming_refresh_takes_newest_export_directory(spark, tmpdir_path):
+    """Two exports landed (one directory each) before a run: the tables are
+    refreshed from the newer one only, never from a union of both."""
+    land = os.path.join(tmpdir_path, "stream-dirs")
+    write_lines(os.path.join(land, "export=20260101"),
+                [{"_ord": 1, "logistics_id": "1"}, {"_ord": 2, "logistics_id": "2"}])
+    write_lines(os.path.join(land, "export=20260102"),
+                [{"_ord": 1, "logistics_id": "3"}], "part-0.json")
+    write_lines(os.path.join(land, "export=20260102"),
+                [{"_ord": 2, "logistics_id": "4"}], "part-1.json")
+    out = os.path.join(tmpdir_path, "out")
+    refresh_on_landing(spark, "logistics", land, out).awaitTermination(120)
+    ids = sorted(r.logistics_id for r in spark.read.parquet(os.path.join(out, "logistics")).collect())
+    assert ids == [3, 4]
+
+
 def test_strict_run_refuses_fractional_ids(spark, tmpdir_path):
     import pytest
     land = write_lines(os.path.join(tmpdir_path, "s"), [{"_ord": 1, "logistics_id": "1.5"}])

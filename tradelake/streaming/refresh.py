@@ -2,14 +2,22 @@
 
 The reference refreshes every table from the newest export on a daily
 schedule.  Spark-native form: a file-stream source watches
-``{landing}/{source}`` (declared schema, JSON Lines); each micro-batch of newly
-landed files is one export, and ``foreachBatch`` runs the full table refresh
-for it through the same :func:`~tradelake.plans.pipelines.refresh` as a batch
-run (bronze copy, checkpointed parents).  ``trigger(availableNow=True)``
-processes what has landed and stops, so a scheduler (or a human) can start it
-daily; the stream checkpoint
-(under ``spark.checkpoint.dir``) records which files were already processed,
-so a restarted or retried run never refreshes from the same export twice.
+``{landing}/{source}`` (declared schema, JSON Lines).  Each run takes every
+file landed since the previous run as one micro-batch (no per-trigger file
+cap, so a large export is never split over batches that would each replace
+the tables), and ``foreachBatch`` runs the full table refresh for it through
+the same :func:`~tradelake.plans.pipelines.refresh` as a batch run (bronze
+copy, checkpointed parents).
+
+Exports may land flat or one directory per export (``export=<sortable id>``,
+discovered as a partition column).  With directories, a run that finds
+several new exports refreshes from the newest only, as the scheduled full
+refresh would have; the older ones are superseded.
+
+``trigger(availableNow=True)`` processes what has landed and stops, so a
+scheduler (or a human) can start it daily; the stream checkpoint (under
+``spark.checkpoint.dir``) records which files were already processed, so a
+restarted or retried run never refreshes from the same export twice.
 """
 
 from __future__ import annotations
@@ -17,11 +25,16 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..plans import pipelines
 from ..session import ensure_checkpoint_dir, tune_session
 from ..sources.registry import line_schema
 
+# Partition column of a landing with one directory per export (export=<id>).
+EXPORT_COLUMN = "export"
+
 
 def refresh_on_landing(spark: SparkSession, source: str, landing: str, out_root: str,
                        *, available_now: bool = True, on_empty: str = "keep",
@@ -31,12 +44,15 @@ def refresh_on_landing(spark: SparkSession, source: str, landing: str, out_root:
     # one stream = (export, landing directory): its file log lives with it
     key = hashlib.sha1(landing.rstrip("/").encode()).hexdigest()[:16]
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{source}-{key}"
-    stream = (spark.readStream.schema(line_schema(source))
-              .option("maxFilesPerTrigger", 1000).json(landing))
+    schema = line_schema(source).add(EXPORT_COLUMN, StringType())
+    stream = spark.readStream.schema(schema).json(landing)
 
     def refresh_batch(batch: DataFrame, batch_id: int) -> None:
+        # newest export of the batch (one aggregate row); NULL for a flat landing
+        newest = batch.agg(F.max(EXPORT_COLUMN)).first()[0]
+        docs = batch if newest is None else batch.where(F.col(EXPORT_COLUMN) == newest)
         # same path as a batch run: bronze copy, checkpointed parents, writes
-        pipelines.refresh(batch.sparkSession, source, batch, out_root,
+        pipelines.refresh(batch.sparkSession, source, docs.drop(EXPORT_COLUMN), out_root,
                           bronze_key=f"{landing.rstrip('/')}#stream", on_empty=on_empty)
 
     w = stream.writeStream.foreachBatch(refresh_batch).option("checkpointLocation", ckpt)
