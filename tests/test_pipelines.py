@@ -127,3 +127,24 @@ def test_cli_run(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "cli-out")
     main(["run", "--source", "logistics", "--landing", land, "--out", out])
     assert spark.read.parquet(os.path.join(out, "logistics")).count() == 1
+
+
+def test_measures_from_written_tables(spark, tmpdir_path):
+    """The measures job reads the tables a pipeline run wrote and gives the
+    same rows as the measures over the tables in memory."""
+    from conftest import SF_SMALL
+    from tradelake.__main__ import main
+    from tradelake.functions.measures import MEASURES
+    from tradelake.sources.driver import land
+    tables = os.path.join(tmpdir_path, "tables")
+    orders = table(land(spark, SF_SMALL, "order"), "orders")
+    returns = table(land(spark, SF_SMALL, "returns"), "returns")
+    orders.write.parquet(os.path.join(tables, "orders"))
+    returns.write.parquet(os.path.join(tables, "returns"))
+    out = os.path.join(tmpdir_path, "measures")
+    main(["measures", "--tables", tables, "--out", out])
+    for name, fn in MEASURES.items():
+        want = fn(orders, returns) if name == "d4_returned_orders" else fn(orders)
+        got = spark.read.parquet(os.path.join(out, name))
+        assert sorted(map(tuple, got.collect()), key=repr) == \
+            sorted(map(tuple, want.collect()), key=repr), name

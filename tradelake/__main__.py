@@ -3,6 +3,7 @@
     spark-submit -m tradelake run    --source order --landing s3://.../order --out s3://.../tables
     spark-submit -m tradelake group  --group sales --landing-root s3://.../landing --out ...
     spark-submit -m tradelake stream --source visit --landing ... --out ...
+    spark-submit -m tradelake measures --tables s3://.../tables --out s3://.../measures
 
 The session comes from the submitting environment (``getOrCreate``); the
 cluster's ``spark.checkpoint.dir`` is used for bronze copies and checkpoints.
@@ -40,6 +41,9 @@ def main(argv=None) -> None:
     g.add_argument("--landing-root", required=True)
     g.add_argument("--out", required=True)
     g.add_argument("--envelope", action="store_true")
+    m = sub.add_parser("measures")
+    m.add_argument("--tables", required=True)
+    m.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tradelake-{args.cmd}").getOrCreate()
@@ -50,6 +54,8 @@ def main(argv=None) -> None:
     elif args.cmd == "group":
         res = pipelines.run_group(spark, args.group, args.landing_root, args.out,
                                   envelope=args.envelope)
+    elif args.cmd == "measures":
+        res = pipelines.refresh_measures(spark, args.tables, args.out)
     else:
         q = refresh_on_landing(spark, args.source, args.landing, args.out,
                                on_empty=args.on_empty)

@@ -21,6 +21,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.measures import MEASURES
 from ..session import ensure_checkpoint_dir, tune_session
 from ..sources import jsonsrc
 from ..sources.sinks import write_csv_copy, write_table
@@ -79,6 +80,22 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
     return written
 
 
+def refresh_measures(spark: SparkSession, tables_root: str, out_root: str, *,
+                     on_empty: str = "keep") -> dict[str, bool]:
+    """The dashboard measures (D1m-D12m) from the written ``orders`` and
+    ``returns`` tables under ``tables_root``; one table per measure under
+    ``out_root``.  Each measure is its own aggregate job over the pruned
+    columns it needs (partial aggregation before the shuffle)."""
+    tune_session(spark)
+    root = tables_root.rstrip("/")
+    orders, returns = spark.read.parquet(f"{root}/orders"), spark.read.parquet(f"{root}/returns")
+    written = {}
+    for name, fn in MEASURES.items():
+        df = fn(orders, returns) if name == "d4_returned_orders" else fn(orders)
+        written[name] = write_table(df, f"{out_root.rstrip('/')}/{name}", on_empty=on_empty)
+    return written
+
+
 def run_group(spark: SparkSession, group: str, landing_root: str, out_root: str,
               **kw) -> dict[str, dict[str, bool]]:
     """Job group (references / sales / warehouse): its pipelines, independent
