@@ -9,9 +9,10 @@
 3. write the nested documents once to a bronze Parquet copy under the
    cluster's checkpoint directory, so the export is parsed once and every
    table reads only the nested columns it needs (nested schema pruning);
-4. build every table of the export; parents that feed children are
-   checkpointed (reliable, in ``spark.checkpoint.dir``) so their
-   de-duplication runs once and a lost executor recomputes from there;
+4. build every table of the export; parents that feed children are written
+   once as Parquet under ``spark.checkpoint.dir`` (lineage cut, columns
+   prunable), so their de-duplication runs once and a lost executor
+   recomputes from there;
 5. write each table (S7, keep-on-empty) and its CSV copy (S8).
 """
 
@@ -52,7 +53,8 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
     if docs.isEmpty():                                   # S6: no records, no writes
         return {}
     key = hashlib.sha1(bronze_key.rstrip("/").encode()).hexdigest()[:16]
-    bronze = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze/{source}-{key}"
+    work = ensure_checkpoint_dir(spark).rstrip("/")
+    bronze = f"{work}/bronze/{source}-{key}"
     docs.write.mode("overwrite").parquet(bronze)
     export = jsonsrc.flatten(source, spark.read.parquet(bronze))
 
@@ -63,12 +65,18 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
                 raise ValueError(f"{name}.{bad[0]['column']}: {bad[0]['n_rejects']} values "
                                  f"are not integers")
 
+    # Parents are de-duplicated once and written as Parquet under the shared
+    # checkpoint folder: lineage is cut there (a lost executor recomputes from
+    # the written parent, not from the export) and each child reads back only
+    # the reference and inherited columns it needs.
     memo: dict = {}
     parents = {s.parent for s in SPECS if s.source == source and s.parent}
     for s in SPECS:                                      # specs are parent-first
         if s.source == source and s.name in parents:
             df, refs = build_with_refs(export, s.name, memo)
-            memo[s.name] = (df.checkpoint(eager=True), refs)
+            path = f"{work}/parents/{source}-{key}/{s.name}"
+            df.write.mode("overwrite").parquet(path)
+            memo[s.name] = (spark.read.parquet(path), refs)
 
     written = {}
     for name in PIPELINES[source]:
