@@ -138,7 +138,10 @@ def sales_anomalies(orders: DataFrame, history: int = 6, k: int = 2) -> DataFram
     deviations from the branch's previous ``history`` months (needs >= 2).
 
     Tested exactly on decimals: with n, S = sum, Q = sum of squares over the
-    history, |x - S/n| > k*sd  <=>  (n-1)(n x - S)^2 > k^2 n (n Q - S^2)."""
+    history, |x - S/n| > k*sd  <=>  (n-1)(n x - S)^2 > k^2 n (n Q - S^2).
+    In cents, ``decimal(38,0)`` holds this for monthly branch sales up to about
+    8e15 currency units; beyond that ANSI arithmetic raises instead of
+    answering wrongly."""
     m = monthly_branch_sales(orders).withColumn(
         "x", (F.col("sales") * 100).cast("decimal(38,0)"))       # exact cents
     w = _by_branch((-history, -1))
