@@ -3,7 +3,8 @@
 reference coerces with, on random number-like strings.
 
 Documented deviations are modelled, not hidden: an integer column gets NULL
-where pandas' ``Int64`` conversion would raise (D2).  Strings are kept short
+where pandas' ``Int64`` conversion would raise (D2), and ``int_reject`` must
+flag exactly those values.  Strings are kept short
 so pandas' float path is exact for integers (D3 concerns 16+ digits).  Very
 large exponents can differ in the last bit because pandas' fast parser is
 not correctly rounded, so floats compare with a relative tolerance of 1e-15.
@@ -40,31 +41,48 @@ def _pandas_int(s):
         return None                                   # pandas raises: NULL here (D2)
 
 
+def _pandas_raises(s):
+    """The reference's Int64 conversion aborts the run on this value."""
+    v = pd.to_numeric(pd.Series([s], dtype=object), errors="coerce")
+    try:
+        v.astype("Int64")
+        return False
+    except (TypeError, ValueError, OverflowError):
+        return True
+
+
 def _spark(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    return df.orderBy("i").select(C.to_float("v"), C.to_int("v")).collect()
+    return [tuple(r) for r in
+            df.orderBy("i").select(C.to_float("v"), C.to_int("v"), C.int_reject("v")).collect()]
+
+
+def _assert_same_float(v, f, e):
+    if e is None or f is None:
+        assert (e, f) == (None, None), (v, e, f)
+    elif math.isinf(e):
+        assert f == e, (v, e, f)
+    else:                               # pandas' fast parser may be 1 ulp off (D9)
+        assert math.isclose(f, e, rel_tol=1e-15), (v, e, f)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(values=TEXTS)
 def test_coercion_matches_pandas(spark, values):
-    for v, (f, n) in zip(values, _spark(spark, values)):
-        e = _pandas_float(v)
-        if e is None or f is None:
-            assert (e, f) == (None, None), (v, e, f)
-        elif math.isinf(e):
-            assert f == e, (v, e, f)
-        else:
-            assert math.isclose(f, e, rel_tol=1e-15), (v, e, f)
+    for v, (f, n, rejected) in zip(values, _spark(spark, values)):
+        _assert_same_float(v, f, _pandas_float(v))
         assert n == _pandas_int(v), (v, _pandas_int(v), n)
+        assert rejected == _pandas_raises(v), (v, rejected)
 
 
 @pytest.mark.parametrize("v", ["0E68", "1e999", "-1e999", " inf ", "INF", "-Infinity",
-                               "1e3", "+12", "12.0", "1e-3", "9e18", "1e19"])
+                               "1e3", "+12", "12.0", "1e-3", "9e18", "1e19",
+                               "4e-19", "55E-37 ", "1.0000000000000000001", "-0.0"])
 def test_coercion_edge_cases_match_pandas(spark, v):
-    f, n = _spark(spark, [v])[0]
-    assert (f if f is None or not math.isnan(f) else None) == _pandas_float(v)
+    f, n, rejected = _spark(spark, [v])[0]
+    _assert_same_float(v, f, _pandas_float(v))
     assert n == _pandas_int(v)
+    assert rejected == _pandas_raises(v)
 
 
 def test_patterns_ignore_legacy_escape_setting(spark):

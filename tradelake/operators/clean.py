@@ -74,15 +74,16 @@ def _int_sql(x: str) -> str:
     d = f"try_cast(TRIM(BOTH {_lit(ASCII_SPACE)} FROM {x}) AS DECIMAL(38,18))"
     v = f"try_cast({x} AS DOUBLE)"
     plain = f"(translate({x}, {_lit(_INTEGER_CHARS)}, '') = '' AND {x} <> '')"
-    # 1. plain integer; 2. exact decimal (integral values only); 3. a number
-    # the decimal cannot hold (e.g. '0E68'): its double, when integral and in
-    # range (what the reference's float-then-Int64 conversion gives).
+    integral_double = f"CAST(try_cast({v} AS BIGINT) AS DOUBLE) = {v}"
+    # 1. plain integer; 2. exact decimal, integral values only (the double
+    # must be integral too: the decimal's 18 places round '4e-19' to 0);
+    # 3. a number the decimal cannot hold (e.g. '0E68'): its double, when
+    # integral and in range (what the reference's float-then-Int64 gives).
     return (f"coalesce(CASE WHEN {plain} THEN try_cast({x} AS BIGINT) END, "
             f"CASE WHEN {x} RLIKE {_lit(NUMBER_PATTERN)} THEN "
             f"CASE WHEN {d} IS NOT NULL THEN "
-            f"CASE WHEN {d} = floor({d}) THEN try_cast({d} AS BIGINT) END "
-            f"WHEN CAST(try_cast({v} AS BIGINT) AS DOUBLE) = {v} "
-            f"THEN try_cast({v} AS BIGINT) END END)")
+            f"CASE WHEN {d} = floor({d}) AND {integral_double} THEN try_cast({d} AS BIGINT) END "
+            f"WHEN {integral_double} THEN try_cast({v} AS BIGINT) END END)")
 
 
 def _expr(sql: str) -> Column:
@@ -174,11 +175,15 @@ def to_int(c: str) -> Column:
 
 
 def int_reject(c: str) -> Column:
-    """True where a value looks numeric but cannot be a bigint (fraction,
-    infinity, overflow).  The reference aborts the whole run on such input;
-    we keep NULL and let callers count these rows."""
+    """True where a value is a number but cannot be a bigint (fraction,
+    infinity, beyond bigint range): where the reference's Int64 conversion
+    aborts the whole run.  A spelling beyond double range (``1e999``) is not
+    a reject: it reads as NaN there, i.e. NULL.  We keep NULL and let callers
+    count these rows."""
     x = _text(c)
-    return _expr(f"coalesce(({x} RLIKE {_lit(NUMBER_PATTERN)} OR {x} RLIKE {_lit(INF_PATTERN)}) "
+    finite = (f"({x} RLIKE {_lit(NUMBER_PATTERN)} "
+              f"AND abs(try_cast({x} AS DOUBLE)) <> CAST('Infinity' AS DOUBLE))")
+    return _expr(f"coalesce(({finite} OR {x} RLIKE {_lit(INF_PATTERN)}) "
                  f"AND {_int_sql(x)} IS NULL, false)")
 
 

@@ -31,7 +31,8 @@ def _int(x: str) -> str:
     d = f"TRY_CAST({_strip(x)} AS DECIMAL(38,18))"
     v = f"TRY_CAST({_strip(x)} AS DOUBLE)"
     return (f"(CASE WHEN NOT regexp_full_match({x}, '{_NUM}') THEN NULL "
-            f"WHEN {d} IS NOT NULL THEN (CASE WHEN {d} = floor({d}) THEN TRY_CAST({d} AS BIGINT) END) "
+            f"WHEN {d} IS NOT NULL THEN (CASE WHEN {d} = floor({d}) AND {v} = floor({v}) "
+            f"THEN TRY_CAST({d} AS BIGINT) END) "
             f"WHEN isfinite({v}) AND {v} = floor({v}) AND abs({v}) < 9223372036854775807 "
             f"THEN TRY_CAST({v} AS BIGINT) END)")
 
