@@ -48,8 +48,9 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
             strict: bool = False) -> dict[str, bool]:
     """Steps 2-5 for one export's documents ``docs`` (a batch read or one
     micro-batch of the landing stream).  ``bronze_key`` names the bronze copy
-    (landing directory, plus the batch for a stream), so a retried run
-    overwrites its own copy only."""
+    and the written parents (the landing directory; one key per stream, whose
+    micro-batches run one after another), so a retried run overwrites its own
+    copy only."""
     if docs.isEmpty():                                   # S6: no records, no writes
         return {}
     key = hashlib.sha1(bronze_key.rstrip("/").encode()).hexdigest()[:16]
