@@ -79,14 +79,20 @@ def monthly_branch_sales(orders: DataFrame) -> DataFrame:
                   .agg(F.sum("amt").alias("sales")))
 
 
+def _monthly(orders: DataFrame, monthly: DataFrame | None) -> DataFrame:
+    """The branch x month base: given (computed once and written by the
+    measures job) or computed here."""
+    return monthly if monthly is not None else monthly_branch_sales(orders)
+
+
 def _by_branch(frame=None):
     w = Window.partitionBy("filial_code").orderBy("month")
     return w if frame is None else w.rowsBetween(*frame)
 
 
-def trade_dynamics(orders: DataFrame) -> DataFrame:
+def trade_dynamics(orders: DataFrame, monthly: DataFrame | None = None) -> DataFrame:
     """D7m: monthly sales per branch and the change against the previous month."""
-    m = monthly_branch_sales(orders)
+    m = _monthly(orders, monthly)
     prev = F.lag("sales").over(_by_branch())
     return m.select("filial_code", "month",
                     F.col("sales").cast("double").alias("sales"),
@@ -116,24 +122,26 @@ def contribution(orders: DataFrame) -> DataFrame:
                       (F.col("sales").cast("double") / grand).alias("share"))
 
 
-def moving_average(orders: DataFrame, months: int = 3) -> DataFrame:
+def moving_average(orders: DataFrame, monthly: DataFrame | None = None,
+                   months: int = 3) -> DataFrame:
     """D10m: trailing ``months``-month average of monthly sales per branch."""
-    m = monthly_branch_sales(orders)
+    m = _monthly(orders, monthly)
     w = _by_branch((-(months - 1), 0))
     return m.select("filial_code", "month", F.col("sales").cast("double").alias("sales"),
                     (F.sum("sales").over(w).cast("double") / F.count("sales").over(w)
                      .cast("double")).alias("moving_avg"))
 
 
-def cumulative_sales(orders: DataFrame) -> DataFrame:
+def cumulative_sales(orders: DataFrame, monthly: DataFrame | None = None) -> DataFrame:
     """D11m: running total of monthly sales per branch."""
-    m = monthly_branch_sales(orders)
+    m = _monthly(orders, monthly)
     w = _by_branch((Window.unboundedPreceding, 0))
     return m.select("filial_code", "month", F.col("sales").cast("double").alias("sales"),
                     F.sum("sales").over(w).cast("double").alias("cumulative_sales"))
 
 
-def sales_anomalies(orders: DataFrame, history: int = 6, k: int = 2) -> DataFrame:
+def sales_anomalies(orders: DataFrame, monthly: DataFrame | None = None,
+                    history: int = 6, k: int = 2) -> DataFrame:
     """D12m: months whose sales deviate by more than ``k`` sample standard
     deviations from the branch's previous ``history`` months (needs >= 2).
 
@@ -142,7 +150,7 @@ def sales_anomalies(orders: DataFrame, history: int = 6, k: int = 2) -> DataFram
     In cents, ``decimal(38,0)`` holds this for monthly branch sales up to about
     8e15 currency units; beyond that ANSI arithmetic raises instead of
     answering wrongly."""
-    m = monthly_branch_sales(orders).withColumn(
+    m = _monthly(orders, monthly).withColumn(
         "x", (F.col("sales") * 100).cast("decimal(38,0)"))       # exact cents
     w = _by_branch((-history, -1))
     z = m.select("filial_code", "month", "sales", "x",
@@ -156,6 +164,10 @@ def sales_anomalies(orders: DataFrame, history: int = 6, k: int = 2) -> DataFram
                                 F.col("sales").cast("double").alias("sales"))
 
 
+# Measures over the branch x month base (accept ``monthly=``).
+MONTHLY_MEASURES = ("d7_trade_dynamics", "d10_moving_average", "d11_cumulative_sales",
+                    "d12_sales_anomalies")
+
 MEASURES = {
     "d1_total_sales": total_sales,
     "d2_average_sales": average_sales,
