@@ -148,3 +148,18 @@ def test_measures_from_written_tables(spark, tmpdir_path):
         got = spark.read.parquet(os.path.join(out, name))
         assert sorted(map(tuple, got.collect()), key=repr) == \
             sorted(map(tuple, want.collect()), key=repr), name
+
+
+def test_write_table_keeps_previous_on_empty_and_leaves_no_staging(spark, tmpdir_path):
+    from tradelake.sources.sinks import write_table
+    path = os.path.join(tmpdir_path, "t")
+    grouped = spark.range(10).selectExpr("id % 3 AS k").groupBy("k").count()
+    assert write_table(grouped, path) is True
+    empty = grouped.where("k > 99")
+    assert write_table(empty, path) is False                     # previous table kept
+    assert spark.read.parquet(path).count() == 3
+    assert sorted(os.listdir(tmpdir_path)) == ["t"]              # staging removed
+    assert write_table(grouped.where("k = 0"), path) is True     # replaced, not appended
+    assert spark.read.parquet(path).count() == 1
+    assert write_table(empty, path, on_empty="replace") is True
+    assert spark.read.parquet(path).count() == 0

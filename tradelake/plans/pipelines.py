@@ -83,9 +83,13 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
     for name in PIPELINES[source]:
         df, _ = build_with_refs(export, name, memo)
         out = df.select(*output_columns(name))
-        written[name] = write_table(out, f"{out_root.rstrip('/')}/{name}", on_empty=on_empty)
+        path = f"{out_root.rstrip('/')}/{name}"
+        written[name] = write_table(out, path, on_empty=on_empty)
         if csv_root and (written[name] or SPEC_BY_NAME[name].source != "visit"):
-            write_csv_copy(out, f"{csv_root.rstrip('/')}/{name}")
+            # the copy reads the table just written (or is empty): no recompute
+            copy = (spark.read.parquet(path) if written[name]
+                    else spark.createDataFrame([], out.schema))
+            write_csv_copy(copy, f"{csv_root.rstrip('/')}/{name}")
     return written
 
 

@@ -1,15 +1,30 @@
 """Sinks: full-refresh table write (S6/S7) and the per-table file copy.
 
 The reference drops and recreates each table, and keeps the previous table
-when a run produced no rows.  Here: ``overwrite`` of a Parquet directory (or a
-catalog table), guarded by a one-row emptiness probe (``isEmpty`` = a LIMIT 1
-job, not a count).  The spreadsheet copy is re-aimed to a distributed CSV
-directory with a header (one file per task, no single-writer bottleneck).
+when a run produced no rows.  Here the table is computed **once**: it is
+written to a staging directory beside the target while an ``observe``d
+counter counts its rows, then swapped in (or dropped when empty, keeping the
+previous table).  Probing emptiness first (``isEmpty``) would run every
+shuffle of a joined, de-duplicated table twice.  The spreadsheet copy is
+re-aimed to a distributed CSV directory with a header (one file per task, no
+single-writer bottleneck).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+
+def _filesystem(df: DataFrame, path: str):
+    """(Hadoop FileSystem, Path class) for ``path``; None on a session
+    without JVM access (e.g. Spark Connect)."""
+    try:
+        spark = df.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path
+        return jpath(path).getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+    except Exception:                                   # no JVM gateway
+        return None
 
 
 def write_table(df: DataFrame, path: str | None = None, *, table: str | None = None,
@@ -20,13 +35,28 @@ def write_table(df: DataFrame, path: str | None = None, *, table: str | None = N
     rows (the reference's rule); ``"replace"`` writes the empty table."""
     if on_empty not in ("keep", "replace"):
         raise ValueError(on_empty)
-    if on_empty == "keep" and df.isEmpty():
+    fs = _filesystem(df, path) if (path and on_empty == "keep") else None
+    if fs is None:                              # catalog table / no file system access
+        if on_empty == "keep" and df.isEmpty():
+            return False
+        w = df.write.mode("overwrite").format(fmt)
+        if table:
+            w.saveAsTable(table)
+        else:
+            w.save(path)
+        return True
+
+    fs, jpath = fs
+    target, staged = jpath(path), jpath(f"{path.rstrip('/')}.__staging")
+    rows = Observation("rows")
+    (df.observe(rows, F.count(F.lit(1)).alias("n"))
+       .write.mode("overwrite").format(fmt).save(str(staged)))
+    if rows.get["n"] == 0:
+        fs.delete(staged, True)                 # keep the previous table
         return False
-    w = df.write.mode("overwrite").format(fmt)
-    if table:
-        w.saveAsTable(table)
-    else:
-        w.save(path)
+    fs.delete(target, True)                     # drop + recreate, as the reference
+    if not fs.rename(staged, target):
+        raise OSError(f"could not move {staged} to {target}")
     return True
 
 
