@@ -63,7 +63,12 @@ def write_table(df: DataFrame, path: str | None = None, *, table: str | None = N
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                on_empty: str = "keep") -> bool:
     """S7 for a relational target: drop-and-recreate through JDBC (parallel
-    writers, one connection per task).  Needs the driver jar on the classpath."""
+    writers, one connection per task).  Needs the driver jar on the classpath.
+
+    Keep-on-empty probes emptiness first, which computes ``df`` twice (a
+    staged swap would need database-specific DDL).  For large tables, write
+    with :func:`write_table` and load the database from that Parquet copy:
+    the probe is then a cheap scan."""
     if on_empty == "keep" and df.isEmpty():
         return False
     df.write.mode("overwrite").jdbc(url, table, properties=properties or {})
