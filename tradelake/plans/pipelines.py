@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.measures import MEASURES, MONTHLY_MEASURES, monthly_branch_sales
 from ..session import ensure_checkpoint_dir, tune_session
@@ -51,12 +52,15 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
     and the written parents (the landing directory; one key per stream, whose
     micro-batches run one after another), so a retried run overwrites its own
     copy only."""
-    if docs.isEmpty():                                   # S6: no records, no writes
-        return {}
     key = hashlib.sha1(bronze_key.rstrip("/").encode()).hexdigest()[:16]
     work = ensure_checkpoint_dir(spark).rstrip("/")
     bronze = f"{work}/bronze/{source}-{key}"
-    docs.write.mode("overwrite").parquet(bronze)
+    # one pass over the export: the bronze copy (scratch, not an output) is
+    # written while its documents are counted
+    n_docs = Observation("docs")
+    docs.observe(n_docs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(bronze)
+    if n_docs.get["n"] == 0:                             # S6: no records, no table writes
+        return {}
     export = jsonsrc.flatten(source, spark.read.parquet(bronze))
 
     if strict:                       # D2 as the reference: refuse input it cannot type
