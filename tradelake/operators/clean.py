@@ -61,6 +61,10 @@ def _in(words) -> str:
     return ", ".join(_lit(w) for w in words)
 
 
+def _has_digit(x: str) -> str:
+    return f"translate({x}, '0123456789', '') <> {x}"
+
+
 def _text(name: str) -> str:
     """The column as text (leaves are text; a typed column is rendered)."""
     return f"CAST(`{name}` AS STRING)"
@@ -73,7 +77,7 @@ def _strip_sql(x: str) -> str:
 def _int_sql(x: str) -> str:
     d = f"try_cast(TRIM(BOTH {_lit(ASCII_SPACE)} FROM {x}) AS DECIMAL(38,18))"
     v = f"try_cast({x} AS DOUBLE)"
-    plain = f"(translate({x}, {_lit(_INTEGER_CHARS)}, '') = '' AND {x} <> '')"
+    plain = f"(translate({x}, {_lit(_INTEGER_CHARS)}, '') = '' AND {_has_digit(x)})"
     integral_double = f"CAST(try_cast({v} AS BIGINT) AS DOUBLE) = {v}"
     # 1. plain integer; 2. exact decimal, integral values only (the double
     # must be integral too: the decimal's 18 places round '4e-19' to 0);
@@ -155,7 +159,7 @@ def to_float(c: str) -> Column:
     x = _text(c)
     v = f"try_cast({x} AS DOUBLE)"
     return _expr(
-        f"CASE WHEN translate({x}, {_lit(_NUMBER_CHARS)}, '') = '' AND {x} <> '' "
+        f"CASE WHEN translate({x}, {_lit(_NUMBER_CHARS)}, '') = '' AND {_has_digit(x)} "
         f"AND abs({v}) <> CAST('Infinity' AS DOUBLE) THEN {v} "
         f"WHEN lower({x}) IN ({_in(_INF_WORDS)}) THEN {v} END")
 
@@ -167,9 +171,10 @@ def to_int(c: str) -> Column:
     NULL (see :func:`int_reject` to count them).
 
     Fast path: Spark's integer cast takes plain (signed, padded) integers.  It
-    is only tried on text made of sign, digit and space characters (a
-    ``translate``): a *failing* string-to-bigint cast costs about 20 times a
-    successful one, and fractions, junk and blanks would all pay it.  Other
+    is only tried on text made of sign, digit and space characters with at
+    least one digit (``translate`` checks): a *failing* string-to-bigint cast
+    costs about 20 times a successful one, and fractions, junk and blanks
+    would all pay it.  Other
     spellings go through the pattern check and an exact decimal."""
     return _expr(_int_sql(_text(c)))
 
