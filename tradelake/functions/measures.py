@@ -34,15 +34,30 @@ def total_sales(orders: DataFrame) -> DataFrame:
                   .agg(F.sum(_money()).cast("double").alias("total_sales")))
 
 
-def average_sales(orders: DataFrame) -> DataFrame:
-    """D2m: average order amount (orders with an amount)."""
+def branch_totals(orders: DataFrame) -> DataFrame:
+    """Per branch: orders, exact sales sum and orders with an amount.  The
+    base of D2m, D3m, D5m, D8m and D9m: decimal sums add up exactly, so the
+    global and ranked measures derive from these few rows without rescanning
+    the orders (the measures job writes it once)."""
     amt = _money()
-    return orders.agg((F.sum(amt).cast("double") / F.count(amt).cast("double")).alias("avg_sales"))
+    return orders.groupBy("filial_code").agg(F.count(F.lit(1)).alias("n_orders"),
+                                             F.sum(amt).alias("sales"),
+                                             F.count(amt).alias("n_amt"))
+
 
+def _branch(orders: DataFrame, branch: DataFrame | None) -> DataFrame:
+    return branch if branch is not None else branch_totals(orders)
 
-def total_orders(orders: DataFrame) -> DataFrame:
+
+def average_sales(orders: DataFrame, branch: DataFrame | None = None) -> DataFrame:
+    """D2m: average order amount (orders with an amount)."""
+    return _branch(orders, branch).agg(
+        (F.sum("sales").cast("double") / F.sum("n_amt").cast("double")).alias("avg_sales"))
+
+
+def total_orders(orders: DataFrame, branch: DataFrame | None = None) -> DataFrame:
     """D3m: number of orders (deal_id is unique after keep-first)."""
-    return orders.agg(F.count(F.lit(1)).alias("n_orders"))
+    return _branch(orders, branch).agg(F.sum("n_orders").cast("long").alias("n_orders"))
 
 
 def returned_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
@@ -60,9 +75,12 @@ def returned_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
                         F.count("_returned").alias("n_returned")))
 
 
-def sales_by_branch(orders: DataFrame) -> DataFrame:
+def sales_by_branch(orders: DataFrame, branch: DataFrame | None = None) -> DataFrame:
     """D5m: order count, total and average sales per branch."""
-    return orders.groupBy("filial_code").agg(*_sales_aggs())
+    b = _branch(orders, branch)
+    return b.select("filial_code", "n_orders", F.col("sales").cast("double").alias("total_sales"),
+                    (F.col("sales").cast("double") / F.col("n_amt").cast("double"))
+                    .alias("avg_sales"))
 
 
 def sales_by_manager(orders: DataFrame) -> DataFrame:
@@ -100,21 +118,21 @@ def trade_dynamics(orders: DataFrame, monthly: DataFrame | None = None) -> DataF
                     (F.col("sales") - prev).cast("double").alias("change"))
 
 
-def top_branches(orders: DataFrame, k: int = 10) -> DataFrame:
+def top_branches(orders: DataFrame, k: int = 10, branch: DataFrame | None = None) -> DataFrame:
     """D8m: the k branches with the highest sales, ranked.  ``orderBy.limit``
     is a per-partition top-k merged at the end; the rank window then runs on
     at most k rows."""
-    agg = orders.groupBy("filial_code").agg(F.sum(_money()).alias("sales"))
+    agg = _branch(orders, branch)
     top = agg.orderBy(F.col("sales").desc_nulls_last(), F.col("filial_code")).limit(k)
     w = Window.orderBy(F.col("sales").desc_nulls_last(), F.col("filial_code"))
     return top.select("filial_code", F.col("sales").cast("double").alias("total_sales"),
                       F.row_number().over(w).cast("long").alias("rank"))
 
 
-def contribution(orders: DataFrame) -> DataFrame:
+def contribution(orders: DataFrame, branch: DataFrame | None = None) -> DataFrame:
     """D9m: each branch's share of total sales.  The grand total is a scalar
     subquery (one row, computed once and inlined), so no join is needed."""
-    agg = orders.groupBy("filial_code").agg(F.sum(_money()).alias("sales"))
+    agg = _branch(orders, branch)
     # total of the (exact decimal) branch sums: same subtree as `agg`, so the
     # orders pipeline and its shuffles are shared instead of run twice
     grand = agg.agg(F.sum("sales").cast("double").alias("grand")).scalar()
@@ -164,6 +182,10 @@ def sales_anomalies(orders: DataFrame, monthly: DataFrame | None = None,
                                 F.col("sales").cast("double").alias("sales"))
 
 
+# Measures over the per-branch base (accept ``branch=``).
+BRANCH_MEASURES = ("d2_average_sales", "d3_total_orders", "d5_sales_by_branch",
+                   "d8_top_branches", "d9_contribution")
+
 # Measures over the branch x month base (accept ``monthly=``).
 MONTHLY_MEASURES = ("d7_trade_dynamics", "d10_moving_average", "d11_cumulative_sales",
                     "d12_sales_anomalies")
