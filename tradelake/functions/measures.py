@@ -49,15 +49,26 @@ def _branch(orders: DataFrame, branch: DataFrame | None) -> DataFrame:
     return branch if branch is not None else branch_totals(orders)
 
 
+def _totals(orders: DataFrame, branch: DataFrame | None) -> DataFrame:
+    """Rows to total for a global measure: the per-branch base when given,
+    else one row per order with the same columns (one global aggregate, no
+    extra level)."""
+    if branch is not None:
+        return branch
+    amt = _money()
+    return orders.select(F.lit(1).cast("long").alias("n_orders"), amt.alias("sales"),
+                         amt.isNotNull().cast("long").alias("n_amt"))
+
+
 def average_sales(orders: DataFrame, branch: DataFrame | None = None) -> DataFrame:
     """D2m: average order amount (orders with an amount)."""
-    return _branch(orders, branch).agg(
+    return _totals(orders, branch).agg(
         (F.sum("sales").cast("double") / F.sum("n_amt").cast("double")).alias("avg_sales"))
 
 
 def total_orders(orders: DataFrame, branch: DataFrame | None = None) -> DataFrame:
     """D3m: number of orders (deal_id is unique after keep-first)."""
-    return _branch(orders, branch).agg(F.sum("n_orders").cast("long").alias("n_orders"))
+    return _totals(orders, branch).agg(F.sum("n_orders").cast("long").alias("n_orders"))
 
 
 def returned_orders(orders: DataFrame, returns: DataFrame) -> DataFrame:
