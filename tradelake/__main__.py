@@ -1,9 +1,9 @@
 """Command line for spark-submit.
 
-    spark-submit -m tradelake run    --source order --landing s3://.../order --out s3://.../tables
-    spark-submit -m tradelake group  --group sales --landing-root s3://.../landing --out ...
-    spark-submit -m tradelake stream --source visit --landing ... --out ...
-    spark-submit -m tradelake measures --tables s3://.../tables --out s3://.../measures
+    spark-submit --py-files tradelake.zip scripts/tradelake_job.py run    --source order --landing s3://.../order --out s3://.../tables
+    spark-submit --py-files tradelake.zip scripts/tradelake_job.py group  --group sales --landing-root s3://.../landing --out ...
+    spark-submit --py-files tradelake.zip scripts/tradelake_job.py stream --source visit --landing ... --out ...
+    spark-submit --py-files tradelake.zip scripts/tradelake_job.py measures --tables s3://.../tables --out s3://.../measures
 
 The session comes from the submitting environment (``getOrCreate``); the
 cluster's ``spark.checkpoint.dir`` is used for bronze copies and checkpoints.
