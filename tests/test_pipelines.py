@@ -163,3 +163,14 @@ def test_write_table_keeps_previous_on_empty_and_leaves_no_staging(spark, tmpdir
     assert spark.read.parquet(path).count() == 1
     assert write_table(empty, path, on_empty="replace") is True
     assert spark.read.parquet(path).count() == 0
+
+
+def test_cli_group_with_csv(spark, tmpdir_path):
+    from tradelake.__main__ import main
+    root = os.path.join(tmpdir_path, "landing")
+    for src in JOB_GROUPS["warehouse"]:
+        write_lines(os.path.join(root, src), LOGISTICS if src == "logistics" else [])
+    out, csv = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "csv")
+    main(["group", "--group", "warehouse", "--landing-root", root, "--out", out, "--csv", csv])
+    assert spark.read.parquet(os.path.join(out, "logistics")).count() == 1
+    assert spark.read.option("header", True).csv(os.path.join(csv, "logistics")).count() == 1

@@ -41,6 +41,8 @@ def main(argv=None) -> None:
     g.add_argument("--landing-root", required=True)
     g.add_argument("--out", required=True)
     g.add_argument("--envelope", action="store_true")
+    g.add_argument("--csv")
+    g.add_argument("--on-empty", default="keep", choices=["keep", "replace"])
     m = sub.add_parser("measures")
     m.add_argument("--tables", required=True)
     m.add_argument("--out", required=True)
@@ -53,7 +55,8 @@ def main(argv=None) -> None:
                             on_empty=args.on_empty, strict=args.strict)
     elif args.cmd == "group":
         res = pipelines.run_group(spark, args.group, args.landing_root, args.out,
-                                  envelope=args.envelope)
+                                  envelope=args.envelope, csv_root=args.csv,
+                                  on_empty=args.on_empty)
     elif args.cmd == "measures":
         res = pipelines.refresh_measures(spark, args.tables, args.out)
     else:
