@@ -37,7 +37,7 @@ RULES = {
     "capitals": ("n_capitals > 0.40 * word_chars", "n_capitals <= 0.15 * word_chars"),
     "stress": ("n_stress > 0.15 * n_words", "n_stress <= 0.03 * n_words"),
     "variety": ("n_distinct_words < 0.15 * n_words", "n_distinct_words >= 0.30 * n_words"),
-    "length": ("n_words < 25", "n_words >= 60"),
+    "length": ("n_words < 10", "n_words >= 60"),
 }
 
 #: What EM starts from and is pulled towards: (good, abstain, bad) votes on
