@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import mixing, quality, sharding
+from tradelake.llm import mixing, quality, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "shard", "slot", "grown_shard")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     rows = placed.select(
@@ -38,6 +43,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_sharding": op4_sharding,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
 }
 
