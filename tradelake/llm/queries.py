@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import mixing, quality, sharding, substring_dedup
+from tradelake.llm import mixing, near_dedup, quality, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +40,16 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op4_sharding": op4_sharding,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
