@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import decontamination, mixing, near_dedup, quality, sharding, substring_dedup
+from tradelake.llm import (decontamination, language_id, mixing, near_dedup, quality, sharding, substring_dedup,
+                           url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,12 +21,25 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "posterior")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(_table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
     return out.select(F.col("_in0").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"),
                       "shard", "slot", "grown_shard")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -52,7 +66,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_url_filter": op2_url_filter,
+    "op3_warc": op3_warc,
     "op4_sharding": op4_sharding,
+    "op5_language_id": op5_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
