@@ -1,4 +1,4 @@
-"""Judge urls by rules and by a listed-host Bloom filter cascade.
+"""Judge urls by rules and by a Bloom filter cascade of listed keys.
 
 The cascade holds a set of listed keys exactly, relative to all keys of the
 corpus.  Level 0 is a Bloom filter of the listed keys; level 1 one of the
@@ -12,8 +12,8 @@ task of bounded size.  Filters go out by broadcast in groups of at most
 passes over the rows within the same stage.
 
 Defined results: a null url or one without ``://`` has an empty host and path
-(a key like any other); repeated urls are judged alike; an empty table gives an
-empty result.
+(a key like any other); a null html is no junk; repeated urls are judged alike;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -161,23 +161,27 @@ def is_listed(df: DataFrame, key: str, cascade: DataFrame, shards: int, out: str
     return df.withColumn(out, F.coalesce(*answers)).drop("_h1", "_h2", "_shard")
 
 
-def junk_hosts(pages: DataFrame) -> DataFrame:
-    """(key, listed): every host of (url, html), listed if most of its pages
-    are junk."""
+def key_of(host: Column, path: Column) -> Column:
+    """A page's key: its url without scheme, query and fragment."""
+    return F.concat(F.coalesce(host, F.lit("")), F.coalesce(path, F.lit("")))
+
+
+def junk_keys(pages: DataFrame) -> DataFrame:
+    """(key, listed): every key of (url, html), listed if a page of it is junk."""
     junk = F.coalesce(F.regexp_count("html", F.lit(JUNK)) >= JUNK_RUNS, F.lit(False))
-    return pages.select(host_of(F.col("url")).alias("key"), junk.cast("int").alias("junk")).groupBy("key").agg(
-        (F.avg("junk") > 0.5).alias("listed"))
+    key = key_of(host_of(F.col("url")), path_of(F.col("url")))
+    return pages.select(key.alias("key"), junk.alias("junk")).groupBy("key").agg(F.max("junk").alias("listed"))
 
 
 def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
                listed: DataFrame | None = None, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, listed and verdict of every row.  ``listed``:
-    (key, listed) of all hosts; by default from the pages themselves."""
+    (key, listed) of all keys; by default from the pages themselves."""
     rows = pick(pages, page_id=page_id, url=url, html=html)
-    cascade, shards = build_cascade(listed if listed is not None else junk_hosts(rows))
+    cascade, shards = build_cascade(listed if listed is not None else junk_keys(rows))
     urls = rows.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    urls = is_listed(urls.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))}),
-                     "host", cascade, shards, "listed")
+    urls = urls.withColumns({"host": F.coalesce("host", F.lit("")), "path": F.coalesce("path", F.lit(""))})
+    urls = is_listed(urls.withColumn("_key", key_of(F.col("host"), F.col("path"))), "_key", cascade, shards, "listed")
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))
     return urls.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(says, method).alias("verdict"), "listed")
