@@ -27,6 +27,9 @@ from tradelake.llm.text import CHUNK, U, chunks, run_starts, text_bytes
 NO_ID = np.iinfo(np.int64).max   # a null doc_id: behind all others
 PER_BUCKET = 4_000_000           # hashes that one task of the count sorts
 
+CROWD = 128                      # blocks that share a hash from which on it counts as crowded
+
+ANSWERS = "block long, bucket int, n int, flags binary, crowds binary"
 BLOCK = "block long, ids array<long>, ends array<long>, n_bytes long, data binary"
 
 
@@ -115,12 +118,12 @@ def distinct(block: Block, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndar
     return hashes[order][starts], doc[order][starts], of
 
 
-def _planes(values: np.ndarray) -> bytes:
+def planes(values: np.ndarray) -> bytes:
     """Fixed-width numbers, transposed so that equal high bytes lie together."""
     return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
-def _unplanes(data: bytes, dtype: type, n: int) -> np.ndarray:
+def unplanes(data: bytes, dtype: type, n: int) -> np.ndarray:
     size = np.dtype(dtype).itemsize
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, n).T).view(dtype).reshape(n)
 
@@ -132,15 +135,15 @@ def encode(hashes: np.ndarray, ids: np.ndarray, squeeze: zstandard.ZstdCompresso
     head = np.array([len(hashes), len(table), of.itemsize], dtype=np.int64).tobytes()
     gaps = np.diff(hashes, prepend=U(0))
     steps = np.diff(table, prepend=np.int64(0))
-    return head + squeeze.compress(_planes(gaps) + _planes(steps) + _planes(of))
+    return head + squeeze.compress(planes(gaps) + planes(steps) + planes(of))
 
 
 def decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray]:
     n, ids, width = np.frombuffer(data[:24], dtype=np.int64).tolist()
     raw = loose.decompress(data[24:])
-    hashes = np.cumsum(_unplanes(raw[:8 * n], U, n), dtype=U)
-    table = np.cumsum(_unplanes(raw[8 * n:8 * (n + ids)], np.int64, ids))
-    of = _unplanes(raw[8 * (n + ids):], np.uint16 if width == 2 else np.uint32, n)
+    hashes = np.cumsum(unplanes(raw[:8 * n], U, n), dtype=U)
+    table = np.cumsum(unplanes(raw[8 * n:8 * (n + ids)], np.int64, ids))
+    of = unplanes(raw[8 * (n + ids):], np.uint16 if width == 2 else np.uint32, n)
     return hashes, table[of]
 
 
@@ -151,9 +154,10 @@ def bucket_bits(blocks: DataFrame, bytes_per_hash: float, per_bucket: int = PER_
 
 
 def repeated(blocks: DataFrame, hasher: Hasher, bits: int, name: str, any_other: bool = False) -> DataFrame:
-    """(block, flags): for each block, a bitmap per bucket over the distinct
-    hashes it sent: does a smaller doc_id of another block have it (or, with
-    ``any_other``, any other doc_id)?"""
+    """(block, answers): for each block, two bitmaps per bucket over the
+    distinct hashes it sent: does a smaller doc_id of another block have it
+    (or, with ``any_other``, any other doc_id), and do ``CROWD`` blocks or more
+    have it?"""
     shift = U(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,21 +187,28 @@ def repeated(blocks: DataFrame, hasher: Hasher, bits: int, name: str, any_other:
             hit[order] = np.repeat(least != np.maximum.reduceat(sorted_ids, starts), counts)
         else:
             hit[order] = sorted_ids > np.repeat(least, counts)
-        flags = [np.packbits(x).tobytes() for x in np.split(hit, np.cumsum(sizes)[:-1])]
-        return pa.table({"block": group["block"], "bucket": group["bucket"],
-                         "n": pa.array(sizes, pa.int32()), "flags": pa.array(flags, pa.binary())})
+        crowd = np.empty(len(order), dtype=bool)
+        crowd[order] = np.repeat(counts >= CROWD, counts)
+        flags, crowds = ([np.packbits(x).tobytes() for x in np.split(y, np.cumsum(sizes)[:-1])] for y in (hit, crowd))
+        return pa.table({"block": group["block"], "bucket": group["bucket"], "n": pa.array(sizes, pa.int32()),
+                         "flags": pa.array(flags, pa.binary()), "crowds": pa.array(crowds, pa.binary())})
 
     sent = blocks.mapInArrow(send, "bucket int, block long, sent binary")
-    answers = sent.groupBy("bucket").applyInArrow(answer, "block long, bucket int, n int, flags binary")
-    per_block = written(answers, name).groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "n", "flags"))).alias("answers"))
-    return per_block
+    answers = sent.groupBy("bucket").applyInArrow(answer, ANSWERS)
+    return per_block(answers, name)
+
+
+def per_block(answers: DataFrame, name: str) -> DataFrame:
+    """A block's answers in one row: a few bits per hash of a block."""
+    rest = [c for c in answers.columns if c not in ("block", "bucket")]
+    return written(answers, name).groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("bucket", *rest))).alias("answers"))
 
 
-def flags_of(batch: pa.RecordBatch, row: int) -> np.ndarray:
+def flags_of(batch: pa.RecordBatch, row: int, column: str = "answers", field: str = "flags") -> np.ndarray:
     """The answers to a block, in the order of its distinct hashes."""
-    cell = batch.column(batch.schema.get_field_index("answers"))[row]
+    cell = batch.column(batch.schema.get_field_index(column))[row]
     if not cell.is_valid:
         return np.zeros(0, dtype=bool)
-    return np.concatenate([np.unpackbits(np.frombuffer(x["flags"], dtype=np.uint8), count=x["n"])
+    return np.concatenate([np.unpackbits(np.frombuffer(x[field], dtype=np.uint8), count=x["n"])
                            for x in cell.as_py()] or [np.zeros(0, dtype=np.uint8)]).astype(bool)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import (decontamination, language_id, mixing, near_dedup, quality, sharding, substring_dedup,
-                           url_filter, warc)
+                           suffix_dedup, url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,12 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_mixing": op7_mixing,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
 }

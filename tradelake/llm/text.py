@@ -91,6 +91,14 @@ def chunks(buf: np.ndarray, ends: np.ndarray, most: int = CHUNK) -> Iterator[tup
         lo = hi
 
 
+def spans_hash(buf: np.ndarray, first: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Hashes (not yet mixed) of the byte strings first..behind of ``buf``."""
+    up, down = _powers(len(buf) + 1)
+    sums = np.zeros(len(buf) + 1, dtype=U)
+    np.cumsum(_LETTER[buf] * up[:-1], out=sums[1:])
+    return (sums[behind] - sums[first]) * down[first]
+
+
 class Words:
     """The words of a chunk: text number, first byte, byte behind, hash."""
 
@@ -117,10 +125,7 @@ class Words:
             at = int(self.start[lo])
             hi = max(lo + 1, int(np.searchsorted(self.start, at + _SEGMENT)))
             s, e = self.start[lo:hi] - at, self.end[lo:hi] - at
-            up, down = _powers(int(e[-1]))
-            sums = np.zeros(int(e[-1]) + 1, dtype=U)
-            np.cumsum(_LETTER[buf[at:at + int(e[-1])]] * up, out=sums[1:])
-            out[lo:hi] = mix64((sums[e] - sums[s]) * down[s])
+            out[lo:hi] = mix64(spans_hash(buf[at:at + int(e[-1])], s, e))
             lo = hi
         return out
 
