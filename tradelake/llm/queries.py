@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.llm import (decontamination, language_id, mixing, near_dedup, quality, sharding, substring_dedup,
+from tradelake.llm import (decontamination, language_id, mixing, near_dedup, oracle, quality, sharding, substring_dedup,
                            suffix_dedup, url_filter, warc)
 
 
@@ -83,4 +83,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
