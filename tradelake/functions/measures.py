@@ -1,8 +1,11 @@
 """Dashboard measures over the clean sales tables.
 
 The reference only promises these on its dashboard; the formulas are ours.
-Money is summed exactly as ``decimal(18,2)`` per value (double sums depend on
-the order rows arrive in) and reported as double.  Every measure aggregates
+Money is summed exactly as ``decimal(38,2)`` (double sums depend on the order
+rows arrive in) and reported as double.  What the measures cannot use (an
+amount that is no number of at most 1e36, a time that does not parse) is
+counted per branch by :func:`unmeasured_orders`, which the measures job writes
+beside them.  Every measure aggregates
 first (partial aggregation map-side, so a hot branch or manager is combined
 before the shuffle); the windows then run on the small (branch x month) rows,
 partitioned by branch.
@@ -13,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,2)"
 
 
 def _money(c: str = "total_amount"):
@@ -148,7 +151,7 @@ def contribution(orders: DataFrame, branch: DataFrame | None = None) -> DataFram
     # orders pipeline and its shuffles are shared instead of run twice
     grand = agg.agg(F.sum("sales").cast("double").alias("grand")).scalar()
     return agg.select("filial_code", F.col("sales").cast("double").alias("total_sales"),
-                      (F.col("sales").cast("double") / grand).alias("share"))
+                      F.try_divide(F.col("sales").cast("double"), grand).alias("share"))
 
 
 def moving_average(orders: DataFrame, monthly: DataFrame | None = None,
@@ -177,20 +180,40 @@ def sales_anomalies(orders: DataFrame, monthly: DataFrame | None = None,
     Tested exactly on decimals: with n, S = sum, Q = sum of squares over the
     history, |x - S/n| > k*sd  <=>  (n-1)(n x - S)^2 > k^2 n (n Q - S^2).
     In cents, ``decimal(38,0)`` holds this for monthly branch sales up to about
-    8e15 currency units; beyond that ANSI arithmetic raises instead of
-    answering wrongly."""
-    m = _monthly(orders, monthly).withColumn(
-        "x", (F.col("sales") * 100).cast("decimal(38,0)"))       # exact cents
+    8e15 currency units.  Where a step does not fit, the same test runs on
+    doubles."""
+    m = _monthly(orders, monthly).withColumns({
+        "x": (F.col("sales") * 100).try_cast("decimal(38,0)"),       # exact cents
+        "d": F.col("sales").cast("double")})
     w = _by_branch((-history, -1))
-    z = m.select("filial_code", "month", "sales", "x",
-                 F.count("x").over(w).cast("decimal(38,0)").alias("n"),
-                 F.sum("x").over(w).cast("decimal(38,0)").alias("s"),
-                 F.sum(F.col("x") * F.col("x")).over(w).cast("decimal(38,0)").alias("q"))
-    n, s, q, x = F.col("n"), F.col("s"), F.col("q"), F.col("x")
-    dev = n * x - s
-    cond = (n >= 2) & ((n - 1) * dev * dev > F.lit(k * k) * n * (n * q - s * s))
-    return z.where(cond).select("filial_code", "month",
-                                F.col("sales").cast("double").alias("sales"))
+    z = m.select("filial_code", "month", "sales", "x", "d",
+                 F.count("sales").over(w).cast("decimal(38,0)").alias("n"),
+                 F.try_sum("x").over(w).try_cast("decimal(38,0)").alias("s"),
+                 F.try_sum(F.try_multiply("x", "x")).over(w).try_cast("decimal(38,0)").alias("q"),
+                 F.count(F.try_multiply("x", "x")).over(w).alias("whole"),
+                 F.avg("d").over(w).alias("mean"), F.stddev_samp("d").over(w).alias("sd"))
+    n, x = F.col("n"), F.col("x")
+    dev = F.try_subtract(F.try_multiply(n, x), F.col("s"))
+    left = F.try_multiply(n - 1, F.try_multiply(dev, dev))
+    right = F.try_multiply(F.lit(k * k) * n, F.try_subtract(F.try_multiply(n, F.col("q")),
+                                                          F.try_multiply("s", "s")))
+    exact = F.when(F.col("whole") == n, left > right)
+    about = F.abs(F.col("d") - F.col("mean")) > k * F.col("sd")
+    return z.where((n >= 2) & F.coalesce(exact, about)).select(
+        "filial_code", "month", F.col("sales").cast("double").alias("sales"))
+
+
+def unmeasured_orders(orders: DataFrame) -> DataFrame:
+    """Per branch: orders whose amount is present but cannot be summed (left
+    out of every sum, counted in ``n_orders``) and orders whose time does not
+    parse (left out of the monthly measures)."""
+    amount = F.col("total_amount").isNotNull() & _money().isNull()
+    time = F.try_to_date(F.col("deal_time")).isNull()
+    return orders.groupBy("filial_code").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.count_if(amount).alias("n_amount_unsummable"),
+        F.count_if(time).alias("n_time_unparsed"),
+        F.sum(F.when(time, _money())).cast("double").alias("sales_time_unparsed"))
 
 
 # Measures over the per-branch base (accept ``branch=``).
@@ -214,4 +237,5 @@ MEASURES = {
     "d10_moving_average": moving_average,
     "d11_cumulative_sales": cumulative_sales,
     "d12_sales_anomalies": sales_anomalies,
+    "unmeasured_orders": unmeasured_orders,
 }

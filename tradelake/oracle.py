@@ -138,7 +138,7 @@ def table_sql(name: str) -> str:
 
 def _orders_cte() -> str:
     return (f"o AS ({table_sql('orders')}), "
-            "od AS (SELECT *, TRY_CAST(total_amount AS DECIMAL(18,2)) AS amt FROM o), "
+            "od AS (SELECT *, TRY_CAST(total_amount AS DECIMAL(38,2)) AS amt FROM o), "
             "mb AS (SELECT filial_code, month, SUM(amt) AS sales FROM "
             "(SELECT filial_code, strftime(TRY_CAST(deal_time AS DATE), '%Y-%m') AS month, amt "
             "FROM od) x WHERE month IS NOT NULL GROUP BY filial_code, month)")
@@ -193,5 +193,11 @@ def measure_sql(name: str) -> str:
             f"SUM(x * x) OVER ({_WB} ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING) AS q "
             f"FROM (SELECT *, CAST(sales * 100 AS HUGEINT) AS x FROM mb) c) z "
             f"WHERE n >= 2 AND (n - 1) * (n * x - s) * (n * x - s) > 4 * n * (n * q - s * s)"),
+        "unmeasured_orders": (
+            "SELECT filial_code, COUNT(*) AS n_orders, "
+            "COUNT(*) FILTER (total_amount IS NOT NULL AND amt IS NULL) AS n_amount_unsummable, "
+            "COUNT(*) FILTER (TRY_CAST(deal_time AS DATE) IS NULL) AS n_time_unparsed, "
+            "CAST(SUM(amt) FILTER (TRY_CAST(deal_time AS DATE) IS NULL) AS DOUBLE) "
+            "AS sales_time_unparsed FROM od GROUP BY filial_code"),
     }[name]
     return f"WITH {_orders_cte()} {body}"

@@ -1,20 +1,20 @@
-"""Generic table builder: one normalised export frame -> one clean table.
+"""Generic table builder: one export frame -> one clean table.
 
 Plan per table (all DataFrame operators, planned by Catalyst):
 
 1. read the frame's raw text fields (absent fields are NULL columns — O5/D1);
-2. children: inner equi-join with the parent table's surviving rows on the
-   parent's reference columns, taking the inherited (``^``) columns — this is
-   "explode from the de-duplicated parent" (O12/O13).  The join is a plain
-   shuffle join; AQE splits a skewed parent (one document holding a large share
-   of the elements) and broadcasts a parent side only when its runtime size is
-   under the configured threshold;
+2. children (O12/O13): where the parent frame holds the child list, the list
+   rides along with the parent row through the parent's filters and keep-first,
+   and is exploded from the surviving row with the inherited (``^``) columns
+   beside it — no join.  A parent without keep-first makes this narrow.  Where
+   the frames come from separate relational tables, an inner equi-join on the
+   parent's reference columns does the same;
 3. row filters on raw text (O1–O4), text transforms (O16–O18, O21),
    coercion (O6–O8), NULL-key drop (O11);
 4. keep-first (O9) over the reference columns or whole-row distinct (O10);
 5. derived label (O19).
 
-The result keeps the reference columns so that children can join to it;
+The result keeps the reference columns and, on request, the child lists;
 :func:`table` strips them for output.
 """
 
@@ -38,9 +38,9 @@ def _field(df: DataFrame, name: str, have: set[str] | None = None):
 
 def _first_element(export: Export, depth_refs: tuple[str, ...], child_path: str,
                    field_name: str) -> DataFrame:
-    """Per parent row, ``field`` of its first child element (NULL when the
-    list is empty).  ``min(struct(position..., value))`` is a partial
-    aggregate, so a parent with many elements is reduced map-side."""
+    """O15 over separate frames: per parent row, ``field`` of its first child
+    element (NULL when the list is empty).  ``min(struct(position..., value))``
+    is a partial aggregate, so a parent with many elements is reduced map-side."""
     fr = export.frame(child_path)
     pos = [r for r in fr.refs if r not in depth_refs]
     df = fr.df
@@ -50,34 +50,94 @@ def _first_element(export: Export, depth_refs: tuple[str, ...], child_path: str,
               .select(*depth_refs, F.col("_first._v").alias(field_name)))
 
 
-def build_with_refs(export: Export, name: str,
-                    memo: dict[str, tuple[DataFrame, tuple[str, ...]]] | None = None
-                    ) -> tuple[DataFrame, tuple[str, ...]]:
-    """Build table ``name`` from ``export``; returns (DataFrame incl. refs, refs)."""
-    memo = {} if memo is None else memo
-    if name in memo:
-        return memo[name]
-    spec: TableSpec = SPEC_BY_NAME[name]
-    fr = export.frame(spec.path)
-    refs = fr.refs
-    raw = fr.df
+def _struct_fields(df: DataFrame, column: str) -> set[str]:
+    return set(df.schema[column].dataType.elementType.names)
 
-    fields = [f for f in spec.read_fields if not (spec.first_of and f == spec.first_of[1])]
-    have = set(raw.columns)
-    df = raw.select(*refs, *[_field(raw, f, have) for f in fields if f not in spec.inherited])
 
-    if spec.first_of:
-        child_path, fname = spec.first_of
-        first = _first_element(export, refs, child_path, fname)
-        df = df.join(first, on=list(refs), how="left")
+def _explode(df: DataFrame, keep: list[str], steps: list[str], depth: int) -> DataFrame:
+    """Elements of the list ``_list_<step>`` of each row, step by step, with the
+    columns ``keep`` beside them.  NULL lists and elements give no row."""
+    column = f"_list_{steps[0]}"
+    for n, step in enumerate(steps, 1):
+        pos = f"_p{depth + n}"
+        df = (df.select(*keep, F.posexplode(F.col(column)).alias(pos, "_e"))
+                .where(F.col("_e").isNotNull()))
+        keep = [*keep, pos]
+        if n < len(steps):
+            column = steps[n]
+            df = df.select(*keep, F.col(f"_e.{column}").alias(column))
+    return df
+
+
+def _survives_all(spec: TableSpec) -> bool:
+    """No step of the table, or of its parents, drops or moves a row."""
+    own = (spec.key is None and not spec.distinct)
+    return own and (spec.parent is None or _survives_all(SPEC_BY_NAME[spec.parent]))
 
+
+def lists_of(export: Export, name: str) -> tuple[str, ...]:
+    """The child lists of table ``name`` that other tables explode."""
+    spec = SPEC_BY_NAME[name]
+    have = export.frame(spec.path).lists if spec.path in export.frames else None
+    first = {_steps(spec, c)[0] for c in SPEC_BY_NAME.values() if c.parent == name}
+    return tuple(sorted(f for f in first if have is None or f in have))
+
+
+def _steps(parent: TableSpec, child: TableSpec) -> list[str]:
+    """List fields that lead from the parent's frame to the child's."""
+    return child.path[len(parent.path):].lstrip(".").split(".")
+
+
+def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo) -> tuple[DataFrame, tuple[str, ...]]:
+    """Raw rows of the table's frame whose parent survived: references, raw
+    fields, inherited columns and the lists ``carry`` (as ``_list_<name>``)."""
+    first_field = spec.first_of[1] if spec.first_of else None
+    fields = [f for f in spec.read_fields if f not in spec.inherited and f != first_field]
+    if spec.parent:
+        parent = SPEC_BY_NAME[spec.parent]
+        steps = _steps(parent, spec)
+        if steps[0] in export.frame(parent.path).lists:
+            pdf, prefs = build_with_refs(export, spec.parent, memo, carry=(steps[0],))
+            depth = path_depth(parent.path)
+            df = _explode(pdf, [*prefs, *spec.inherited], steps, depth)
+            refs = (*prefs, *[f"_p{depth + n}" for n in range(1, len(steps) + 1)])
+            have = set(df.schema["_e"].dataType.names)
+
+            def own(f):
+                return (F.col(f"_e.{f}") if f in have else F.lit(None).cast("string")).alias(f)
+            df = df.select(*refs, *spec.inherited, *[own(f) for f in fields],
+                           *[F.col(f"_e.{c}").alias(f"_list_{c}") for c in carry])
+            return df, refs
+
+    fr = export.frame(spec.path)
+    refs, raw = fr.refs, fr.df
+    have = set(raw.columns)
+    cols = [*refs, *[_field(raw, f, have) for f in fields],
+            *[F.col(c).alias(f"_list_{c}") for c in carry]]
+    if spec.first_of and spec.first_of[0] in fr.lists:               # O15, in the row
+        child, fname = spec.first_of
+        element = F.get(F.filter(F.col(child), lambda e: e.isNotNull()), F.lit(0))
+        value = element[fname] if fname in _struct_fields(raw, child) else F.lit(None).cast("string")
+        cols.append(value.alias(fname))
+    df = raw.select(*cols)
+    if spec.first_of and spec.first_of[0] not in fr.lists:
+        first = _first_element(export, refs, *spec.first_of)
+        df = df.join(first, on=list(refs), how="left")
     if spec.parent:
         pdf, prefs = build_with_refs(export, spec.parent, memo)
         prefix = tuple(refs[: ref_width(refs, path_depth(SPEC_BY_NAME[spec.parent].path))])
-        assert prefix == prefs, (name, prefix, prefs)
+        assert prefix == prefs, (spec.name, prefix, prefs)
         inherited = pdf.select(*prefs, *spec.inherited)
         df = df.join(inherited, on=list(prefs), how="inner")
+    return df, refs
+
 
+def filtered_rows(export: Export, name: str, carry: tuple[str, ...] = (), memo=None
+                  ) -> tuple[DataFrame, tuple[str, ...]]:
+    """Raw rows of table ``name`` after the parent and the row filters, before
+    any coercion: the values that the table's casts see."""
+    spec: TableSpec = SPEC_BY_NAME[name]
+    df, refs = _rows(export, spec, carry, {} if memo is None else memo)
     # -- row filters on raw text
     cond = F.lit(True)
     if spec.active:
@@ -88,6 +148,20 @@ def build_with_refs(export: Export, name: str,
         cond = cond & C.is_truthy(t)
     if spec.active or spec.active_or_blank or spec.truthy:
         df = df.filter(cond)
+    return df, refs
+
+
+def build_with_refs(export: Export, name: str, memo: dict[str, tuple[DataFrame, tuple[str, ...]]] | None = None,
+                    carry: tuple[str, ...] = ()) -> tuple[DataFrame, tuple[str, ...]]:
+    """Build table ``name`` from ``export``; returns (DataFrame incl. refs and
+    the lists ``carry``, refs).  ``memo`` holds tables that are already built
+    (or written), with all lists they were built with."""
+    memo = {} if memo is None else memo
+    lists = [f"_list_{c}" for c in carry]
+    if name in memo and set(lists) <= set(memo[name][0].columns):
+        return memo[name]
+    spec: TableSpec = SPEC_BY_NAME[name]
+    df, refs = filtered_rows(export, name, carry, memo)
 
     # -- text transforms and coercion
     exprs = {}
@@ -107,7 +181,7 @@ def build_with_refs(export: Export, name: str,
         exprs[c] = C.to_float(c)
     for c in spec.typed("boolean"):
         exprs[c] = C.to_bool(c)
-    df = df.select(*refs, *[exprs.get(c, F.col(c)).alias(c) for c in spec.columns])
+    df = df.select(*refs, *[exprs.get(c, F.col(c)).alias(c) for c in spec.columns], *lists)
 
     df = drop_null_keys(df, spec.dropna)
     if spec.key is not None:
@@ -132,24 +206,18 @@ def table(export: Export, name: str, memo=None) -> DataFrame:
     return df.select(*output_columns(name))
 
 
-def rejects(export: Export, name: str) -> DataFrame:
-    """Per integer column of table ``name``, how many input values looked
+def rejects(export: Export, name: str, memo=None) -> DataFrame:
+    """Per integer column of table ``name``, how many values that its cast
+    sees (rows whose parent survived and that pass the row filters) looked
     numeric but could not become a bigint (fraction, infinity, overflow).  The
     reference aborts the whole run on the first such value; we keep NULL in
-    the table and report the count.  One aggregate over the table's frame, no
-    collect; callers decide (``strict`` runs raise on a non-zero count)."""
+    the table and report the count.  One aggregate, no collect; callers decide
+    (``strict`` runs raise on a non-zero count)."""
     spec = SPEC_BY_NAME[name]
     ints = [c for c in spec.typed("long") if c not in spec.inherited]
-    if spec.first_of:
-        ints = [c for c in ints if c != spec.first_of[1]]
-    raw = export.frame(spec.path).df
-    have = set(raw.columns)
-    # a field the export lacks is all NULL, which is never a reject
-    aggs = [(F.sum(C.int_reject(c).cast("long")) if c in have else F.lit(0).cast("long")).alias(c)
-            for c in ints]
-    if not aggs:
-        return raw.sparkSession.createDataFrame([], "table string, column string, n_rejects long")
-    wide = raw.agg(*aggs)
-    stack = ", ".join(f"'{c}', coalesce(`{c}`, 0L)" for c in ints)
-    return wide.selectExpr(f"'{name}' AS table",
-                           f"stack({len(ints)}, {stack}) AS (column, n_rejects)")
+    df, _ = filtered_rows(export, name, memo=memo)
+    if not ints:
+        return df.sparkSession.createDataFrame([], "table string, column string, n_rejects long")
+    wide = df.agg(*[F.count_if(C.int_reject(c)).alias(c) for c in ints])
+    stack = ", ".join(f"'{c}', `{c}`" for c in ints)
+    return wide.selectExpr(f"'{name}' AS table", f"stack({len(ints)}, {stack}) AS (column, n_rejects)")

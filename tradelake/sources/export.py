@@ -9,10 +9,11 @@ per nesting path instead of one nested row per document:
 * ``"order_products.details"`` -> ``(_ord, _p1, _p2)`` and so on.
 
 The reference columns (``refs``) give record order for keep-first
-de-duplication and are the join key between a child and its parent.  Landing a
-nested JSON document into this form is a narrow ``posexplode`` per path (no
-shuffle); deriving it from relational tables is a plain projection, so no step
-ever groups an unbounded list into one row.
+de-duplication.  A frame of nested documents also holds its child lists as
+array columns (``lists``): children are then exploded from the parent rows that
+survive, in place, without a join.  Frames derived from separate relational
+tables have no such list; there the references are the join key between a
+child and its parent, and no step groups an unbounded list into one row.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 class Frame:
     df: DataFrame
     refs: tuple[str, ...]          # _ord + position column(s) of every level
+    lists: tuple[str, ...] = ()    # array columns: the frame's child lists
 
     def parent_refs(self, depth: int) -> tuple[str, ...]:
         """Reference columns of the ancestor at ``depth`` (0 = document)."""

@@ -53,7 +53,8 @@ def flatten(source: str, docs: DataFrame, refs: tuple[str, ...] | None = None) -
     def walk(df: DataFrame, st: StructType, path: str, rf: tuple[str, ...], depth: int):
         scalars = [f.name for f in st.fields if not isinstance(f.dataType, ArrayType)]
         arrays = [f for f in st.fields if isinstance(f.dataType, ArrayType)]
-        exp.frames[path] = Frame(df.select(*rf, *scalars), rf)
+        exp.frames[path] = Frame(df.select(*rf, *scalars, *[a.name for a in arrays]), rf,
+                                 tuple(a.name for a in arrays))
         for a in arrays:
             pos = f"_p{depth + 1}"
             child = (df.select(*rf, F.posexplode(F.col(a.name)).alias(pos, "_e"))
