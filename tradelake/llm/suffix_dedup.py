@@ -48,8 +48,10 @@ from tradelake.llm.text import U, covered, letters_of, mix64, run_starts, spans_
 LENGTH = 50
 GRAM = 24
 BLOCK = 2 << 20
-PER_BUCKET = 2_000_000   # bytes of text that one index holds, about
+PER_BUCKET = 1_000_000   # bytes of documents for each bucket, of which an index holds some
 _PLACE = 22              # bits for a place in a block
+SEED = 7                 # letters from which extension starts
+PLACE = np.int32         # places in a block or an index, both far below 2 GB
 _SEGMENT = 2 << 20       # bytes whose hash sums are held at once
 
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start long, end long>>, kept binary"
@@ -65,20 +67,25 @@ def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
     for i in range(span):
         key = (key << U(9)) | np.roll(codes, -i).astype(U)
     while True:
-        order = np.argsort(key)
+        order = np.argsort(key).astype(PLACE)
         if span >= depth:
             return order
-        sorted_key = key[order]
-        rank = np.empty(len(codes), dtype=U)
-        rank[order] = np.cumsum(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])).astype(U)
-        key = (rank << U(32)) | np.roll(rank, -span)
+        key = key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank = np.empty(len(codes), dtype=np.uint32)
+        rank[order] = np.cumsum(new, dtype=np.uint32)
+        key = rank.astype(U)
+        key <<= U(32)
+        key |= np.roll(rank, -span)
         span *= 2
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """starts[0], starts[0]+1, ... for each of the ranges."""
     at = np.cumsum(sizes) - sizes
-    return np.arange(int(sizes.sum())) + np.repeat(starts - at, sizes)
+    out = np.repeat((starts - at).astype(PLACE), sizes)
+    out += np.arange(len(out), dtype=PLACE)
+    return out
 
 
 def repeat_groups(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,40 +96,50 @@ def repeat_groups(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
     extension by a letter maps the letter's first occurrence behind p, if the
     interval also has it before p, to a boundary with common prefix l + 1.
     Per split, all parts but the largest are looked through, so a place is
-    visited O(log n) times.
+    visited O(log n) times.  Extension starts from the intervals of all strings
+    of ``SEED`` letters, as it would reach them from single letters.
     """
     n = len(codes)
     order = suffix_order(codes, length)
     bwt = codes[order - 1]                       # the letter before each suffix
-    by_letter = np.argsort(bwt, kind="stable")
-    to = np.empty(n, dtype=np.int64)             # LF: where the suffix one longer stands
-    to[by_letter] = np.arange(n)
+    by_letter = np.argsort(bwt, kind="stable").astype(PLACE)
+    to = np.empty(n, dtype=PLACE)                # LF: where the suffix one longer stands
+    to[by_letter] = np.arange(n, dtype=PLACE)
     same = bwt[by_letter][1:] == bwt[by_letter][:-1]
-    prev, following = np.full(n, -1), np.full(n, n)
+    prev, following = np.full(n, -1, dtype=PLACE), np.full(n, n, dtype=PLACE)
     prev[by_letter[1:][same]] = by_letter[:-1][same]
     following[by_letter[:-1][same]] = by_letter[1:][same]
-
-    interval = np.zeros(n, dtype=np.int64)       # the interval of each place
-    start, end = np.zeros(n + 1, dtype=np.int64), np.full(n + 1, n)
-    intervals = 1
-    bound = np.zeros(n, dtype=bool)
-    bound[0] = True
-    new = run_starts(codes[order])[1:]           # common prefix 0
+    del by_letter, same, bwt
+
+    # the intervals of strings of SEED letters are read off the sorted suffixes
+    seed = min(SEED, length)
+    key = np.zeros(n, dtype=U)
+    for i in range(seed):
+        key = (key << U(9)) | np.roll(codes, -i)[order]
+    differs = key[1:] != key[:-1]
+    key >>= U(9)
+    bound = np.concatenate([[True], key[1:] != key[:-1]])   # common prefix below seed - 1
+    new = np.flatnonzero(differs & ~bound[1:]) + 1          # common prefix seed - 1
+    del key, differs
+    interval = np.cumsum(bound, dtype=PLACE) - PLACE(1)     # the interval of each place
+    start = np.append(np.flatnonzero(bound), n).astype(PLACE)
+    end = np.append(start[1:], n).astype(PLACE)
+    intervals = len(start) - 1
     bound[new] = True
-    for _ in range(length - 1):
+    for _ in range(length - seed):
         if not len(new):
             break
         parent = interval[new]
         firsts = run_starts(parent)              # new boundaries of one interval lie together
-        group = np.cumsum(np.isin(np.arange(len(new)), firsts)) - 1
+        group = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(new))))
         # parts: from the interval's start, and from each new boundary
         parts = len(new) + len(firsts)
         at = np.arange(len(new)) + group + 1
         head = firsts + np.arange(len(firsts))
-        s, owner = np.empty(parts, dtype=np.int64), np.empty(parts, dtype=np.int64)
+        s, owner = np.empty(parts, dtype=PLACE), np.empty(parts, dtype=PLACE)
         s[at], s[head] = new, start[parent[firsts]]
         owner[at], owner[head] = parent, parent[firsts]
-        e = np.append(s[1:], 0)
+        e = np.append(s[1:], PLACE(0))
         last = np.append(head[1:] - 1, parts - 1)
         e[last] = end[parent[firsts]]
         size = e - s
@@ -136,7 +153,7 @@ def repeat_groups(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
         origin = s[head][part_of]
 
         places = _ranges(s[small], size[small])
-        part = np.repeat(np.flatnonzero(small), size[small])
+        part = np.repeat(np.flatnonzero(small).astype(PLACE), size[small])
         back = prev[places]
         here = places[(back < s[part]) & (back >= origin[part])]
         ahead = following[places]
@@ -146,8 +163,8 @@ def repeat_groups(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarra
         intervals += len(numbers)
         interval[places] = np.repeat(numbers, size[small])
         if intervals > len(start):
-            start = np.concatenate([start, np.zeros(intervals, dtype=np.int64)])
-            end = np.concatenate([end, np.zeros(intervals, dtype=np.int64)])
+            start = np.concatenate([start, np.zeros(intervals, dtype=PLACE)])
+            end = np.concatenate([end, np.zeros(intervals, dtype=PLACE)])
         start[numbers], end[numbers] = s[small], e[small]
         start[owner[big]], end[owner[big]] = s[big], e[big]
 

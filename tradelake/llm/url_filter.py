@@ -75,8 +75,8 @@ def _passes(level: int, m: int, k: int, bits: np.ndarray, h1: np.ndarray, h2: np
 
 
 def _positions(level: int, m: int, k: int, h1: np.ndarray, h2: np.ndarray):
-    a = mix64(h1 + U(level) * U(0x9E3779B97F4A7C15))
-    b = mix64(h2 + U(level) * U(0xD1342543DE82EF95)) | U(1)
+    a = mix64(h1 + U(level * 0x9E3779B97F4A7C15 % 2**64))
+    b = mix64(h2 + U(level * 0xD1342543DE82EF95 % 2**64)) | U(1)
     for j in range(k):
         yield ((a + U(j) * b) % U(m)).astype(np.int64)
 
