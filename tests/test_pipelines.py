@@ -108,6 +108,8 @@ def test_streaming_refresh_takes_newest_export_directory(spark, tmpdir_path):
                 [{"_ord": 1, "logistics_id": "3"}], "part-0.json")
     write_lines(os.path.join(land, "export=20260102"),
                 [{"_ord": 2, "logistics_id": "4"}], "part-1.json")
+    for export in ("20260101", "20260102"):
+        open(os.path.join(land, f"export={export}", "_SUCCESS"), "w").close()
     out = os.path.join(tmpdir_path, "out")
     refresh_on_landing(spark, "logistics", land, out).awaitTermination(120)
     ids = sorted(r.logistics_id for r in spark.read.parquet(os.path.join(out, "logistics")).collect())

@@ -30,12 +30,13 @@ def main(argv=None) -> None:
         p.add_argument("--landing", required=True)
         p.add_argument("--out", required=True)
         p.add_argument("--on-empty", default="keep", choices=["keep", "replace"])
+        p.add_argument("--as-of", help="a date or 'today': limits the visit export to its window")
     r = sub.choices["run"]
     r.add_argument("--envelope", action="store_true")
     r.add_argument("--csv")
-    r.add_argument("--as-of")
     r.add_argument("--date-column")
     r.add_argument("--strict", action="store_true")
+    r.add_argument("--on-corrupt", default="raise", choices=["raise", "drop"])
     g = sub.add_parser("group")
     g.add_argument("--group", required=True, choices=sorted(JOB_GROUPS))
     g.add_argument("--landing-root", required=True)
@@ -43,6 +44,9 @@ def main(argv=None) -> None:
     g.add_argument("--envelope", action="store_true")
     g.add_argument("--csv")
     g.add_argument("--on-empty", default="keep", choices=["keep", "replace"])
+    g.add_argument("--as-of", help="a date or 'today': limits the visit export to its window")
+    g.add_argument("--strict", action="store_true")
+    g.add_argument("--on-corrupt", default="raise", choices=["raise", "drop"])
     m = sub.add_parser("measures")
     m.add_argument("--tables", required=True)
     m.add_argument("--out", required=True)
@@ -52,16 +56,17 @@ def main(argv=None) -> None:
     if args.cmd == "run":
         res = pipelines.run(spark, args.source, args.landing, args.out, envelope=args.envelope,
                             as_of=args.as_of, date_column=args.date_column, csv_root=args.csv,
-                            on_empty=args.on_empty, strict=args.strict)
+                            on_empty=args.on_empty, strict=args.strict, on_corrupt=args.on_corrupt)
     elif args.cmd == "group":
         res = pipelines.run_group(spark, args.group, args.landing_root, args.out,
                                   envelope=args.envelope, csv_root=args.csv,
-                                  on_empty=args.on_empty)
+                                  on_empty=args.on_empty, as_of=args.as_of, strict=args.strict,
+                                  on_corrupt=args.on_corrupt)
     elif args.cmd == "measures":
         res = pipelines.refresh_measures(spark, args.tables, args.out)
     else:
         q = refresh_on_landing(spark, args.source, args.landing, args.out,
-                               on_empty=args.on_empty)
+                               on_empty=args.on_empty, as_of=args.as_of)
         q.awaitTermination()
         res = {"stream": q.id}
     print(json.dumps(res, default=str))

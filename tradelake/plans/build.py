@@ -20,7 +20,7 @@ The result keeps the reference columns and, on request, the child lists;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
@@ -69,10 +69,10 @@ def _explode(df: DataFrame, keep: list[str], steps: list[str], depth: int) -> Da
     return df
 
 
-def _survives_all(spec: TableSpec) -> bool:
-    """No step of the table, or of its parents, drops or moves a row."""
-    own = (spec.key is None and not spec.distinct)
-    return own and (spec.parent is None or _survives_all(SPEC_BY_NAME[spec.parent]))
+def loses_rows(spec: TableSpec) -> bool:
+    """Does the table, or a parent of it, de-duplicate (that is, shuffle)?"""
+    own = spec.key is not None or spec.distinct
+    return own or (spec.parent is not None and loses_rows(SPEC_BY_NAME[spec.parent]))
 
 
 def lists_of(export: Export, name: str) -> tuple[str, ...]:
@@ -152,16 +152,21 @@ def filtered_rows(export: Export, name: str, carry: tuple[str, ...] = (), memo=N
 
 
 def build_with_refs(export: Export, name: str, memo: dict[str, tuple[DataFrame, tuple[str, ...]]] | None = None,
-                    carry: tuple[str, ...] = ()) -> tuple[DataFrame, tuple[str, ...]]:
+                    carry: tuple[str, ...] = (), seen: Observation | None = None
+                    ) -> tuple[DataFrame, tuple[str, ...]]:
     """Build table ``name`` from ``export``; returns (DataFrame incl. refs and
     the lists ``carry``, refs).  ``memo`` holds tables that are already built
-    (or written), with all lists they were built with."""
+    (or written), with all lists they were built with.  ``seen`` observes the
+    table's rejects (D2) in the pass that builds it."""
     memo = {} if memo is None else memo
     lists = [f"_list_{c}" for c in carry]
     if name in memo and set(lists) <= set(memo[name][0].columns):
         return memo[name]
     spec: TableSpec = SPEC_BY_NAME[name]
     df, refs = filtered_rows(export, name, carry, memo)
+    ints = cast_columns(name)
+    if seen is not None and ints:
+        df = df.observe(seen, *[F.count_if(C.int_reject(c)).alias(c) for c in ints])
 
     # -- text transforms and coercion
     exprs = {}
@@ -206,6 +211,12 @@ def table(export: Export, name: str, memo=None) -> DataFrame:
     return df.select(*output_columns(name))
 
 
+def cast_columns(name: str) -> list[str]:
+    """The columns that table ``name`` itself casts to integers."""
+    spec = SPEC_BY_NAME[name]
+    return [c for c in spec.typed("long") if c not in spec.inherited]
+
+
 def rejects(export: Export, name: str, memo=None) -> DataFrame:
     """Per integer column of table ``name``, how many values that its cast
     sees (rows whose parent survived and that pass the row filters) looked
@@ -213,8 +224,7 @@ def rejects(export: Export, name: str, memo=None) -> DataFrame:
     reference aborts the whole run on the first such value; we keep NULL in
     the table and report the count.  One aggregate, no collect; callers decide
     (``strict`` runs raise on a non-zero count)."""
-    spec = SPEC_BY_NAME[name]
-    ints = [c for c in spec.typed("long") if c not in spec.inherited]
+    ints = cast_columns(name)
     df, _ = filtered_rows(export, name, memo=memo)
     if not ints:
         return df.sparkSession.createDataFrame([], "table string, column string, n_rejects long")

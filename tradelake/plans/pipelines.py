@@ -3,98 +3,143 @@
 ``run(spark, source, landing, out_root)``:
 
 1. read the landed export with its declared schema (JSON Lines or envelopes),
-   optionally restricted to a date window (S5);
-2. stop when the export is empty (S6) — nothing is replaced (steps 2-5 are
-   :func:`refresh`, shared with the landing stream);
-3. write the nested documents once to a bronze Parquet copy under the
+   the visit export optionally restricted to its date window (S5);
+2. write the nested documents once to a bronze Parquet copy under the
    cluster's checkpoint directory, so the export is parsed once and every
-   table reads only the nested columns it needs (nested schema pruning);
-4. build every table of the export; parents that feed children are written
-   once as Parquet under ``spark.checkpoint.dir`` (lineage cut, columns
-   prunable), so their de-duplication runs once and a lost executor
-   recomputes from there;
-5. write each table (S7, keep-on-empty) and its CSV copy (S8).
+   table reads only the nested columns it needs; the same pass counts what did
+   not parse, and an export with any such record is refused;
+3. stop when the export is empty (S6) — nothing is replaced (steps 2-6 are
+   :func:`refresh`, shared with the landing stream);
+4. parents that are de-duplicated are written once with the lists of their
+   surviving documents; every child explodes from there, so what remains of a
+   child is its own keep-first.  Parents that lose no row (visits) are not
+   written: their children are narrow reads of the bronze copy;
+5. stage every table of the export, several at a time, counting what its
+   integer casts reject (D2) in the same pass; a ``strict`` run stops here if
+   there is any, with all previous tables in place;
+6. swap the staged tables in (S7, keep-on-empty), write the rejects and the CSV
+   copies (S8).
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import (BRANCH_MEASURES, MEASURES, MONTHLY_MEASURES,
                                   branch_totals, monthly_branch_sales)
-from ..session import ensure_checkpoint_dir, tune_session
+from ..session import checkpoint_root, ensure_checkpoint_dir, tune_session
 from ..sources import jsonsrc
-from ..sources.sinks import write_csv_copy, write_table
-from .build import build_with_refs, output_columns, rejects
+from ..sources.sinks import stage_table, write_csv_copy, write_table
+from .build import build_with_refs, cast_columns, lists_of, loses_rows, output_columns
 from .specs import JOB_GROUPS, PIPELINES, SPEC_BY_NAME, SPECS
 
+#: Jobs that are submitted at a time (tables of an export, exports of a group).
+PARALLEL = 4
+
+REJECTS = "table string, column string, n_rejects long"
+
+
+def _each(work: Callable, items: Iterable) -> list:
+    """``work`` for each item, ``PARALLEL`` at a time; the first error raises
+    when all have ended."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return [f.result() for f in [pool.submit(work, x) for x in items]]
+
 
 def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
         envelope: bool = False, as_of: str | None = None, date_column: str | None = None,
         csv_root: str | None = None, on_empty: str = "keep",
-        strict: bool = False) -> dict[str, bool]:
+        strict: bool = False, on_corrupt: str = "raise") -> dict[str, bool]:
+    """``as_of`` (a date or ``today``) limits the visit export to its window;
+    with ``date_column`` it limits any export by that document column."""
     tune_session(spark)
     docs = (jsonsrc.read_envelopes(spark, source, landing) if envelope
             else jsonsrc.read_lines(spark, source, landing))
-    if as_of and date_column:
-        docs = jsonsrc.date_window(docs, date_column, as_of)
+    if as_of:
+        docs = (jsonsrc.date_window(docs, date_column, as_of) if date_column
+                else jsonsrc.window(docs, source, as_of))
     return refresh(spark, source, docs, out_root, bronze_key=landing, csv_root=csv_root,
-                   on_empty=on_empty, strict=strict)
+                   on_empty=on_empty, strict=strict, on_corrupt=on_corrupt)
 
 
 def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
             bronze_key: str, csv_root: str | None = None, on_empty: str = "keep",
-            strict: bool = False) -> dict[str, bool]:
-    """Steps 2-5 for one export's documents ``docs`` (a batch read or one
-    micro-batch of the landing stream).  ``bronze_key`` names the bronze copy
-    and the written parents (the landing directory; one key per stream, whose
-    micro-batches run one after another), so a retried run overwrites its own
-    copy only."""
+            strict: bool = False, on_corrupt: str = "raise") -> dict[str, bool]:
+    """Steps 2-6 for one export's documents ``docs``.  ``bronze_key`` names the
+    bronze copy and the written parents (the landing directory), so a retried
+    run overwrites its own copy only.  ``on_corrupt="drop"`` goes on without
+    the records that did not parse."""
+    if on_corrupt not in ("raise", "drop"):
+        raise ValueError(on_corrupt)
     key = hashlib.sha1(bronze_key.rstrip("/").encode()).hexdigest()[:16]
-    work = ensure_checkpoint_dir(spark).rstrip("/")
+    work = checkpoint_root(spark).rstrip("/")
     bronze = f"{work}/bronze/{source}-{key}"
     # one pass over the export: the bronze copy (scratch, not an output) is
     # written while its documents are counted
-    n_docs = Observation("docs")
-    docs.observe(n_docs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(bronze)
-    if n_docs.get["n"] == 0:                             # S6: no records, no table writes
+    docs = jsonsrc.in_order(docs)
+    corrupt = F.col(jsonsrc.CORRUPT).isNotNull() if jsonsrc.CORRUPT in docs.columns else F.lit(False)
+    count = Observation(f"docs-{uuid.uuid4().hex}")
+    docs.observe(count, F.count(F.lit(1)).alias("n"), F.count_if(corrupt).alias("corrupt")).write.mode(
+        "overwrite").parquet(bronze)
+    counted = count.get
+    if counted["corrupt"] and on_corrupt == "raise":
+        raise ValueError(f"{source}: {counted['corrupt']} of {counted['n']} records of {bronze_key} do not parse")
+    if counted["n"] == counted["corrupt"]:               # S6: no records, no table writes
         return {}
-    export = jsonsrc.flatten(source, spark.read.parquet(bronze))
-
-    if strict:                       # D2 as the reference: refuse input it cannot type
-        for name in PIPELINES[source]:
-            bad = rejects(export, name).where("n_rejects > 0").limit(1).collect()
-            if bad:
-                raise ValueError(f"{name}.{bad[0]['column']}: {bad[0]['n_rejects']} values "
-                                 f"are not integers")
-
-    # Parents are de-duplicated once and written as Parquet under the shared
-    # checkpoint folder: lineage is cut there (a lost executor recomputes from
-    # the written parent, not from the export) and each child reads back only
-    # the reference and inherited columns it needs.
+    export = jsonsrc.flatten(source, spark.read.schema(docs.schema).parquet(bronze))
+
+    watched: dict[str, Observation] = {}
+
+    def observed(name: str) -> Observation | None:
+        if not cast_columns(name):
+            return None
+        watched[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+        return watched[name]
+
+    # Parents are de-duplicated once and written with their child lists: lineage
+    # is cut there, and a child reads back only the list and columns it needs.
     memo: dict = {}
     parents = {s.parent for s in SPECS if s.source == source and s.parent}
     for s in SPECS:                                      # specs are parent-first
-        if s.source == source and s.name in parents:
-            df, refs = build_with_refs(export, s.name, memo)
+        if s.source == source and s.name in parents and loses_rows(s):
+            df, refs = build_with_refs(export, s.name, memo, lists_of(export, s.name), observed(s.name))
             path = f"{work}/parents/{source}-{key}/{s.name}"
             df.write.mode("overwrite").parquet(path)
-            memo[s.name] = (spark.read.parquet(path), refs)
-
-    written = {}
-    for name in PIPELINES[source]:
-        df, _ = build_with_refs(export, name, memo)
-        out = df.select(*output_columns(name))
-        path = f"{out_root.rstrip('/')}/{name}"
-        written[name] = write_table(out, path, on_empty=on_empty)
-        if csv_root and (written[name] or SPEC_BY_NAME[name].source != "visit"):
-            # the copy reads the table just written (or is empty): no recompute
-            copy = (spark.read.parquet(path) if written[name]
-                    else spark.createDataFrame([], out.schema))
-            write_csv_copy(copy, f"{csv_root.rstrip('/')}/{name}")
+            memo[s.name] = (spark.read.schema(df.schema).parquet(path), refs)
+
+    plans = {name: build_with_refs(export, name, memo, seen=None if name in memo else observed(name))[0]
+             for name in PIPELINES[source]}
+
+    def stage(name: str):
+        return stage_table(plans[name].select(*output_columns(name)), f"{out_root.rstrip('/')}/{name}")
+
+    staged = dict(zip(PIPELINES[source], _each(stage, PIPELINES[source])))
+    rejected = [(name, c, n) for name, o in watched.items() for c, n in o.get.items()]
+    if strict and any(n for _, _, n in rejected):        # D2 as the reference: refuse what it cannot type
+        for t in staged.values():
+            t.discard()
+        raise ValueError("values that are not integers: " + ", ".join(
+            f"{name}.{c} ({n})" for name, c, n in rejected if n))
+
+    written = {name: t.commit(on_empty) for name, t in staged.items()}
+    write_table(spark.createDataFrame(rejected, REJECTS).coalesce(1), f"{out_root.rstrip('/')}/rejects/{source}",
+                on_empty="replace")
+
+    def copy(name: str) -> None:
+        # the copy reads the table just written (or is empty): no recompute
+        schema = plans[name].select(*output_columns(name)).schema
+        rows = (spark.read.parquet(f"{out_root.rstrip('/')}/{name}") if written[name]
+                else spark.createDataFrame([], schema))
+        write_csv_copy(rows, f"{csv_root.rstrip('/')}/{name}")
+
+    if csv_root:
+        _each(copy, [n for n in PIPELINES[source] if written[n] or SPEC_BY_NAME[n].source != "visit"])
     return written
 
 
@@ -134,11 +179,15 @@ def refresh_measures(spark: SparkSession, tables_root: str, out_root: str, *,
 
 
 def run_group(spark: SparkSession, group: str, landing_root: str, out_root: str,
-              **kw) -> dict[str, dict[str, bool]]:
+              as_of: str | None = None, **kw) -> dict[str, dict[str, bool]]:
     """Job group (references / sales / warehouse): its pipelines, independent
-    of each other; each reads ``{landing_root}/{source}``."""
-    return {src: run(spark, src, f"{landing_root.rstrip('/')}/{src}", out_root, **kw)
-            for src in JOB_GROUPS[group]}
+    of each other and run several at a time; each reads
+    ``{landing_root}/{source}``.  ``as_of`` applies to exports with a window."""
+    def one(src: str) -> dict[str, bool]:
+        day = as_of if src in jsonsrc.WINDOW_DATES else None
+        return run(spark, src, f"{landing_root.rstrip('/')}/{src}", out_root, as_of=day, **kw)
+
+    return dict(zip(JOB_GROUPS[group], _each(one, JOB_GROUPS[group])))
 
 
 def refresh_references(spark, landing_root, out_root, **kw):

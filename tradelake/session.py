@@ -43,15 +43,25 @@ def tune_session(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.  Only
-    when none is configured (local tests) a scratch directory of our own is
-    used; it is remembered in the session conf so every caller agrees."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
+    """The shared folder for intermediate data: the one the cluster names in
+    ``spark.checkpoint.dir``, or another one that the context was given with
+    ``setCheckpointDir``.  Without either, a scratch folder of our own, on a
+    local master only: on a cluster every machine would have its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tradelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    given = spark.sparkContext.getCheckpointDir()
+    if given and not (named and _plain(given).startswith(_plain(named))):
+        return given
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="tradelake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named
+
+
+def _plain(path: str) -> str:
+    return "/" + path.removeprefix("file:").strip("/") + "/"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -1,53 +1,101 @@
-"""Landed JSON exports (S1, S2, S3, S5) -> normalised :class:`Export`.
+"""Landed JSON exports (S1, S2, S3, S5) -> nested documents -> :class:`Export`.
 
-* JSON Lines (S1/S2): one document per line, with the landing order ``_ord``;
-  splittable, so the scan parallelises by file split.
+* JSON Lines (S1/S2): one document per line; splittable, so the scan
+  parallelises by file split.
 * Envelope (S3): one response object per file with the records under a key
   (``multiLine``: one task per file, so land many small files or convert to
-  JSON Lines).  Record order is (file path, position in the list).
+  JSON Lines).
 
-Flattening is one ``posexplode`` per nesting path: narrow, no shuffle.  An
-empty, NULL or wrongly typed list (read as NULL under PERMISSIVE) yields no
-rows; NULL list elements are dropped (they would explode to all-NULL rows).
+Nothing that fails to parse passes as data: a broken line, a broken envelope or
+a value of the wrong type (a number where a list holds objects) leaves its text
+in ``_corrupt_record``.  The pipelines count these and refuse the export.
+
+Record order is (``_ord`` if the documents have it, file, place of the split in
+the file, place in the split), so it is defined without ``_ord``, and files
+that each count from 1 do not get mixed up.  A child list stays an array column
+of its document and is exploded from the surviving row; list elements that are
+NULL are dropped (they would explode to all-NULL rows).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from .export import Export, Frame
 from .registry import ENVELOPE_KEYS, document_schema, envelope_schema, line_schema
 
+CORRUPT = "_corrupt_record"
+
+# Where an export's documents hold the date that a refresh window
+# asks for (S5), as list field and field of its elements.
+WINDOW_DATES = {"visit": ("visit_headers", "visit_date")}
+WINDOW_DAYS = 7
+
+
+def _reader(spark: SparkSession, schema: StructType):
+    return (spark.read.schema(StructType([*schema.fields]).add(CORRUPT, StringType()))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
+
 
 def read_lines(spark: SparkSession, source: str, path: str) -> DataFrame:
     """JSON Lines with a declared nested schema."""
-    return spark.read.schema(line_schema(source)).option("mode", "PERMISSIVE").json(path)
+    raw = _reader(spark, line_schema(source)).json(path)
+    return raw.select("*", F.col("_metadata.file_path").alias("_ord_f"),
+                      F.col("_metadata.file_block_start").alias("_ord_g"))
 
 
 def read_envelopes(spark: SparkSession, source: str, path: str) -> DataFrame:
-    """S3: response envelopes; unwrap the record list with its position."""
+    """S3: response envelopes; unwrap the record list with its position.  A
+    broken envelope stays as one row with its text."""
     key = ENVELOPE_KEYS[source]
-    raw = (spark.read.schema(envelope_schema(source)).option("multiLine", True)
-           .option("mode", "PERMISSIVE").json(path))
-    return (raw.select(F.col("_metadata.file_path").alias("_ord"),
-                       F.posexplode(F.col(key)).alias("_ord_b", "_doc"))
-               .where(F.col("_doc").isNotNull())
-               .select("_ord", "_ord_b", "_doc.*"))
+    raw = _reader(spark, envelope_schema(source)).option("multiLine", True).json(path)
+    return (raw.select(F.col("_metadata.file_path").alias("_ord"), CORRUPT,
+                       F.posexplode_outer(F.col(key)).alias("_ord_b", "_doc"))
+               .where(F.col("_doc").isNotNull() | F.col(CORRUPT).isNotNull())
+               .select("_ord", "_ord_b", CORRUPT, "_doc.*"))
+
+
+def in_order(docs: DataFrame) -> DataFrame:
+    """Give every row its place in its split.  Call it on the rows as read,
+    after any filter; the place is fixed once the rows are written."""
+    if "_ord_g" not in docs.columns:
+        return docs
+    return docs.withColumn("_ord_h", F.monotonically_increasing_id())
+
+
+def _between(day: Column, as_of: str, days: int) -> Column:
+    last = F.current_date() if as_of == "today" else F.to_date(F.lit(as_of))
+    return (day >= F.date_sub(last, days)) & (day <= last)
+
+
+def date_window(df: DataFrame, column: str, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    """Keep documents with ``column`` in [as_of - days, as_of] (``as_of``: a
+    date or ``today``).  On a landing partitioned by ``column`` this is a
+    partition filter (pruned at planning)."""
+    return df.where(_between(F.try_to_date(F.col(column)), as_of, days))
 
 
-def date_window(df: DataFrame, column: str, as_of: str, days: int = 7) -> DataFrame:
-    """Keep documents with ``column`` in [as_of - days, as_of].  On a landing
-    partitioned by ``column`` this is a partition filter (pruned at planning)."""
-    d = F.to_date(F.lit(as_of))
-    c = F.to_date(F.col(column))
-    return df.where((c >= F.date_sub(d, days)) & (c <= d))
+def window(df: DataFrame, source: str, as_of: str, days: int = WINDOW_DAYS) -> DataFrame:
+    """S5 for an export that is asked for by date (others pass as they are): a
+    document is kept if one of its headers has a date in the window.  A landing
+    that is partitioned by the date is pruned by it instead.  Rows that did not
+    parse are kept: they have to be reported."""
+    if source not in WINDOW_DATES:
+        return df
+    headers, column = WINDOW_DATES[source]
+    if column in df.columns:
+        return date_window(df, column, as_of, days)
+    inside = F.exists(F.col(headers), lambda h: _between(F.try_to_date(h[column]), as_of, days))
+    return df.where(inside | F.col(CORRUPT).isNotNull()) if CORRUPT in df.columns else df.where(inside)
 
 
 def flatten(source: str, docs: DataFrame, refs: tuple[str, ...] | None = None) -> Export:
-    """Nested documents -> one frame per nesting path."""
-    refs = refs or tuple(c for c in docs.columns if c.startswith("_ord"))
+    """Nested documents -> one frame per nesting path, each with its lists."""
+    refs = refs or tuple(sorted(c for c in docs.columns if c.startswith("_ord")))
+    if CORRUPT in docs.columns:
+        docs = docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     exp = Export(source)
 
     def walk(df: DataFrame, st: StructType, path: str, rf: tuple[str, ...], depth: int):
@@ -69,4 +117,4 @@ def flatten(source: str, docs: DataFrame, refs: tuple[str, ...] | None = None) -
 
 def land_json(spark: SparkSession, source: str, path: str, envelope: bool = False) -> Export:
     docs = read_envelopes(spark, source, path) if envelope else read_lines(spark, source, path)
-    return flatten(source, docs)
+    return flatten(source, in_order(docs))
