@@ -10,7 +10,7 @@ keep-first.  Table names are the driver's pre-registered views.
 from __future__ import annotations
 
 from .operators.clean import FALSE_WORDS, INVENTORY_KIND_LABELS, TRUE_WORDS
-from .plans.build import output_columns
+from .plans.build import cast_columns, output_columns
 from .plans.specs import SPEC_BY_NAME
 from .sources.driver import FRAMES, frame_sql
 from .sources.export import path_depth, ref_width
@@ -52,7 +52,8 @@ def _bool(x: str) -> str:
             f"WHEN {u} IN ({_q(FALSE_WORDS)}) THEN FALSE END)")
 
 
-def _with_refs(name: str) -> tuple[str, tuple[str, ...]]:
+def _filtered(name: str) -> tuple[str, tuple[str, ...]]:
+    """Raw rows of the table that its casts see."""
     spec = SPEC_BY_NAME[name]
     fd = FRAMES[spec.source][spec.path]
     refs = fd.refs
@@ -92,7 +93,12 @@ def _with_refs(name: str) -> tuple[str, tuple[str, ...]]:
     inner = f"SELECT {', '.join(sel)} FROM {src}"
     if where:
         inner += " WHERE " + " AND ".join(where)
+    return inner, refs
+
 
+def _with_refs(name: str) -> tuple[str, tuple[str, ...]]:
+    spec = SPEC_BY_NAME[name]
+    inner, refs = _filtered(name)
     ex = {}
     for c in spec.strip:
         ex[c] = _strip(c)
@@ -134,6 +140,29 @@ def table_sql(name: str) -> str:
     return f"SELECT {', '.join(output_columns(name))} FROM ({sql}) t"
 
 
+def rejects_sql(names: list[str]) -> str:
+    """Per integer column: numbers that are no bigint."""
+    out = []
+    for name in names:
+        inner, _ = _filtered(name)
+        for c in cast_columns(name):
+            finite = f"(regexp_full_match({c}, '{_NUM}') AND isfinite(TRY_CAST({_strip(c)} AS DOUBLE)))"
+            bad = (f"coalesce(({finite} OR regexp_full_match(lower({c}), '{_INF[1:-1]}')) "
+                   f"AND {_int(c)} IS NULL, false)")
+            out.append(f"SELECT '{name}' AS \"table\", '{c}' AS \"column\", COUNT(*) FILTER ({bad}) AS n_rejects "
+                       f"FROM ({inner}) r")
+    return " UNION ALL ".join(out)
+
+
+def window_sql(name: str, days: int) -> str:
+    """Table ``name`` of the visits with a header in the last ``days`` days."""
+    sql, _ = _with_refs(name)
+    headers = frame_sql("visit", "visit_headers")
+    return (f"WITH d AS (SELECT max(CAST(ts AS DATE)) AS last FROM events) "
+            f"SELECT {', '.join(output_columns(name))} FROM ({sql}) t WHERE _ord IN (SELECT _ord FROM ({headers}) h, d "
+            f"WHERE CAST(visit_date AS DATE) BETWEEN last - {days} AND last)")
+
+
 # -- measures (D1m–D12m) ---------------------------------------------------------
 
 def _orders_cte() -> str:

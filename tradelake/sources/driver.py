@@ -20,11 +20,16 @@ landed rows and only the table builders are compared.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import checkpoint_root
+from . import jsonsrc
 from .export import Export, Frame, path_depth
+from .registry import ENVELOPE_KEYS
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
@@ -801,3 +806,43 @@ def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
     for path, fd in FRAMES[source].items():
         exp.frames.defer(path, lambda path=path, fd=fd: make(path, fd))
     return exp
+
+
+# -- the same exports as landed JSON ---------------------------------------------
+
+ENVELOPE_DOCUMENTS = 500        # documents in one response object
+
+
+def documents(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """The export as nested documents.  A list that is a table of its own (an
+    order's lines) is gathered per document, as a real document holds it; it is
+    as long as one document's list."""
+    exp = land(spark, sf_dir, source)
+    root = exp.frame("")
+    docs = root.df
+    for path in [p for p in FRAMES[source] if p and "." not in p and p not in root.lists]:
+        fr = exp.frame(path)
+        own = [c for c in fr.df.columns if c not in fr.refs]
+        element = F.struct(*fr.refs, *own)
+        lists = fr.df.groupBy(*root.refs).agg(F.sort_array(F.collect_list(element)).alias("_l")).select(
+            *root.refs, F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in own])).alias(path))
+        docs = docs.join(lists, list(root.refs), "left")
+    return docs
+
+
+def land_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool = False) -> DataFrame:
+    """Write the export as JSON to the shared scratch folder and read it as it
+    would be landed: one document a line, or one response object a file."""
+    docs = documents(spark, sf_dir, source)
+    path = f"{checkpoint_root(spark).rstrip('/')}/json/{source}-{uuid.uuid4().hex}"
+    own = [c for c in docs.columns if not c.startswith("_ord")]
+    if not envelope:
+        docs.select(F.to_json(F.struct("_ord", *own)).alias("value")).write.text(path)
+        return jsonsrc.read_lines(spark, source, path)
+    part = F.lpad(F.floor(F.col("_ord") / ENVELOPE_DOCUMENTS).cast("string"), 12, "0")
+    records = F.transform(F.sort_array(F.collect_list(F.struct("_ord", *own))),
+                          lambda e: F.struct(*[e[c].alias(c) for c in own]))
+    (docs.groupBy(part.alias("part")).agg(records.alias(ENVELOPE_KEYS[source]))
+         .select("part", F.to_json(F.struct(ENVELOPE_KEYS[source])).alias("value"))
+         .write.partitionBy("part").text(path))
+    return jsonsrc.read_envelopes(spark, source, path)
