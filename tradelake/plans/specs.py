@@ -65,6 +65,9 @@ class TableSpec:
 
 S = TableSpec
 
+# The column lists, keys, filters and job groups below must equal
+# those of the existing tables and schedules.
+
 # Products line shared by order gifts / actions.
 _LINE = ("external_id product_unit_id:long product_code product_local_code product_name "
          "serial_number expiry_date order_quant:double sold_quant:double return_quant:double "
