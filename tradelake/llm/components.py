@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.scratch import written
+from tradelake.llm.scratch import drop, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, a: str, b: str, name: str = "components") -> Da
     print_of = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
     before = None
     while True:
-        now = written(_small_star(_large_star(now)), name)
+        last, now = now, written(_small_star(_large_star(now)), name)
+        drop(last)
         seen = tuple(now.agg(*print_of).first())
         if seen == before or seen[0] == 0:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -75,10 +75,13 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     keep = [column_of(names, c) for c in carry] if carry is not None else []
     key, src = F.col(column_of(names, doc_id)), F.col(column_of(names, source))
     h = F.xxhash64(key.cast("string"), src.cast("string"))
-    rows = written(pos.select(
-        *keep, key.alias("_id"), src.cast("string").alias("source"), h.alias("_h"),
+    # a row number, fixed once written, brings the carried columns back at the
+    # end: what moves in between are a few numbers per document, not its text
+    whole = written(pos.select(
+        *keep, F.monotonically_increasing_id().alias("_row"), key.alias("_id"), src.cast("string").alias("source"), h.alias("_h"),
         F.pmod(h, F.lit(BUCKETS)).alias("_b"),
         F.size(words_of(F.col(column_of(names, text)))).cast("long").alias("size")), "mix")
+    rows = whole.drop(*keep)
 
     targets = source_targets(rows, weights, slopes, share, cap)
     per_bucket = rows.groupBy("source", "_b").agg(F.sum("size").alias("_n"))
@@ -100,8 +103,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
         share_done = F.least(F.lit(1.0), at / F.greatest(F.col("target"), F.lit(1.0)))
         takes.append(F.struct(F.lit(n).alias("pass"), taken.alias("taken"),
                               position(share_done, F.col("slope")).alias("position")))
-    return placed.select(*keep, F.col("_id"), "source", "size", "source_size", "target",
-                         F.filter(F.array(*takes), lambda x: x["taken"] > 0).alias("takes"))
+    placed = placed.select("_row", "_id", "source", "size", "source_size", "target",
+                           F.filter(F.array(*takes), lambda x: x["taken"] > 0).alias("takes"))
+    return placed.join(whole.select("_row", *keep), "_row") if keep else placed
 
 
 def in_training_order(placed: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.llm.components import components
-from tradelake.llm.scratch import column_of, pick, positional, written
+from tradelake.llm.scratch import column_of, drop, pick, positional, written
 from tradelake.llm.text import BLANK_SEPARATED, U, Words, chunks, lower_ascii, mix64, run_starts, text_bytes, window_hashes
 
 SHINGLE = 5
@@ -285,6 +285,7 @@ def near_links(docs: DataFrame, sig: DataFrame) -> DataFrame:
     bands = written(_bands(reps), "bands")
     shared = bands.groupBy("key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(bands.join(shared, "key"), "shared")
+    drop(bands)
     stars = shared.filter("rep <> center").select("center", "rep").distinct()
     side = reps.select("rep", "n_shingles", "regs")
     pairs = stars.join(side, "rep").join(
@@ -297,6 +298,7 @@ def near_links(docs: DataFrame, sig: DataFrame) -> DataFrame:
         sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("_b")), "rep")
     links = written(both.filter(_linked("_a", "_b")).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(),
                     "links")
+    drop(sets, pairs)
 
     # the rest: band keys whose documents are not in one component yet
     comps = components(links, "a", "b", "stars")
@@ -311,9 +313,11 @@ def near_links(docs: DataFrame, sig: DataFrame) -> DataFrame:
                        F.col("_mine").alias("side"), "rep", "comp", "n_shingles", "regs")
     likely = written(_gathered(rest).mapInArrow(
         _plausible, "key long, lo int, hi int, side int, rep long, comp long, n_shingles long"), "likely")
-    more = _sets_for(docs, likely, "rest").withColumnRenamed("doc_id", "rep")
-    found = _gathered(likely.join(more, "rep")).mapInArrow(_block_links, "a long, b long")
-    return links.union(found).union(copies)
+    more = _sets_for(docs, likely, "rest")
+    found = _gathered(likely.join(more.withColumnRenamed("doc_id", "rep"), "rep")).mapInArrow(_block_links, "a long, b long")
+    out = written(links.union(found).union(copies), "all-links")
+    drop(reps, shared, links, likely, more)
+    return out
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -321,7 +325,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     kept, a row for each row of ``docs``."""
     rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sig = written(signatures(rows), "signatures")
-    comps = components(near_links(rows, sig), "a", "b").select(F.col("node").alias("doc_id"), "component")
+    links = near_links(rows, sig)
+    comps = components(links, "a", "b").select(F.col("node").alias("doc_id"), "component")
+    drop(links)
     out = sig.select("doc_id", "n_shingles").join(comps, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
                       F.coalesce(F.col("component").isNull() | (F.col("component") == F.col("doc_id")),

@@ -53,15 +53,44 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Scratch tables of this driver that are still there, by path.
+_TABLES: list[str] = []
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back.  The lineage is cut, so a lost executor costs only tasks over the
-    written files, and the shuffle files of the job that made it go at once."""
+    written files, and the shuffle files of the job that made it go at once.
+    Unless ``keep`` is set, :func:`sweep` removes the table."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not keep:
+        _TABLES.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove written tables whose results have been written in turn."""
+    for t in tables:
+        if t.scratch_path in _TABLES:
+            _TABLES.remove(t.scratch_path)
+            _delete(t.sparkSession, t.scratch_path)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Remove the written tables that finished work has left.  Only for callers
+    that know that all results built on them have been written."""
+    while _TABLES:
+        _delete(spark, _TABLES.pop())
 
 
 def words_of(text: Column) -> Column:
