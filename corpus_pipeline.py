@@ -4,36 +4,57 @@ benchmark decontamination, source mixing, sharding.
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written as Parquet in the shared checkpoint folder and read again as the next
 stage's ``docs``.  All but the last return the columns of ``docs``.
+
+As a stage begins only when its predecessor's result has been written, it first
+removes the scratch tables that the predecessor has left.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tradelake.llm import decontamination, mixing, near_dedup, quality, sharding
-from tradelake.llm.scratch import written
+from tradelake.llm.scratch import sweep, written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _stage(work: Stage) -> Stage:
+    @wraps(work)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        sweep(spark)
+        return work(spark, docs, sf_dir)
+    return begin
 
 
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules' posterior rejects go."""
     return quality.keep_documents(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return near_dedup.unique_documents(docs)
 
 
+@_stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     return decontamination.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@_stage
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
     return mixing.mixed_documents(docs)
 
 
+@_stage
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its shard and slot."""
     return sharding.sharded_documents(docs)
@@ -57,5 +78,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n, (name, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if n < len(STAGES):
-            docs = written(docs, name)
+            docs = written(docs, name, keep=True)
     return docs
