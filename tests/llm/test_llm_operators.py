@@ -3,6 +3,7 @@
 import zlib
 
 import brute
+import pytest
 from conftest import in_order, sentence, table
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def test_long_block_in_pieces(rows, monkeypatch):
     data = max((t for _, t in rows if t), key=len).encode()
     block = blocks.Block(np.array([1]), np.array([len(data)]), np.frombuffer(data, dtype=np.uint8), np.array([True]))
     whole = suffix_dedup.runs_of(block)
-    monkeypatch.setattr(suffix_dedup, "_PLACE", 10)
+    monkeypatch.setattr(suffix_dedup, "_PLACE", 8)
 
     def windows(runs):
         return sorted((f, g) for a, b, g in zip(runs.first, runs.last, runs.gram) for f in range(a, b + 1))
@@ -88,11 +89,12 @@ def test_long_block_in_pieces(rows, monkeypatch):
         range(len(data) - 49))
 
 
-def test_near_duplicates(docs, rows, nothing):
-    out = near_dedup.near_duplicates(docs)
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates(docs, rows, nothing, percent):
+    out = near_dedup.near_duplicates(docs, percent=percent)
     assert out.count() == len(rows)
     known = [r for r in rows if r[0] is not None]
-    expect = {i: (n, c) for i, n, c in brute.near_components(known)}
+    expect = {i: (n, c) for i, n, c in brute.near_components(known, percent)}
     for r in out.collect():
         if r["doc_id"] is None:
             assert r["component_id"] is None and r["kept"]
@@ -120,7 +122,7 @@ def test_near_duplicates_of_edit_chains(spark):
     given = list(enumerate(texts))
     df = spark.createDataFrame(given, "doc_id long, text string").repartition(4)
     got = table(near_dedup.near_duplicates(df), "doc_id", "n_shingles", "component_id")
-    assert got == in_order(brute.near_components(given))
+    assert got == in_order(brute.near_components(given, near_dedup.PERCENT))
 
 
 def test_block_comparison_of_a_crowded_band(spark, monkeypatch):
@@ -136,7 +138,7 @@ def test_block_comparison_of_a_crowded_band(spark, monkeypatch):
     given = list(enumerate(texts))
     df = spark.createDataFrame(given, "doc_id long, text string")
     got = table(near_dedup.near_duplicates(df), "doc_id", "n_shingles", "component_id")
-    assert got == in_order(brute.near_components(given))
+    assert got == in_order(brute.near_components(given, near_dedup.PERCENT))
 
 
 def test_decontamination(spark, docs, rows, nothing):

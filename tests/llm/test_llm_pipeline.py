@@ -36,7 +36,7 @@ def test_pipeline(spark):
     judged = set(ids["quality_rules"])
     assert judged <= {i for i, t in unique if not brute.quality_counts(t)[5]} and len(judged) > 50
     left = [(i, text[i]) for i in sorted(judged)]
-    assert sorted(ids["minhash_near_dedup"]) == [i for i, _, c in brute.near_components(left) if i == c]
+    assert sorted(ids["minhash_near_dedup"]) == [i for i, _, c in brute.near_components(left, 80) if i == c]
     left = [(i, text[i]) for i in sorted(ids["minhash_near_dedup"])]
     assert sorted(ids["benchmark_decontamination"]) == [r[0] for r in brute.contamination(left, items) if r[2] == 0]
     assert set(ids["source_mixing"]) <= set(ids["benchmark_decontamination"])

@@ -6,8 +6,8 @@
    bits behind the leading one.  Empty registers borrow from others in an
    order fixed by hash, so short texts are compared alike.
 2. *Equal sets* are one node from here on, whatever the number of copies.
-3. *Bands* of ``ROWS`` registers are joined.  A pair at the threshold misses
-   all bands with a probability below 1e-8.  A band key with many documents
+3. *Bands* of ``ROWS`` registers are joined.  A pair with a similarity of 0.8
+   misses all bands with a probability of about 1e-7, one of 0.85 below 1e-10.  A band key with many documents
    gives each of them one edge, to the smallest, not all pairs.
 4. *Estimate.*  The share of equal registers, corrected for the collisions
    that compressed registers have by chance, drops pairs far below the
@@ -27,7 +27,8 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -41,8 +42,8 @@ from tradelake.llm.scratch import column_of, drop, pick, positional, written
 from tradelake.llm.text import BLANK_SEPARATED, U, Words, chunks, lower_ascii, mix64, run_starts, text_bytes, window_hashes
 
 SHINGLE = 5
-PERCENT = 85
-BANDS, ROWS = 32, 5
+PERCENT = 80
+BANDS, ROWS = 40, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 VALUE_BITS = 38
@@ -172,9 +173,9 @@ def _bands(reps: DataFrame) -> DataFrame:
     return reps.select("rep", "regs").mapInArrow(keys, "key long, rep long")
 
 
-def _likely(a: Column, b: Column) -> Column:
+def _likely(a: Column, b: Column, percent: int) -> Column:
     """Length bound: similar sets are of similar size."""
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -186,13 +187,16 @@ def _estimate(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(((x == y).mean(axis=1) - CHANCE) / (1 - CHANCE))
 
 
-@F.pandas_udf(T.BooleanType())
-def _linked(a: pd.Series, b: pd.Series) -> pd.Series:
+def _linked(percent: int) -> Callable[[str, str], Column]:
     def one(x: bytes, y: bytes) -> bool:
         both = np.sort(np.concatenate([_unpack(x), _unpack(y)]))
         same = int((both[1:] == both[:-1]).sum())
-        return 100 * same >= PERCENT * (len(both) - same)
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
+        return 100 * same >= percent * (len(both) - same)
+
+    @F.pandas_udf(T.BooleanType())
+    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
+    return linked
 
 
 def _sets_for(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
@@ -200,11 +204,11 @@ def _sets_for(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     return written(packed_sets(docs.join(wanted, "doc_id", "left_semi")), name)
 
 
-def _threshold() -> float:
-    return PERCENT / 100 - MARGIN
+def _threshold(percent: int) -> float:
+    return percent / 100 - MARGIN
 
 
-def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Of each (key, lo, hi) group of rows (key, lo, hi, side, rep, comp,
     n_shingles, regs): those that may link with a row of another component."""
     for table in _groups(batches):
@@ -214,16 +218,16 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         comp, size, side = (np.asarray(table[c]) for c in ("comp", "n_shingles", "side"))
         within = bool(table["lo"][0].as_py() == table["hi"][0].as_py())
         for i in range(n):
-            other = (comp != comp[i]) & (100 * np.minimum(size, size[i]) >= PERCENT * np.maximum(size, size[i]))
+            other = (comp != comp[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
             if not within:
                 other &= side != side[i]
             j = np.flatnonzero(other)
-            if len(j) and (((regs[j] == regs[i]).mean(axis=1) - CHANCE) / (1 - CHANCE) >= _threshold()).any():
+            if len(j) and (((regs[j] == regs[i]).mean(axis=1) - CHANCE) / (1 - CHANCE) >= _threshold(percent)).any():
                 ok[i] = True
         yield from table.select(["key", "lo", "hi", "side", "rep", "comp", "n_shingles"]).filter(pa.array(ok)).to_batches()
 
 
-def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Confirmed links between components, by exact intersection sizes."""
     for table in _groups(batches):
         rep, comp, side = (np.asarray(table[c]) for c in ("rep", "comp", "side"))
@@ -241,7 +245,7 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part[row[here], col[here] - at] = 1
             both += part @ part.T
         union = sizes[:, None] + sizes[None, :] - both
-        link = (100 * both >= PERCENT * union) & (comp[:, None] != comp[None, :]) & (rep[:, None] < rep[None, :])
+        link = (100 * both >= percent * union) & (comp[:, None] != comp[None, :]) & (rep[:, None] < rep[None, :])
         i, j = np.nonzero(link)
         # links between the same two components say the same
         pair = np.unique(np.stack([np.minimum(comp[i], comp[j]), np.maximum(comp[i], comp[j])]), axis=1)
@@ -272,9 +276,10 @@ def _gathered(rows: DataFrame) -> DataFrame:
     return rows.repartition(*by).sortWithinPartitions(*by)
 
 
-def near_links(docs: DataFrame, sig: DataFrame) -> DataFrame:
-    """Confirmed links (a, b) that connect all documents with similar sets, of
-    rows (doc_id, text) and their signatures; copies link to one of their own."""
+def near_links(docs: DataFrame, sig: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Confirmed links (a, b) that connect all documents whose sets share
+    ``percent`` of their union or more, of rows (doc_id, text) and their
+    signatures; copies link to one of their own."""
     full = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = written(full.groupBy("hi", "lo", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.first("regs").alias("regs")), "reps")
@@ -290,13 +295,13 @@ def near_links(docs: DataFrame, sig: DataFrame) -> DataFrame:
     side = reps.select("rep", "n_shingles", "regs")
     pairs = stars.join(side, "rep").join(
         side.select(F.col("rep").alias("center"), F.col("n_shingles").alias("_n"), F.col("regs").alias("_r")), "center")
-    pairs = pairs.filter(_likely(F.col("n_shingles"), F.col("_n"))).select(
-        "center", "rep", _estimate("regs", "_r").alias("_e")).filter(F.col("_e") >= _threshold())
+    pairs = pairs.filter(_likely(F.col("n_shingles"), F.col("_n"), percent)).select(
+        "center", "rep", _estimate("regs", "_r").alias("_e")).filter(F.col("_e") >= _threshold(percent))
     pairs = written(pairs.select("center", "rep").distinct(), "pairs")
     sets = _sets_for(docs, pairs.select("rep").union(pairs.select(F.col("center").alias("rep"))), "sets")
     both = pairs.join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("_a")), "center").join(
         sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("_b")), "rep")
-    links = written(both.filter(_linked("_a", "_b")).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(),
+    links = written(both.filter(_linked(percent)("_a", "_b")).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(),
                     "links")
     drop(sets, pairs)
 
@@ -312,20 +317,21 @@ def near_links(docs: DataFrame, sig: DataFrame) -> DataFrame:
     rest = rest.select("key", F.least("_mine", "_other").alias("lo"), F.greatest("_mine", "_other").alias("hi"),
                        F.col("_mine").alias("side"), "rep", "comp", "n_shingles", "regs")
     likely = written(_gathered(rest).mapInArrow(
-        _plausible, "key long, lo int, hi int, side int, rep long, comp long, n_shingles long"), "likely")
+        partial(_plausible, percent=percent), "key long, lo int, hi int, side int, rep long, comp long, n_shingles long"), "likely")
     more = _sets_for(docs, likely, "rest")
-    found = _gathered(likely.join(more.withColumnRenamed("doc_id", "rep"), "rep")).mapInArrow(_block_links, "a long, b long")
+    found = _gathered(likely.join(more.withColumnRenamed("doc_id", "rep"), "rep")).mapInArrow(
+        partial(_block_links, percent=percent), "a long, b long")
     out = written(links.union(found).union(copies), "all-links")
     drop(reps, shared, links, likely, more)
     return out
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable) and
     kept, a row for each row of ``docs``."""
     rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sig = written(signatures(rows), "signatures")
-    links = near_links(rows, sig)
+    links = near_links(rows, sig, percent)
     comps = components(links, "a", "b").select(F.col("node").alias("doc_id"), "component")
     drop(links)
     out = sig.select("doc_id", "n_shingles").join(comps, "doc_id", "left")

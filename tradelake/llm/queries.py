@@ -61,7 +61,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
