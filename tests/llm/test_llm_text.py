@@ -58,7 +58,8 @@ def test_repeat_groups(codes, length):
 def test_repeats_in(strings):
     ids = np.array([i for i, _ in strings])
     data = [t.encode() for _, t in strings]
-    got = repeats_in(ids, np.array([len(d) for d in data]), np.frombuffer(b"".join(data), dtype=np.uint8), 4)
+    key = np.zeros(len(data), dtype=np.uint32)
+    got = repeats_in(ids, np.array([len(d) for d in data]), key, np.frombuffer(b"".join(data), dtype=np.uint8), 4)
     first = {}
     for i, d in zip(ids, data):
         for p in range(len(d) - 3):

@@ -25,7 +25,7 @@ from tradelake.llm.scratch import written
 from tradelake.llm.text import CHUNK, U, chunks, run_starts, text_bytes
 
 NO_ID = np.iinfo(np.int64).max   # a null doc_id: behind all others
-PER_BUCKET = 4_000_000           # hashes that one task of the count sorts
+PER_BUCKET = 1_500_000           # hashes that one task of the count sorts, about
 
 CROWD = 128                      # blocks that share a hash from which on it counts as crowded
 

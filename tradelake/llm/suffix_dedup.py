@@ -16,8 +16,9 @@ smallest hash of ``GRAM`` bytes, the leftmost of equals), so:
    of minimizers are counted over all documents (:mod:`tradelake.llm.blocks`);
    runs whose minimizer no other document has hold no repeat and go no further.
 2. The bytes of the remaining runs go to the bucket of their minimizer, equal
-   runs of a block once.  All occurrences of a string meet in one bucket, whose
-   text is indexed as above.
+   runs of a block once.  All occurrences of a string meet in one bucket.  Runs
+   that share their minimizer with a different run are indexed as above, equal
+   ones once; a run that all documents have alike needs no index.
 3. A minimizer that very many blocks share (a passage in a large part of all
    documents, each time with other bytes around it) has its runs cut into
    single windows, which are spread by the hash of the whole window.
@@ -49,7 +50,7 @@ LENGTH = 50
 GRAM = 24
 BLOCK = 2 << 20
 PER_BUCKET = 1_000_000   # bytes of documents for each bucket, of which an index holds some
-_PLACE = 22              # bits for a place in a block
+_PLACE = 17              # bits for a place in the piece of a block that is worked on at once
 SEED = 7                 # letters from which extension starts
 PLACE = np.int32         # places in a block or an index, both far below 2 GB
 _SEGMENT = 2 << 20       # bytes whose hash sums are held at once
@@ -188,8 +189,8 @@ class Runs:
 
 
 def runs_of(block: B.Block, length: int = LENGTH, gram: int = GRAM) -> Runs:
-    """The runs of all windows of ``length`` bytes that lie within a text.  A
-    block that is one very long text is worked through in overlapping pieces."""
+    """The runs of all windows of ``length`` bytes that lie within a text, worked
+    out in overlapping pieces that fit a processor's cache."""
     empty = np.zeros(0, dtype=np.int64)
     found = [(np.zeros(0, dtype=U), empty, empty, empty)]
     most = 1 << _PLACE
@@ -213,18 +214,23 @@ def _runs(block: B.Block, lo: int, hi: int, length: int, gram: int) -> tuple[np.
         wide *= 2
     if width > wide:
         low = np.minimum(low[:len(low) - (width - wide)], low[width - wide:])
-    at = (low & place).astype(np.int64)                    # the minimizer of each window
-    start = np.arange(len(at)) + lo
-    doc = np.searchsorted(block.ends, start, side="right")
-    inside = block.ends[doc] >= start + length
-    # pieces overlap by ``length``: a window on the seam belongs to the next one
+    # windows that reach beyond their text; pieces overlap by ``length``, and a
+    # window on the seam belongs to the next one
+    ends = block.ends[np.searchsorted(block.ends, lo):np.searchsorted(block.ends, hi + length) + 1] - lo
+    beyond = np.zeros(len(low) + 1, dtype=np.int32)
+    np.add.at(beyond, np.clip(ends - length + 1, 0, len(low)), 1)
+    np.add.at(beyond, np.clip(ends, 0, len(low)), -1)
+    inside = np.cumsum(beyond[:-1]) == 0
     if hi < len(block.buf):
         inside[hi - lo - length:] = False
-    start, at, doc = start[inside], at[inside], doc[inside]
+    start = np.flatnonzero(inside)
     if not len(start):
         return np.zeros(0, dtype=U), empty, empty, empty
-    cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])]))
-    return h[at[cut]], doc[cut], start[cut], np.append(start[cut[1:] - 1], start[-1])
+    at = (low[inside] & place).astype(np.int64)            # the minimizer of each window
+    cut = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (start[1:] != start[:-1] + 1)]))
+    first, last = start[cut] + lo, np.append(start[cut[1:] - 1], start[-1]) + lo
+    # minimizers are small by choice: mixed once more, they spread evenly again
+    return mix64(h[at[cut]]), np.searchsorted(block.ends, first, side="right"), first, last
 
 
 def byte_hashes(buf: np.ndarray, first: np.ndarray, behind: np.ndarray) -> np.ndarray:
@@ -274,53 +280,60 @@ class Candidates:
 # ------------------------------------------------------------------ the job
 
 def _encode(block: B.Block, c: Candidates, lo: int, hi: int, squeeze: zstandard.ZstdCompressor) -> bytes:
+    """Strings lo..hi - 1 with minimizer and smallest id."""
     which = c.starts[lo:hi]
     s, size = c.first[which], (c.behind - c.first)[which]
     table, of = np.unique(block.ids[c.doc[which]], return_inverse=True)
-    of = of.astype(np.uint16 if len(table) <= 1 << 16 else np.uint32)
-    head = np.array([len(which), len(table), of.itemsize], dtype=np.int64).tobytes()
-    return head + squeeze.compress(B.planes(np.diff(table, prepend=np.int64(0))) + B.planes(of) +
-                                   B.planes(size.astype(np.uint32)) + block.buf[_ranges(s, size)].tobytes())
+    head = np.array([len(which), len(table)], dtype=np.int64)
+    return head.tobytes() + squeeze.compress(b"".join([
+        table.tobytes(), B.planes(of.astype(np.uint32)), B.planes(size.astype(np.uint32)),
+        c.key[which].astype(np.uint32).tobytes(), block.buf[_ranges(s, size)].tobytes()]))
 
 
-def _decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(id of each string, size of each string, bytes)"""
-    n, ids, width = np.frombuffer(data[:24], dtype=np.int64).tolist()
-    raw = loose.decompress(data[24:])
+def _decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(id of each string, size of each string, part of its minimizer's hash,
+    bytes)"""
+    n, ids = np.frombuffer(data, dtype=np.int64, count=2).tolist()
+    raw = loose.decompress(data[16:])
     at = 8 * ids
-    table = np.cumsum(B.unplanes(raw[:at], np.int64, ids))
-    of = B.unplanes(raw[at:at + width * n], np.uint16 if width == 2 else np.uint32, n)
-    at += width * n
-    size = B.unplanes(raw[at:at + 4 * n], np.uint32, n).astype(np.int64)
-    return table[of], size, np.frombuffer(raw, dtype=np.uint8, offset=at + 4 * n)
+    table = np.frombuffer(raw, dtype=np.int64, count=ids)
+    of, size = (B.unplanes(raw[at + 4 * n * i:at + 4 * n * (i + 1)], np.uint32, n) for i in range(2))
+    key = np.frombuffer(raw, dtype=np.uint32, count=n, offset=at + 8 * n)
+    return table[of], size.astype(np.int64), key, np.frombuffer(raw, dtype=np.uint8, offset=at + 12 * n)
 
 
-def repeats_in(ids: np.ndarray, size: np.ndarray, buf: np.ndarray, length: int) -> np.ndarray:
+def repeats_in(ids: np.ndarray, size: np.ndarray, key: np.ndarray, buf: np.ndarray, length: int) -> np.ndarray:
     """For every window of each string: does a string with a smaller id have it
-    too?  Windows come string by string."""
+    too?  Windows come string by string.  Strings with different ``key`` share
+    no window."""
     first = np.cumsum(size) - size
     windows = size - length + 1
     h = byte_hashes(buf, first, first + size)
     order = np.lexsort((ids, h))
-    starts = run_starts(h[order])                        # equal strings: indexed once,
-    of = np.empty(len(order), dtype=np.int64)            # by the smallest id
-    of[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    starts = run_starts(h[order])                        # equal strings count once,
+    of = np.empty(len(order), dtype=PLACE)               # by the smallest id
+    of[order] = np.repeat(np.arange(len(starts), dtype=PLACE), np.diff(np.append(starts, len(order))))
     one = order[starts]
-    codes = np.zeros(int((size[one] + 1).sum()), dtype=np.uint16)   # 0 ends each string
-    at = np.cumsum(size[one] + 1) - size[one] - 1
-    codes[_ranges(at, size[one])] = buf[_ranges(first[one], size[one])].astype(np.uint16) + 1
-
-    suffixes, bound = repeat_groups(codes, length)
-    group = np.empty(len(codes), dtype=np.int64)
-    group[suffixes] = np.cumsum(bound) - 1
-    place = _ranges(at, windows[one])                    # suffixes that are windows
-    owner = np.repeat(ids[one], windows[one])
-    least = np.full(int(bound.sum()), np.iinfo(np.int64).max)
-    np.minimum.at(least, group[place], owner)
+    del h, order, starts
     base = np.cumsum(windows[one]) - windows[one]
-    smallest = least[group[place]]                       # per window of the distinct strings
-    each = _ranges(base[of], windows)
-    return smallest[each] < np.repeat(ids, windows)
+    smallest = np.repeat(ids[one], windows[one])         # per window of the distinct strings
+
+    # a string that is the only one with its key can't share a window
+    _, kind, times = np.unique(key[one], return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[kind] > 1)
+    if len(some):
+        which = one[some]
+        codes = np.zeros(int((size[which] + 1).sum()), dtype=np.uint16)   # 0 ends each string
+        at = np.cumsum(size[which] + 1) - size[which] - 1
+        codes[_ranges(at, size[which])] = buf[_ranges(first[which], size[which])].astype(np.uint16) + 1
+        suffixes, bound = repeat_groups(codes, length)
+        group = np.empty(len(codes), dtype=PLACE)
+        group[suffixes] = np.cumsum(bound, dtype=PLACE) - PLACE(1)
+        group = group[_ranges(at, windows[which])]       # of the suffixes that are windows
+        least = np.full(int(bound.sum()), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, np.repeat(ids[which], windows[which]))
+        smallest[_ranges(base[some], windows[which])] = least[group]
+    return smallest[_ranges(base[of], windows)] < np.repeat(ids, windows)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
@@ -344,10 +357,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def answer(group: pa.Table) -> pa.Table:
         loose = zstandard.ZstdDecompressor()
         parts = [_decode(x, loose) for x in group["sent"].to_pylist()]
-        ids, size, buf = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        ids, size, key, buf = (np.concatenate([p[i] for p in parts]) for i in range(4))
         sizes = [int((p[1] - length + 1).sum()) for p in parts]
         del parts
-        hit = repeats_in(ids, size, buf, length)
+        hit = repeats_in(ids, size, key, buf, length)
         return pa.table({"block": group["block"], "bucket": group["bucket"], "n": pa.array(sizes, pa.int32()),
                          "flags": pa.array([np.packbits(x).tobytes() for x in np.split(hit, np.cumsum(sizes)[:-1])],
                                            pa.binary())})
