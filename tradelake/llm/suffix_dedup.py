@@ -49,7 +49,7 @@ from tradelake.llm.text import U, covered, letters_of, mix64, run_starts, spans_
 LENGTH = 50
 GRAM = 24
 BLOCK = 2 << 20
-PER_BUCKET = 1_000_000   # bytes of documents for each bucket, of which an index holds some
+PER_BUCKET = 2_000_000   # bytes of documents for each bucket, of which an index holds some
 _PLACE = 17              # bits for a place in the piece of a block that is worked on at once
 SEED = 7                 # letters from which extension starts
 PLACE = np.int32         # places in a block or an index, both far below 2 GB
