@@ -36,6 +36,31 @@ def test_quality_rejects_junk_and_keeps_clean(spark):
     assert kept == {i for i, _ in clean}
 
 
+def test_quality_rules_do_not_depend_on_length_or_script(spark):
+    import random
+    rng = random.Random(6)
+    vocabulary = sorted({w for w in sentence(rng, 12_000).split()})[:4000]
+    # word frequencies fall with rank: 0.6 distinct in 1,000 words, 0.1 in 40,000
+    book = " ".join(rng.choices(vocabulary, [1 / (5 + n) for n in range(len(vocabulary))], k=40_000))
+    assert len(set(book.split())) < 0.15 * 40_000
+    few = " ".join(rng.choices(vocabulary[:60], k=5000))
+    marks = {3: "हिन्दी भारत की राजभाषा है और इसे करोड़ों लोग बोलते हैं। यह देवनागरी लिपि में लिखी जाती है।",
+             4: "বাংলা ভাষা দক্ষিণ এশিয়ার একটি প্রধান ভাষা এবং কোটি কোটি মানুষ এই ভাষায় কথা বলে।"}
+    df = spark.createDataFrame([(1, book), (2, few), *marks.items()], "doc_id long, text string")
+    names = list(quality.RULES)
+    got = {r["_in0"]: r for r in quality.quality_rules(df, carry=["doc_id"]).collect()}
+    vote = {(i, n): v for i, r in got.items() for n, v in zip(names, r["votes"])}
+    assert vote[1, "variety"] == 1 and vote[2, "variety"] == -1
+    w = book.split() + ["end"]
+    assert quality.text_counts(spark.createDataFrame([(" ".join(w),)], "text string"), "text").first()["n_stretch_words"] == sum(
+        len(set(w[k:k + quality.STRETCH])) for k in range(0, len(w), quality.STRETCH))
+    assert vote[3, "letters"] == vote[4, "letters"] == 1
+    clean = [(10 + i, sentence(rng, 100)) for i in range(100)]
+    junk = [(1000 + i, " ".join(w + "***" for w in sentence(rng, 80).split())) for i in range(3)]
+    df = spark.createDataFrame([(1, book), (5, marks[3] + " " + sentence(rng, 30)), *clean, *junk], "doc_id long, text string")
+    assert {r[0] for r in quality.keep_documents(df).select("doc_id").collect()} == {1, 5} | {i for i, _ in clean}
+
+
 def test_em_is_native(docs):
     plan = quality.quality_rules(docs, carry=["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan

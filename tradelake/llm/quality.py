@@ -10,6 +10,10 @@ The rules' votes have at most ``3 ** len(RULES)`` patterns, so the data that
 EM works on is a count per pattern: bounded by the rules, whatever the number
 of documents.  All of EM is one SQL expression over that one row.
 
+Letters are letters and the marks that combine with them (vowel signs of Indic
+scripts).  Variety is counted in stretches of ``STRETCH`` words, so it does not
+fall with the length of a text.
+
 Defined results: a null text counts as empty; a text without words has counts
 of 0 and fails the base; null, repeated or missing ids play no part (each row
 is judged by its own text); an empty table gives an empty result.
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from tradelake.llm.scratch import column_of, positional, words_of, written
 
 WINDOW = 8           # words in a window whose repetition counts
+STRETCH = 1000       # words among which distinct ones are counted
 MIN_WORDS = 20       # base: fewer words fail
 MAX_REPEAT_PCT = 30  # base: a larger share of repeated words fails
 SYMBOLS = "#*$%&|<>"
@@ -36,7 +41,7 @@ RULES = {
     "lines": ("n_dup_lines >= 3 AND n_dup_lines > 0.30 * n_lines", "n_dup_lines <= 0.05 * n_lines"),
     "capitals": ("n_capitals > 0.40 * word_chars", "n_capitals <= 0.15 * word_chars"),
     "stress": ("n_stress > 0.15 * n_words", "n_stress <= 0.03 * n_words"),
-    "variety": ("n_distinct_words < 0.15 * n_words", "n_distinct_words >= 0.30 * n_words"),
+    "variety": ("n_stretch_words < 0.15 * n_words", "n_stretch_words >= 0.30 * n_words"),
     "length": ("n_words < 10", "n_words >= 60"),
 }
 
@@ -58,13 +63,16 @@ def text_counts(df: DataFrame, text: str) -> DataFrame:
     a = df.withColumns({"_w": words_of(F.col(text)), "_lines": lines,
                         "n_symbols": (F.length(t) - F.length(no_symbols)).cast("long"),
                         "n_capitals": (F.length(t) - F.length(F.translate(t, CAPITALS, ""))).cast("long"),
-                        "n_letters": F.length(F.regexp_replace(t, r"\P{L}+", "")).cast("long"),
+                        "n_letters": F.length(F.regexp_replace(t, r"[^\p{L}\p{M}]+", "")).cast("long"),
                         "n_stress": (F.length(t) - F.length(F.translate(t, "!", ""))).cast("long"),
                         "word_chars": F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long")})
     n = F.size("_w")
     b = a.withColumns({
         "n_words": n.cast("long"),
-        "n_distinct_words": F.size(F.array_distinct("_w")).cast("long"),
+        # distinct words of each stretch, added up over the whole text: the share
+        # of a book is the mean of its stretches' shares, not less for its length
+        "n_stretch_words": F.expr(f"""CASE WHEN size(_w) <= {STRETCH} THEN CAST(size(array_distinct(_w)) AS BIGINT) ELSE
+            aggregate(sequence(1, size(_w), {STRETCH}), 0L, (s, i) -> s + size(array_distinct(slice(_w, i, {STRETCH})))) END"""),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         "_h": F.when(n >= WINDOW, F.expr(
