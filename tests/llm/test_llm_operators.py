@@ -61,6 +61,29 @@ def test_quality_rules_do_not_depend_on_length_or_script(spark):
     assert {r[0] for r in quality.keep_documents(df).select("doc_id").collect()} == {1, 5} | {i for i, _ in clean}
 
 
+def _posteriors(spark, counts):
+    m = len(quality.RULES)
+    rows = [([bad.get(j, 1) for j in range(m)], n) for bad, n in counts]
+    out = quality._em(spark.createDataFrame(rows, "votes array<int>, n long"))
+    got = {tuple(r["votes"]): r["posterior"] for r in out.collect()}
+    return [got[tuple(v)] for v, _ in rows]
+
+
+@pytest.mark.parametrize("size", [1, 20, 1000])
+def test_one_bad_vote_of_a_noisy_rule_does_not_reject(spark, size):
+    """Rule 1 votes bad on 2 % of the documents that all others call good;
+    rules 0, 3 and 4 agree on the 5 % that are bad."""
+    good, noisy, bad, worse = _posteriors(spark, [({}, 930 * size), ({1: -1}, 20 * size), ({0: -1, 3: -1}, 25 * size),
+                                                  ({0: -1, 3: -1, 4: -1}, 25 * size)])
+    assert good > 0.95 and noisy >= 0.5 and bad < 0.5 and worse < 0.5
+    # each rule alone on 2 %: nothing bears any of them out
+    single = _posteriors(spark, [({}, 840 * size), *[({j: -1}, 20 * size) for j in range(8)]])
+    assert min(single) >= 0.5
+    # no bad vote, no rejection, though the bad ones abstain there too
+    none, *rest = _posteriors(spark, [({1: 0}, 5 * size), ({}, 900 * size), ({0: -1, 1: 0}, 60 * size), ({0: -1, 1: -1}, 35 * size)])
+    assert none >= 0.5 and rest[0] >= 0.5 and max(rest[1:]) < 0.5
+
+
 def test_em_is_native(docs):
     plan = quality.quality_rules(docs, carry=["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan

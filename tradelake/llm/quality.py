@@ -1,10 +1,13 @@
 """Quality rules by weak supervision, in DataFrame and SQL functions only.
 
 Each rule looks at a few counts of a text and votes good (1), bad (-1) or
-abstains (0).  No rule decides alone: expectation-maximisation estimates, from
-how the votes of all documents agree, how often each rule votes each way on
-good and on bad documents, and the posterior probability of being good
-replaces "must pass every rule".
+abstains (0).  Expectation-maximisation estimates, from how the votes of all
+documents agree, how often each rule votes each way on good and on bad
+documents, and the posterior probability of being good replaces "must pass
+every rule".  A bad vote of a rule that others seldom bear out does not decide
+alone; one of a rule that they mostly bear out may.  A good vote never counts
+against a document, a bad one never for it, and a rule that abstains says
+nothing in the verdict: no bad vote, no rejection while most documents are good.
 
 The rules' votes have at most ``3 ** len(RULES)`` patterns, so the data that
 EM works on is a count per pattern: bounded by the rules, whatever the number
@@ -45,12 +48,12 @@ RULES = {
     "length": ("n_words < 10", "n_words >= 60"),
 }
 
-#: What EM starts from and is pulled towards: (good, abstain, bad) votes on
-#: good and on bad documents, each worth this share of all documents.
-#: A bad document mostly breaks a rule or two and satisfies the others, so a good
-#: vote says little and a bad one much.
+#: What EM is pulled towards: (good, abstain, bad) votes on good and on bad
+#: documents, each worth this number of documents whatever the corpus, so that
+#: data outweigh it.  A bad document mostly breaks a rule or two and satisfies
+#: the others, so a good vote says little and a bad one much.
 PRIOR = {"good": (0.930, 0.068, 0.002), "bad": (0.75, 0.05, 0.20)}
-PRIOR_SHARE = 0.5
+PRIOR_DOCUMENTS = 10
 ITERATIONS = 20
 
 
@@ -105,32 +108,39 @@ def _em(patterns: DataFrame) -> DataFrame:
     """(votes, n) per pattern -> (votes, posterior).
 
     State: the probability of being good for each pattern.  One step estimates
-    the votes' rates from the state (M) and the state from the rates (E)."""
+    the votes' rates from the state (M) and the state from the rates (E); the
+    verdict is a last E without the abstentions."""
     m = len(RULES)
     good = f"array({', '.join(map(str, PRIOR['good']))})"
     bad = f"array({', '.join(map(str, PRIOR['bad']))})"
-    rows = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("p"),
-                        F.sum("n").cast("double").alias("total"))
+    rows = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("p"))
 
     def mass(weight: str, when: str = "true") -> str:
         return (f"aggregate(zip_with(p, q, (x, w) -> IF({when}, x.n * {weight}, 0D)), 0D,"
                 " (s, v) -> s + v)")
 
-    strength = f"({PRIOR_SHARE} * total)"
+    strength = f"{float(PRIOR_DOCUMENTS)}D"
     same = "element_at(x.votes, j) = v"
     # rates: for rule j and vote v the log ratio of its rates on good and bad
     ratio = (f"ln(({mass('w', same)} + {strength} * element_at({good}, 2 - v)) / ({mass('w')} + {strength}))"
              f" - ln(({mass('(1 - w)', same)} + {strength} * element_at({bad}, 2 - v))"
              f" / ({mass('(1 - w)')} + {strength}))")
+    # a good vote is no evidence of bad, a bad one none of good, and to abstain is in between
+    ordered = "array(greatest(r[0], 0D), least(greatest(r[1], least(r[2], 0D)), greatest(r[0], 0D)), least(r[2], 0D))"
     model = (f"struct(ln(({mass('w')} + {strength}) / ({mass('(1 - w)')} + {strength})) AS odds,"
-             f" transform(sequence(1, {m}), j -> transform(array(1, 0, -1), v -> {ratio})) AS r)")
-    votes = "aggregate(zip_with(x.votes, m.r, (v, r) -> element_at(r, 2 - v)), m.odds, (s, v) -> s + v)"
-    step = f"element_at(transform(array({model}), m -> transform(p, x -> 1 / (1 + exp(-({votes}))))), 1)"
+             f" transform(transform(sequence(1, {m}), j -> transform(array(1, 0, -1), v -> {ratio})), r -> {ordered}) AS r)")
+
+    def posterior(of_vote: str) -> str:
+        votes = f"aggregate(zip_with(x.votes, m.r, (v, r) -> {of_vote}), m.odds, (s, v) -> s + v)"
+        return f"element_at(transform(array({model}), m -> transform(p, x -> 1 / (1 + exp(-({votes}))))), 1)"
+
+    step, verdict = posterior("element_at(r, 2 - v)"), posterior("IF(v = 0, 0D, element_at(r, 2 - v))")
     start = ("transform(p, x -> aggregate(x.votes, 1D, (s, v) -> s + IF(v = 1, 1, 0))"
              " / aggregate(x.votes, 2D, (s, v) -> s + CASE v WHEN 1 THEN 1 WHEN -1 THEN 4 ELSE 0 END))")
     fitted = rows.select("p", F.expr(
         f"aggregate(sequence(1, {ITERATIONS}), {start}, (q, i) -> {step})").alias("q"))
-    return fitted.select(F.explode(F.arrays_zip("p", "q")).alias("z")).select(
+    judged = fitted.select("p", F.expr(verdict).alias("q"))
+    return judged.select(F.explode(F.arrays_zip("p", "q")).alias("z")).select(
         F.col("z.p.votes").alias("votes"), F.col("z.q").alias("posterior"))
 
 
