@@ -307,3 +307,26 @@ def test_language_id(spark, nothing):
     assert language_id.identify(nothing).count() == 0
     none = language_id.identify(df.withColumn("lang", F.lit(None).cast("string"))).select("lang_pred").distinct().collect()
     assert [r[0] for r in none] == ["und"]
+
+
+def test_language_sample_holds_rare_languages_and_counts_copies_once(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(language_id, "MOST_TEXTS", 40)
+    rng = random.Random(12)
+
+    def texts(parts, n):
+        return [" ".join("".join(rng.choices(parts, k=2)) for _ in range(30)) for _ in range(n)]
+
+    often, rare = "the and ing of thr wh".split(), "que ción los ñas".split()
+    given = [(t, "aa") for t in texts(often, 3000)] + [(t, "bb") for t in texts(rare, 3)]
+    # a language of which nearly all rows are copies of one text without the trigrams of the others
+    given += [("zzz kkk", "cc")] * 1000 + [(t, "cc") for t in texts("der sch ung ein ich über".split(), 5)]
+    rows = [(3 * n, t, lang) for n, (t, lang) in enumerate(given)]
+    train = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    assert {lang for _, _, lang in train} == {"aa", "bb", "cc"}
+    asked = [(100_000 + n, t, None) for n, t in enumerate(texts(rare, 5) + texts("der sch ung ein ich über".split(), 5))]
+    df = spark.createDataFrame(rows + asked, "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    assert model.languages == ["aa", "bb", "cc"]
+    out = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(df, model).collect()}
+    assert [out[i] for i, _, _ in asked] == ["bb"] * 5 + ["cc"] * 5

@@ -6,11 +6,13 @@ their conjunction is the set of all languages that (may) contain it.  A text
 counts, per language, the trigrams whose mask has its bit, takes off what the
 filter's fill lets through by chance, and the largest count decides.
 
-The filters are learned from the labelled training texts, at most about
-``MOST_TEXTS`` of them chosen by hash (a documented bound on the sample, kept
-by a rate, not by a cut); a trigram belongs to a language if at least
-``LEAST_SHARE`` of its sampled texts contain it.  The table has a fixed size,
-so it is broadcast whatever the corpus.  Every whole text is scored.
+The filters are learned from the labelled training texts: of each language at
+most about ``MOST_TEXTS`` different ones, chosen by the hash of the text (a
+documented bound on a language's sample, kept by a rate, not by a cut; a language
+with fewer has all of them in it).  A text that is there more than once counts
+once.  A trigram belongs to a language if at least ``LEAST_SHARE`` of its sampled
+texts contain it.  The table has a fixed size, so it is broadcast whatever the
+corpus.  Every whole text is scored.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 ties go to the smaller language name; without any training text all are
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradelake.llm.scratch import pick
+from tradelake.llm.scratch import drop, pick, written
 from tradelake.llm.text import CHUNK, U, mix64
 
 ROWS = 1 << 17
@@ -107,9 +109,15 @@ class Model:
 def fit(rows: DataFrame) -> Model:
     """From (doc_id, text, lang): the training texts' trigrams per language."""
     train = rows.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = train.count()
-    if n > MOST_TEXTS:   # by hash of the text, so copies come or go together
-        train = train.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * MOST_TEXTS / n))
+    train = train.select("text", "lang", F.xxhash64("text").alias("hash"))
+    different = {r["lang"]: r["n"] for r in train.select("lang", "hash").distinct().groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    # below a share of all 2**64 hashes, alike for copies; a rare language has all of its texts
+    highest = [F.lit(x) for name, n in different.items()
+               for x in (name, -2**63 + min(2**64, MOST_TEXTS * 2**64 // n) - 1)]
+    if different:
+        train = train.filter(F.col("hash") <= F.create_map(*highest)[F.col("lang")])
+    train = written(train.dropDuplicates(["lang", "hash"]), "language-sample")   # at most about MOST_TEXTS a language
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,6 +150,7 @@ def fit(rows: DataFrame) -> Model:
                               F.expr(f"shiftleft(1L, i % {SLICE})").alias("bit")).groupBy("row", "slice").agg(
             F.bit_or("bit").alias("mask")).toArrow()   # at most ROWS rows a slice
         table[np.asarray(masks["row"]).astype(np.int64), np.asarray(masks["slice"])] = np.asarray(masks["mask"]).view(U)
+    drop(train)
     return Model(languages, table)
 
 
