@@ -212,6 +212,20 @@ def test_decontamination(spark, docs, rows, nothing):
     assert clean.filter("doc_id is not null").count() == sum(x[2] == 0 for x in expect)
 
 
+def test_decontamination_by_items_without_id(spark):
+    import random
+    rng = random.Random(14)
+    a, b, c = (sentence(rng, 15) for _ in range(3))
+    given = [(1, f"{sentence(rng, 9)} {a} {sentence(rng, 9)}"), (2, f"{a} {b}"), (3, sentence(rng, 30)), (None, f"x {c}"), (4, c)]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    bench = spark.createDataFrame([(None, a), (None, c), (7, b), (8, c)], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"], r["n_items"], r["contaminated"])
+           for r in decontamination.decontaminate(docs, bench).collect()}
+    assert got == {1: (15, [None], 1, True), 2: (30, [None, "7"], 2, True), 3: (0, [], 0, False),
+                   None: (15, [None, "8"], 2, True), 4: (15, [None, "8"], 2, True)}
+    assert [r["doc_id"] for r in decontamination.clean_documents(docs, bench).collect()] == [3]
+
+
 def test_mixing(docs, rows, nothing):
     out = mixing.mix(docs)
     got = out.select("_id", "source", "size", "source_size", "target", "takes").collect()

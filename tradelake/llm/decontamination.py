@@ -20,7 +20,8 @@ lets more places through to the join, which is a shuffle join and exact.
 Defined results: a null text has no words; an item without words has no
 window; equal windows of different items count for each item; rows that share a
 doc_id (or have none) are one document and all get its result, each with its
-own n_words; an empty benchmark leaves all documents clean.
+own n_words; all items without an item_id count as one item, which comes first
+(a null) in ``items``; an empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -146,25 +147,26 @@ def _places(docs: DataFrame, tokens: DataFrame, k: int) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, k: int = WINDOW) -> DataFrame:
-    """(doc_id, start, size, items): each place where a window occurs in a row
-    of (doc_id, text), with the item_ids (as strings) that have it."""
+    """(doc_id, start, size, items, unnamed): each place where a window occurs
+    in a row of (doc_id, text), with the item_ids (as strings) that have it and
+    whether an item without id has it."""
     cut = written(windows_of(benchmark, k), "windows")
     windows = written(cut.groupBy("words").agg(
         F.first("size").alias("size"), F.first("tokens").alias("tokens"),
-        F.collect_set("item_id").alias("items")), "items")
+        F.collect_set("item_id").alias("items"), F.bool_or(F.col("item_id").isNull()).alias("unnamed")), "items")
     tokens = windows.select("words", F.posexplode("tokens").alias("place", "token"))
     rarity = _frequencies(docs, tokens.select("token").distinct())
     ranked = tokens.join(rarity, "token").groupBy("words").agg(
         F.min(F.struct("df", "token", "place")).alias("rarest"), F.count(F.lit(1)).alias("known"))
     # a window with a token that no document has occurs nowhere
     prefix = written(ranked.join(windows, "words").filter(F.col("known") == F.size("tokens")).select(
-        F.col("rarest.token").alias("token"), F.col("rarest.place").alias("place"), "size", "words", "items"), "prefix")
+        F.col("rarest.token").alias("token"), F.col("rarest.place").alias("place"), "size", "words", "items", "unnamed"), "prefix")
     places = _places(docs, prefix.select("token"), k)
     met = places.join(prefix, "token").filter((F.col("left") >= F.col("place")) & (
         F.col("left") - F.col("place") + F.col("size") <= F.col("n_around")))
     there = F.slice(F.split(F.col("around").cast("string"), " "), F.col("left") - F.col("place") + 1, F.col("size"))
     same = met.filter(F.array_join(there, " ") == F.col("words").cast("string"))
-    return same.select("doc_id", (F.col("at") - F.col("place")).alias("start"), "size", "items")
+    return same.select("doc_id", (F.col("at") - F.col("place")).alias("start"), "size", "items", "unnamed")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -176,24 +178,27 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", k: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted item_ids as strings), n_items and
-    contaminated, for each row of ``docs``."""
+    """doc_id, n_words, n_hit, items (sorted item_ids as strings, null first),
+    n_items and contaminated, for each row of ``docs``."""
     rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     bench = pick(benchmark, item_id=item_id, text=item_text).select(
         F.col("item_id").cast("string"), F.col("text").cast("string"))
     found = written(occurrences(rows, bench, k), "occurrences")
     items = found.select("doc_id", F.explode("items").alias("item")).distinct().groupBy("doc_id").agg(
         F.sort_array(F.collect_list("item")).alias("items"))
-    spans = found.groupBy("doc_id", "start").agg(F.max("size").alias("size"))
+    spans = found.groupBy("doc_id", "start").agg(F.max("size").alias("size"), F.max("unnamed").alias("unnamed"))
     before = W.partitionBy("doc_id").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     end = F.col("start") + F.col("size")
     seen = F.coalesce(F.max(end).over(before), F.lit(0))
     spans = spans.withColumn("new", F.greatest(F.lit(0), end - F.greatest(F.col("start"), seen)))
-    hit = spans.groupBy("doc_id").agg(F.sum("new").alias("n_hit"))
-    told = hit.join(items, hit["doc_id"].eqNullSafe(items["doc_id"])).select(hit["doc_id"].alias("_d"), "n_hit", "items")
+    hit = spans.groupBy("doc_id").agg(F.sum("new").alias("n_hit"), F.max("unnamed").alias("unnamed"))
+    # the places alone say what is hit; a document may hold none but unnamed items
+    nothing = F.array().cast("array<string>")
+    null = F.when(F.col("unnamed"), F.array(F.lit(None).cast("string"))).otherwise(nothing)
+    told = hit.join(items, hit["doc_id"].eqNullSafe(items["doc_id"]), "left").select(
+        hit["doc_id"].alias("_d"), "n_hit", F.concat(null, F.coalesce("items", nothing)).alias("items"))
     out = word_counts(rows)
     out = out.join(told, out["doc_id"].eqNullSafe(told["_d"]), "left")
-    nothing = F.array().cast("array<string>")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                       F.coalesce("items", nothing).alias("items"),
                       F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
