@@ -1,4 +1,3 @@
-import json
 import os
 import sys
 import tempfile
@@ -6,9 +5,7 @@ import tempfile
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-
-SF_SMALL = "/root/testdata/sf0.001"
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
 @pytest.fixture(scope="session")
@@ -30,11 +27,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_path():
     return tempfile.mkdtemp(prefix="tl-test-")
-
-
-def write_lines(path: str, docs: list[dict], name: str = "part-0.json") -> str:
-    os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, name), "w") as f:
-        for d in docs:
-            f.write(json.dumps(d) + "\n")
-    return path

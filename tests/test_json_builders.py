@@ -8,7 +8,7 @@ import os
 
 import pytest
 
-from conftest import write_lines
+from helpers import write_lines
 from tradelake.plans.build import table
 from tradelake.sources.jsonsrc import land_json
 

@@ -6,7 +6,7 @@ import os
 
 import pytest
 
-from conftest import write_lines
+from helpers import write_lines
 from tradelake.plans import pipelines
 from tradelake.plans.build import table
 from tradelake.plans.specs import JOB_GROUPS, PIPELINES

@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tradelake.functions.measures import MEASURES
 from tradelake.plans.specs import OUTPUT_TABLES
 from tradelake.sources.driver import DRIVER_TABLES

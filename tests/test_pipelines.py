@@ -3,7 +3,7 @@
 import json
 import os
 
-from conftest import write_lines
+from helpers import write_lines
 from tradelake.plans import pipelines
 from tradelake.plans.build import table
 from tradelake.plans.specs import JOB_GROUPS, OUTPUT_TABLES, PIPELINES
@@ -134,7 +134,7 @@ def test_cli_run(spark, tmpdir_path):
 def test_measures_from_written_tables(spark, tmpdir_path):
     """The measures job reads the tables a pipeline run wrote and gives the
     same rows as the measures over the tables in memory."""
-    from conftest import SF_SMALL
+    from helpers import SF_SMALL
     from tradelake.__main__ import main
     from tradelake.functions.measures import MEASURES
     from tradelake.sources.driver import land

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tradelake.operators.dedup import keep_first
 from tradelake.plans.build import build_with_refs, table
 from tradelake.sources.driver import land

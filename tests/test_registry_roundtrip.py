@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql.types import ArrayType, StructType
 
-from conftest import write_lines
+from helpers import write_lines
 from tradelake.plans.build import output_columns, table
 from tradelake.plans.specs import PIPELINES
 from tradelake.sources.jsonsrc import land_json

@@ -4,7 +4,7 @@ the hot group instead of sending it to one task."""
 
 import os
 
-from conftest import write_lines
+from helpers import write_lines
 from tradelake.plans.build import table
 from tradelake.sources.jsonsrc import land_json
 
