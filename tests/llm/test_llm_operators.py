@@ -4,7 +4,7 @@ import zlib
 
 import brute
 import pytest
-from conftest import in_order, sentence, table
+from corpus import in_order, sentence, table
 from pyspark.sql import functions as F
 
 from tradelake.llm import (decontamination, language_id, mixing, near_dedup, quality, sharding, substring_dedup,

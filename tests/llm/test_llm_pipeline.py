@@ -4,7 +4,7 @@ import tempfile
 
 import brute
 import corpus_pipeline
-from conftest import corpus
+from corpus import corpus
 from pyspark.sql import functions as F
 
 
