@@ -74,9 +74,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP13 = """
+WITH r AS (
+  SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM r WHERE vec_id % 100 = 0),
+s AS (SELECT a.row AS anchor, a.vec_id AS anchor_id, r.row, r.vec_id, r.label = a.label AS same,
+             CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+      FROM a JOIN r ON a.row <> r.row),
+p AS (SELECT anchor, anchor_id, row AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+        AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
+
 SQL: dict[str, str] = {
     "op2_url_filter": OP2,
     "op6_substring_dedup": OP6,
     "op9_minhash_near_dedup": OP9,
     "op10_decontamination": OP10,
+    "op13_hard_negatives": OP13,
 }
