@@ -74,6 +74,28 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP12 = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array(
+             translate(coalesce(text, ''), '{CAPITALS}', '{SMALL}'), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(p) AS p FROM d)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, list_slice(w, s, s + k - 1) AS g, count(*) AS f
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM w, (VALUES (1), (2), (3)) AS t(k))
+      GROUP BY lang, list_slice(w, s, s + k - 1)),
+c AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1 AND f >= 10),
+cuts AS (SELECT c.*, x.f AS l, y.f AS r, CAST((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+         FROM c JOIN f AS x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, k)
+                JOIN f AS y ON y.lang = c.lang AND y.g = list_slice(c.g, k + 1, len(c.g))),
+low AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+longer AS (SELECT lang, g, max(f) AS f FROM (
+             SELECT lang, list_slice(g, 1, 2) AS g, f FROM f WHERE len(g) = 3 AND f >= 10
+             UNION ALL SELECT lang, list_slice(g, 2, 3) AS g, f FROM f WHERE len(g) = 3 AND f >= 10) GROUP BY lang, g),
+kept AS (SELECT low.*, array_to_string(low.g, ' ') AS phrase FROM low LEFT JOIN longer USING (lang, g)
+         WHERE longer.f IS NULL OR 100 * longer.f < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 OP13 = """
 WITH r AS (
   SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -99,5 +121,6 @@ SQL: dict[str, str] = {
     "op6_substring_dedup": OP6,
     "op9_minhash_near_dedup": OP9,
     "op10_decontamination": OP10,
+    "op12_collocations": OP12,
     "op13_hard_negatives": OP13,
 }
