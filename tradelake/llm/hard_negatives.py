@@ -121,22 +121,24 @@ def _in_id_order(rows: pa.Table) -> pa.Table:
     return rows.sort_by([("vec_id", "ascending"), ("row", "ascending")])  # nulls come last
 
 
-def _tiles(anchors: pa.Table, rows: pa.Table):
+def _tiles(anchors: pa.Table, rows: pa.Table, tile: int, leaf: int):
     """(first place, label, row, scores) of each tile of the candidates."""
     width = max(np.diff(np.asarray(t["vector"].combine_chunks().offsets)).max(initial=0) for t in (anchors, rows))
     a, b = _matrix(anchors["vector"], width), _matrix(rows["vector"], width)
     label, row = np.asarray(rows["label"]), np.asarray(rows["row"])
-    for at in range(0, len(b), TILE):
-        s = slice(at, at + TILE)
-        yield at, label[s], row[s], strassen(a, np.ascontiguousarray(b[s].T))
+    for at in range(0, len(b), tile):
+        s = slice(at, at + tile)
+        yield at, label[s], row[s], strassen(a, np.ascontiguousarray(b[s].T), leaf)
 
 
 def _positives_of(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    tile, leaf = TILE, LEAF
+
     def of(anchors: pa.Table, rows: pa.Table) -> pa.Table:
         rows, heaps = _in_id_order(rows), _Heaps(top)
         label, own = np.asarray(anchors["label"]), np.asarray(anchors["row"])
         if anchors.num_rows:
-            for at, theirs, row, scores in _tiles(anchors, rows):
+            for at, theirs, row, scores in _tiles(anchors, rows, tile, leaf):
                 ok = (label[:, None] == theirs[None, :]) & (own[:, None] != row[None, :])
                 i, j, s = _best(scores, ok, top)
                 heaps.push(i, at + j, s)
@@ -149,6 +151,8 @@ def _positives_of(top: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
 
 def _negatives_of(top: int, low: int, full: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Of anchors with their positives (a row each: nth, positive_score)."""
+    tile, leaf = TILE, LEAF
+
     def of(anchors: pa.Table, rows: pa.Table) -> pa.Table:
         rows, heaps = _in_id_order(rows), _Heaps(top)
         positives = anchors["positives"].combine_chunks()
@@ -157,7 +161,7 @@ def _negatives_of(top: int, low: int, full: int) -> Callable[[pa.Table, pa.Table
         least = np.array([-(-low * p // full) for p in scores_of.tolist()], dtype=np.int64)  # products beyond 64 bits
         label, count = np.asarray(anchors["label"]), np.diff(ends)
         if anchors.num_rows:
-            for at, theirs, _, scores in _tiles(anchors, rows):
+            for at, theirs, _, scores in _tiles(anchors, rows, tile, leaf):
                 other = label[:, None] != theirs[None, :]
                 for nth in range(count.max(initial=0)):
                     mine = np.flatnonzero(count > nth)
