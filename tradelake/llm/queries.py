@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradelake.llm import (collocations, decontamination, hard_negatives, language_id, mixing, near_dedup, oracle,
-                           quality, sharding, substring_dedup, suffix_dedup, url_filter, warc)
+                           pii, quality, sharding, substring_dedup, suffix_dedup, url_filter, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.by_pattern AND s.kind = '{k}')) AS long)").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"),
+                        F.col("all_spans").alias("spans"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents")).drop("before", "behind")
 
@@ -89,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_personal_data": op11_personal_data,
     "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
