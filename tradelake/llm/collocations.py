@@ -41,9 +41,10 @@ from pyspark.sql import functions as F
 from tradelake.llm.scratch import drop, pick, written
 from tradelake.llm.text import U, Words, byte_class, lower_ascii, mix64, run_starts, text_bytes
 
-SHARD = 8 << 20
+SHARD = 4 << 20
 LONGEST, LEAST, TOP, INSIDE = 3, 10, 2000, 50
 BITS = 23
+PARTS = 32
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _BREAK = ~byte_class(_BREAKS)
 _WORD = byte_class(_BREAKS + b" \t")
@@ -295,11 +296,12 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", longes
     rows = pick(docs, lang=lang, text=text).select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string"))
     cut = written(shards(rows), "shards")
-    totals = cut.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n"))
+    totals = written(cut.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n")), "totals")
     said = cut.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).groupBy("lang", F.col("w.words").alias("word"))
     dictionary = written(said.agg(F.sum("w.counts").alias("f")).filter(F.col("f") >= least).withColumn(
         "id", F.monotonically_increasing_id()), "dictionary")
     index = written(indexes(cut, dictionary, longest), "index")
+    drop(cut)
 
     tables = {1: dictionary.select(F.col("id").alias("w1"), F.col("f").alias("a"))}
     maps: dict[int, Broadcast] = {}
@@ -332,7 +334,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", longes
             cuts = cuts.join(of.withColumnRenamed("word", f"t{i}"), F.col(f"w{i}") == F.col("id")).drop("id", f"w{i}")
         parts.append(cuts.select("lang", F.concat_ws(" ", *[f"t{i}" for i in range(1, n + 1)]).alias("phrase"),
                                  "a", "l", "r", "score", "before", "behind"))
-    best = W.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    ranked = reduce(DataFrame.union, parts).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    # the best of a language are among the best of its parts, so no task ranks more than PARTS * top
+    ranked = reduce(DataFrame.union, parts).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        best = W.partitionBy(*by).orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+        ranked = ranked.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n",
                                               "score", "before", "behind")
