@@ -2,9 +2,8 @@
 
 * JSON Lines (S1/S2): one document per line; splittable, so the scan
   parallelises by file split.
-* Envelope (S3): one response object per file with the records under a key
-  (``multiLine``: one task per file, so land many small files or convert to
-  JSON Lines).
+* Envelope (S3): one response object per file with the records under a key,
+  read in byte ranges (:mod:`.envelope`).
 
 Nothing that fails to parse passes as data: a broken line, a broken envelope or
 a value of the wrong type (a number where a list holds objects) leaves its text
@@ -23,8 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
+from .envelope import read_records
 from .export import Export, Frame
-from .registry import ENVELOPE_KEYS, document_schema, envelope_schema, line_schema
+from .registry import ENVELOPE_KEYS, document_schema, line_schema
 
 CORRUPT = "_corrupt_record"
 
@@ -47,20 +47,15 @@ def read_lines(spark: SparkSession, source: str, path: str) -> DataFrame:
 
 
 def read_envelopes(spark: SparkSession, source: str, path: str) -> DataFrame:
-    """S3: response envelopes; unwrap the record list with its position.  A
-    broken envelope stays as one row with its text."""
-    key = ENVELOPE_KEYS[source]
-    raw = _reader(spark, envelope_schema(source)).option("multiLine", True).json(path)
-    return (raw.select(F.col("_metadata.file_path").alias("_ord"), CORRUPT,
-                       F.posexplode_outer(F.col(key)).alias("_ord_b", "_doc"))
-               .where(F.col("_doc").isNotNull() | F.col(CORRUPT).isNotNull())
-               .select("_ord", "_ord_b", CORRUPT, "_doc.*"))
+    """S3: the records of response envelopes, whatever their size: a file is
+    read in byte ranges.  What is broken stays as a row with its text."""
+    return read_records(spark, path, ENVELOPE_KEYS[source], document_schema(source), CORRUPT)
 
 
 def in_order(docs: DataFrame) -> DataFrame:
     """Give every row its place in its split.  Call it on the rows as read,
     after any filter; the place is fixed once the rows are written."""
-    if "_ord_g" not in docs.columns:
+    if "_ord_g" not in docs.columns or "_ord_h" in docs.columns:
         return docs
     return docs.withColumn("_ord_h", F.monotonically_increasing_id())
 

@@ -82,8 +82,3 @@ def document_schema(source: str) -> StructType:
 def line_schema(source: str) -> StructType:
     """JSON Lines layout: one document per line plus its landing order ``_ord``."""
     return StructType([StructField("_ord", LongType())] + document_schema(source).fields)
-
-
-def envelope_schema(source: str) -> StructType:
-    """Envelope layout: one response object per file, records under the key."""
-    return StructType([StructField(ENVELOPE_KEYS[source], ArrayType(document_schema(source)))])
