@@ -176,6 +176,7 @@ def test_pipeline_run_equals_in_memory_build(spark, tmpdir_path, source, docs):
     """A pipeline run (bronze copy, parents written and read back) writes
     exactly the tables the in-memory builder gives, grandchildren included."""
     from tradelake.plans import pipelines
+    from tradelake.plans.pipelines import read_table
     from tradelake.plans.specs import PIPELINES
     land = write_lines(os.path.join(tmpdir_path, "land"), docs)
     out = os.path.join(tmpdir_path, "out")
@@ -186,6 +187,6 @@ def test_pipeline_run_equals_in_memory_build(spark, tmpdir_path, source, docs):
     exp = flatten(source, spark.read.parquet(os.path.join(tmpdir_path, "whole")))
     for name in PIPELINES[source]:
         want = table(exp, name)
-        got = spark.read.parquet(os.path.join(out, name))
+        got = read_table(spark, out, name)
         assert got.columns == want.columns, name
         assert _rows(got) == _rows(want), name

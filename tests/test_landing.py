@@ -8,6 +8,7 @@ import pytest
 
 from helpers import write_lines
 from tradelake.plans import pipelines
+from tradelake.plans.pipelines import read_table
 from tradelake.plans.build import table
 from tradelake.plans.specs import JOB_GROUPS, PIPELINES
 from tradelake.sources import jsonsrc, sinks
@@ -17,7 +18,7 @@ from tradelake.streaming.refresh import refresh_on_landing
 
 
 def _read(spark, out, name, *cols):
-    return sorted(map(tuple, spark.read.parquet(os.path.join(out, name)).select(*cols).collect()), key=repr)
+    return sorted(map(tuple, read_table(spark, out, name).select(*cols).collect()), key=repr)
 
 
 def test_children_without_ord(spark, tmpdir_path):
@@ -83,7 +84,7 @@ def test_stream_waits_for_complete_exports_and_never_goes_back(spark, tmpdir_pat
         if complete:
             open(os.path.join(land, f"export={export}", "_SUCCESS"), "w").close()
         refresh_on_landing(spark, "logistics", land, out).awaitTermination(120)
-        return _read(spark, out, "logistics", "logistics_id") if os.path.exists(os.path.join(out, "logistics")) else None
+        return _read(spark, out, "logistics", "logistics_id") if os.path.exists(os.path.join(out, "_commits")) else None
 
     assert arrive("20260102", "a", [1, 2]) is None                      # not complete yet
     assert arrive("20260102", "b", [3], complete=True) == [(1,), (2,), (3,)]    # all of it, not the new file
@@ -139,7 +140,7 @@ def test_rejects_are_written_and_strict_keeps_the_old_tables(spark, tmpdir_path)
     with pytest.raises(ValueError, match=r"products.product_id \(1\)"):
         pipelines.run(spark, "products", bad, out, strict=True)
     assert _read(spark, out, "products", "product_id") == [(7,)]
-    assert sorted(os.listdir(out)) == sorted([*[t for t in PIPELINES["products"] if t in os.listdir(out)], "rejects"])
+    assert len(os.listdir(os.path.join(out, "_versions", "products"))) == 1         # the refused run left nothing
     pipelines.run(spark, "products", bad, out)
     got = {(t, c): n for t, c, n in _read(spark, out, "rejects/products", "table", "column", "n_rejects")}
     assert got["products", "product_id"] == 1 and sum(got.values()) == 1
@@ -189,7 +190,7 @@ def test_every_pipeline_of_a_group_with_data(spark, tmpdir_path, group):
         exp = land_json(spark, source, os.path.join(root, source))
         for name in PIPELINES[source]:
             want = sorted(map(tuple, table(exp, name).collect()), key=repr)
-            assert want and sorted(map(tuple, spark.read.parquet(os.path.join(out, name)).collect()), key=repr) == want, name
+            assert want and sorted(map(tuple, read_table(spark, out, name).collect()), key=repr) == want, name
     assert set(SOURCES) == set(ENVELOPE_KEYS)
 
 

@@ -5,6 +5,7 @@ import os
 
 from helpers import write_lines
 from tradelake.plans import pipelines
+from tradelake.plans.pipelines import read_table
 from tradelake.plans.build import table
 from tradelake.plans.specs import JOB_GROUPS, OUTPUT_TABLES, PIPELINES
 from tradelake.sources.jsonsrc import date_window, land_json, read_lines
@@ -28,13 +29,13 @@ def test_run_writes_tables_and_csv(spark, tmpdir_path):
     out, csv = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "csv")
     written = pipelines.run(spark, "logistics", land, out, csv_root=csv)
     assert written == {"logistics": True, "logistics_deals": True}
-    deals = spark.read.parquet(os.path.join(out, "logistics_deals"))
+    deals = read_table(spark, out, "logistics_deals")
     assert sorted((r.logistics_id, r.deal_id, r.status) for r in deals.collect()) == [(1, 5, "A")]
     c = spark.read.option("header", True).csv(os.path.join(csv, "logistics_deals"))
     assert c.columns == ["logistics_id", "deal_id", "status", "external_id"]
     # idempotent re-run: same result
     pipelines.run(spark, "logistics", land, out)
-    assert spark.read.parquet(os.path.join(out, "logistics_deals")).count() == 1
+    assert read_table(spark, out, "logistics_deals").count() == 1
 
 
 def test_empty_export_keeps_previous_tables(spark, tmpdir_path):
@@ -46,7 +47,7 @@ def test_empty_export_keeps_previous_tables(spark, tmpdir_path):
     only_parent = write_lines(os.path.join(tmpdir_path, "l3"), [{"_ord": 1, "logistics_id": "2"}])
     w = pipelines.run(spark, "logistics", only_parent, out)
     assert w == {"logistics": True, "logistics_deals": False}            # D6 keep
-    assert spark.read.parquet(os.path.join(out, "logistics_deals")).count() == 1
+    assert read_table(spark, out, "logistics_deals").count() == 1
 
 
 def test_envelope_source(spark, tmpdir_path):
@@ -89,12 +90,12 @@ def test_streaming_refresh_available_now(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     q = refresh_on_landing(spark, "logistics", land, out)
     q.awaitTermination(120)
-    assert spark.read.parquet(os.path.join(out, "logistics")).count() == 1
+    assert read_table(spark, out, "logistics").count() == 1
     # a second export lands: the next run refreshes from the new files only
     write_lines(land, [{"_ord": 1, "logistics_id": "9"}, {"_ord": 2, "logistics_id": "8"}],
                 "export-2.json")
     refresh_on_landing(spark, "logistics", land, out).awaitTermination(120)
-    ids = sorted(r.logistics_id for r in spark.read.parquet(os.path.join(out, "logistics")).collect())
+    ids = sorted(r.logistics_id for r in read_table(spark, out, "logistics").collect())
     assert ids == [8, 9]
 
 
@@ -112,7 +113,7 @@ def test_streaming_refresh_takes_newest_export_directory(spark, tmpdir_path):
         open(os.path.join(land, f"export={export}", "_SUCCESS"), "w").close()
     out = os.path.join(tmpdir_path, "out")
     refresh_on_landing(spark, "logistics", land, out).awaitTermination(120)
-    ids = sorted(r.logistics_id for r in spark.read.parquet(os.path.join(out, "logistics")).collect())
+    ids = sorted(r.logistics_id for r in read_table(spark, out, "logistics").collect())
     assert ids == [3, 4]
 
 
@@ -128,7 +129,7 @@ def test_cli_run(spark, tmpdir_path):
     land = write_lines(os.path.join(tmpdir_path, "cli"), LOGISTICS)
     out = os.path.join(tmpdir_path, "cli-out")
     main(["run", "--source", "logistics", "--landing", land, "--out", out])
-    assert spark.read.parquet(os.path.join(out, "logistics")).count() == 1
+    assert read_table(spark, out, "logistics").count() == 1
 
 
 def test_measures_from_written_tables(spark, tmpdir_path):
@@ -147,7 +148,7 @@ def test_measures_from_written_tables(spark, tmpdir_path):
     main(["measures", "--tables", tables, "--out", out])
     for name, fn in MEASURES.items():
         want = fn(orders, returns) if name == "d4_returned_orders" else fn(orders)
-        got = spark.read.parquet(os.path.join(out, name))
+        got = read_table(spark, out, name)
         assert sorted(map(tuple, got.collect()), key=repr) == \
             sorted(map(tuple, want.collect()), key=repr), name
 
@@ -174,5 +175,5 @@ def test_cli_group_with_csv(spark, tmpdir_path):
         write_lines(os.path.join(root, src), LOGISTICS if src == "logistics" else [])
     out, csv = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "csv")
     main(["group", "--group", "warehouse", "--landing-root", root, "--out", out, "--csv", csv])
-    assert spark.read.parquet(os.path.join(out, "logistics")).count() == 1
+    assert read_table(spark, out, "logistics").count() == 1
     assert spark.read.option("header", True).csv(os.path.join(csv, "logistics")).count() == 1

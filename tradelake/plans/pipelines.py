@@ -14,11 +14,13 @@
    surviving documents; every child explodes from there, so what remains of a
    child is its own keep-first.  Parents that lose no row (visits) are not
    written: their children are narrow reads of the bronze copy;
-5. stage every table of the export, several at a time, counting what its
-   integer casts reject (D2) in the same pass; a ``strict`` run stops here if
-   there is any, with all previous tables in place;
-6. swap the staged tables in (S7, keep-on-empty), write the rejects and the CSV
-   copies (S8).
+5. write every table of the export to a version folder, several at a time,
+   counting what its integer casts reject (D2) in the same pass; a ``strict`` run
+   stops here if there is any, with all previous tables in place;
+6. publish all tables and the rejects at once (S7, keep-on-empty; see
+   :mod:`..sources.versions`), write the CSV copies (S8).
+
+:func:`read_table` reads a table that a run has published.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ from ..functions.measures import (BRANCH_MEASURES, MEASURES, MONTHLY_MEASURES,
                                   branch_totals, monthly_branch_sales)
 from ..session import checkpoint_root, ensure_checkpoint_dir, tune_session
 from ..sources import jsonsrc
-from ..sources.sinks import stage_table, write_csv_copy, write_table
+from ..sources.sinks import filesystem, write_csv_copy
+from ..sources.versions import Store
 from .build import build_with_refs, cast_columns, lists_of, loses_rows, output_columns
 from .specs import JOB_GROUPS, PIPELINES, SPEC_BY_NAME, SPECS
 
@@ -44,6 +47,30 @@ PARALLEL = 4
 
 REJECTS = "table string, column string, n_rejects long"
 
+#: Export name under which the measures are published.
+MEASURES_EXPORT = "measures"
+
+
+def _export_of(name: str) -> str:
+    if name in SPEC_BY_NAME:
+        return SPEC_BY_NAME[name].source
+    return name.removeprefix("rejects/") if name.startswith("rejects/") else MEASURES_EXPORT
+
+
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A published table under ``root``: one of the 64, a measure, or
+    ``rejects/<export>``.  A folder ``root/name`` that other jobs have written
+    is read where nothing was published."""
+    store, export = Store(spark, root), _export_of(name)
+    table = "rejects" if name.startswith("rejects/") else name
+    if store.location(export, table):
+        return store.read(export, table)
+    fs, jpath = filesystem(spark, root)
+    plain = f"{root.rstrip('/')}/{name}"
+    if not fs.exists(jpath(plain)):
+        raise FileNotFoundError(f"no table {name!r} under {root}")
+    return spark.read.parquet(plain)
+
 
 def _each(work: Callable, items: Iterable) -> list:
     """``work`` for each item, ``PARALLEL`` at a time; the first error raises
@@ -116,27 +143,21 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
     plans = {name: build_with_refs(export, name, memo, seen=None if name in memo else observed(name))[0]
              for name in PIPELINES[source]}
 
-    def stage(name: str):
-        return stage_table(plans[name].select(*output_columns(name)), f"{out_root.rstrip('/')}/{name}")
-
-    staged = dict(zip(PIPELINES[source], _each(stage, PIPELINES[source])))
+    version = Store(spark, out_root).begin(source)
+    _each(lambda name: version.add(name, plans[name].select(*output_columns(name))), PIPELINES[source])
     rejected = [(name, c, n) for name, o in watched.items() for c, n in o.get.items()]
     if strict and any(n for _, _, n in rejected):        # D2 as the reference: refuse what it cannot type
-        for t in staged.values():
-            t.discard()
+        version.discard()
         raise ValueError("values that are not integers: " + ", ".join(
             f"{name}.{c} ({n})" for name, c, n in rejected if n))
-
-    written = {name: t.commit(on_empty) for name, t in staged.items()}
-    write_table(spark.createDataFrame(rejected, REJECTS).coalesce(1), f"{out_root.rstrip('/')}/rejects/{source}",
-                on_empty="replace")
+    version.add("rejects", spark.createDataFrame(rejected, REJECTS).coalesce(1))
+    written = version.publish(on_empty, always=("rejects",))
+    written.pop("rejects")
 
     def copy(name: str) -> None:
         # the copy reads the table just written (or is empty): no recompute
-        schema = plans[name].select(*output_columns(name)).schema
-        rows = (spark.read.parquet(f"{out_root.rstrip('/')}/{name}") if written[name]
-                else spark.createDataFrame([], schema))
-        write_csv_copy(rows, f"{csv_root.rstrip('/')}/{name}")
+        write_csv_copy(spark.read.parquet(version.path(name)) if version.rows[name] else
+                       spark.createDataFrame([], plans[name].select(*output_columns(name)).schema), f"{csv_root.rstrip('/')}/{name}")
 
     if csv_root:
         _each(copy, [n for n in PIPELINES[source] if written[n] or SPEC_BY_NAME[n].source != "visit"])
@@ -146,14 +167,14 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
 def refresh_measures(spark: SparkSession, tables_root: str, out_root: str, *,
                      on_empty: str = "keep") -> dict[str, bool]:
     """The dashboard measures (D1m-D12m) from the written ``orders`` and
-    ``returns`` tables under ``tables_root``; one table per measure under
-    ``out_root``.  Each measure is an aggregate over the pruned columns it
-    needs (partial aggregation before the shuffle).  The four monthly ones
-    share one written branch x month aggregate and five more one written
+    ``returns`` tables under ``tables_root``; one table per measure, published
+    together under ``out_root``.  Each measure is an aggregate over the pruned
+    columns it needs (partial aggregation before the shuffle).  The four monthly
+    ones share one written branch x month aggregate and five more one written
     per-branch aggregate, instead of a scan of the orders each."""
     tune_session(spark)
     root = tables_root.rstrip("/")
-    orders, returns = spark.read.parquet(f"{root}/orders"), spark.read.parquet(f"{root}/returns")
+    orders, returns = read_table(spark, root, "orders"), read_table(spark, root, "returns")
     # the branch x month base of four measures: aggregated from orders once,
     # written (it is small) and read by each of them
     key = hashlib.sha1(root.encode()).hexdigest()[:16]
@@ -164,7 +185,7 @@ def refresh_measures(spark: SparkSession, tables_root: str, out_root: str, *,
     branch_base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/measures/branch-{key}"
     branch_totals(orders).write.mode("overwrite").parquet(branch_base)
     branch = spark.read.parquet(branch_base)
-    written = {}
+    version = Store(spark, out_root).begin(MEASURES_EXPORT)
     for name, fn in MEASURES.items():
         if name == "d4_returned_orders":
             df = fn(orders, returns)
@@ -174,8 +195,8 @@ def refresh_measures(spark: SparkSession, tables_root: str, out_root: str, *,
             df = fn(orders, branch=branch)
         else:
             df = fn(orders)
-        written[name] = write_table(df, f"{out_root.rstrip('/')}/{name}", on_empty=on_empty)
-    return written
+        version.add(name, df)
+    return version.publish(on_empty)
 
 
 def run_group(spark: SparkSession, group: str, landing_root: str, out_root: str,
