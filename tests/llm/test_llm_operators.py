@@ -4,7 +4,7 @@ import zlib
 
 import brute
 import pytest
-from corpus import in_order, sentence, table
+from corpus import edited, in_order, sentence, table
 from pyspark.sql import functions as F
 
 from tradelake.llm import (decontamination, language_id, mixing, near_dedup, quality, sharding, substring_dedup,
@@ -189,6 +189,57 @@ def test_block_comparison_of_a_crowded_band(spark, monkeypatch):
     assert got == in_order(brute.near_components(given, near_dedup.PERCENT))
 
 
+def test_similarity_corrects_collisions_of_both_sizes():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    for n, m, both in ((3000, 3000, 0), (20_000, 400, 0), (150, 9000, 0), (5000, 5000, 4500), (2000, 6000, 1500)):
+        equal = []
+        for _ in range(60):
+            h = rng.integers(0, 2**63, n + m, dtype=np.uint64)
+            sets = [h[:n], h[n - both:n + m - both]]
+            r = [near_dedup.registers(x, np.zeros(len(x), dtype=np.int64), 1)[0] for x in sets]
+            equal.append((r[0] == r[1]).mean())
+        got = near_dedup.similarity(np.array(equal), np.full(60, n), np.full(60, m)).mean()
+        assert abs(got - both / (n + m - both)) < 0.01, (n, m, got)
+        if not both:
+            log = sorted(round(4 * np.log2(x)) for x in (n, m))
+            assert abs(near_dedup._collisions(*log) - np.mean(equal)) < 4 * (np.mean(equal) / 12_000) ** 0.5 + 1e-4
+
+
+def test_links_of_a_family_grow_with_its_size(spark, monkeypatch):
+    """Near copies of one text: four times the documents, some of them too far
+    edited to link, draw 5.8 times the pairs into a comparison, not sixteen times."""
+    import random
+    rows = {}
+    real = near_dedup._confirmed
+
+    def counted(docs, asked, *a):
+        rows[size] = rows.get(size, 0) + asked.count()
+        return real(docs, asked, *a)
+    monkeypatch.setattr(near_dedup, "_confirmed", counted)
+    for size in (60, 240):
+        rng = random.Random(3)
+        text = sentence(rng, 150)
+        given = [(i, edited(rng, text, 0.008)) for i in range(size)]
+        out = near_dedup.near_duplicates(spark.createDataFrame(given, "doc_id long, text string"))
+        assert table(out, "doc_id", "n_shingles", "component_id") == in_order(brute.near_components(given, near_dedup.PERCENT))
+    assert rows[240] < 7 * rows[60]
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    import random
+    rng = random.Random(2)
+    a, b = sentence(rng, 60), sentence(rng, 60)
+    given = [(5, a), (5, b), (3, b), (None, a), (None, a), (9, a), (9, a), (4, None)]
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(5, 5, True), (5, 3, False), (3, 3, True), (None, None, True), (None, None, True), (9, 5, False), (9, 5, False), (4, 4, True)], key=str)
+    kept = [(r[0], r[1]) for r in near_dedup.unique_documents(df).collect()]
+    assert sorted(kept, key=str) == sorted([(5, a), (3, b), (4, None)], key=str)
+    none = spark.createDataFrame([(None, a), (None, a), (None, b)], "doc_id long, text string")
+    assert near_dedup.unique_documents(none).count() == 2
+
+
 def test_decontamination(spark, docs, rows, nothing):
     import random
     rng = random.Random(4)
@@ -212,6 +263,23 @@ def test_decontamination(spark, docs, rows, nothing):
     assert clean.filter("doc_id is not null").count() == sum(x[2] == 0 for x in expect)
 
 
+def test_decontamination_judges_each_row_by_its_text(spark):
+    import random
+    rng = random.Random(15)
+    a, b = sentence(rng, 15), sentence(rng, 12)
+    given = [(None, f"{sentence(rng, 9)} {a}"), (None, sentence(rng, 5)), (None, None), (7, f"x {b}"), (7, "two words"), (7, f"x {b}"),
+             (None, f"{a} {b}"), (8, "clean " * 20)]
+    docs = spark.createDataFrame([(*r, "m") for r in given], "doc_id long, text string, mark string").repartition(3)
+    bench = spark.createDataFrame([(1, a), (2, b)], "item_id long, text string")
+    out = decontamination.decontaminate(docs, bench)
+    got = [(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], brute.sha(",".join(r["items"]).encode())) for r in out.collect()]
+    assert in_order(got) == in_order(brute.contamination(given, [(1, a), (2, b)]))
+    kept = decontamination.clean_documents(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, kept.select("doc_id", "text").collect())) == sorted(
+        map(str, spark.createDataFrame([given[k] for k in (1, 2, 4, 7)], "doc_id long, text string").collect()))
+
+
 def test_decontamination_by_items_without_id(spark):
     import random
     rng = random.Random(14)
@@ -262,7 +330,8 @@ def test_mixing(docs, rows, nothing):
     mixed = mixing.mixed_documents(docs)
     assert mixed.columns == docs.columns
     assert sum(len(brute.words(r["text"])) for r in mixed.select("text").collect()) == sum(
-        t["taken"] for r in got for t in r["takes"])
+        r["size"] for r in got for t in r["takes"] if 2 * t["taken"] >= r["size"])
+    assert {r["text"] for r in mixed.collect()} <= {t for _, t in rows}        # no text is cut
 
 
 def test_schedule_position_inverts_the_integral(spark):

@@ -38,8 +38,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tradelake.llm.bits import bitmap, may_hold
 from tradelake.llm.scratch import drop, pick, written
-from tradelake.llm.text import U, Words, byte_class, lower_ascii, mix64, run_starts, text_bytes
+from tradelake.llm.text import Words, byte_class, lower_ascii, run_starts, text_bytes
 
 SHARD = 4 << 20
 LONGEST, LEAST, TOP, INSIDE = 3, 10, 2000, 50
@@ -194,36 +195,6 @@ class Index:
         return [c[a + rows] - c[a] for c, a in zip(self.is_word, (fore, back))]
 
 
-def _slots(ids: np.ndarray, size: int) -> np.ndarray:
-    """The bit, of ``size`` (a power of two), of each phrase (rows of ids)."""
-    h = np.full(len(ids), U(ids.shape[1]), dtype=U)
-    for c in range(ids.shape[1]):
-        h = mix64(h * U(0x9E3779B97F4A7C15) + ids[:, c].astype(U))
-    return (h & U(size - 1)).astype(np.int64)
-
-
-def _bitmap(frequent: DataFrame, columns: list[str]) -> Broadcast:
-    """2**BITS bits, those of the frequent phrases set."""
-    size = 1 << BITS
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slot = np.unique(_slots(np.stack([np.asarray(c) for c in batch.columns], axis=1), size))
-            yield pa.RecordBatch.from_arrays([pa.array(slot >> 3, pa.int64()), pa.array(1 << (slot & 7), pa.int64())],
-                                             names=["byte", "bits"])
-
-    rows = frequent.select(*columns).mapInArrow(bits, "byte long, bits long").groupBy("byte").agg(
-        F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(size >> 3, dtype=np.uint8)
-    out[np.asarray(rows["byte"])] = np.asarray(rows["bits"])
-    return frequent.sparkSession.sparkContext.broadcast(out.tobytes())
-
-
-def _has(packed: bytes, ids: np.ndarray) -> np.ndarray:
-    slot = _slots(ids, len(packed) << 3)
-    return (np.frombuffer(packed, dtype=np.uint8)[slot >> 3] >> (slot & 7) & 1).astype(bool)
-
-
 def indexes(cut: DataFrame, dictionary: DataFrame, longest: int) -> DataFrame:
     """(ids, forward, backward) of each shard: the ids of its letters from
     FIRST on and its two transforms."""
@@ -265,10 +236,10 @@ def phrases(index: DataFrame, size: int, shorter: dict[int, Broadcast]) -> DataF
                 for d in range(2, size + 1):
                     found = one.longer(*found)
                     if d > 2:
-                        keep = _has(shorter[d - 1].value, ids[found[0][:, 1:]])
+                        keep = may_hold(shorter[d - 1].value, ids[found[0][:, 1:]])
                         found = tuple(x[keep] for x in found)
                     if d < size:
-                        keep = _has(shorter[d].value, ids[found[0]])
+                        keep = may_hold(shorter[d].value, ids[found[0]])
                         found = tuple(x[keep] for x in found)
                 phrase, *rows = found
                 counts = [rows[2], *one.around(*rows)]
@@ -308,7 +279,7 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", longes
     for n in range(2, longest + 1):
         tables[n] = written(phrases(index, n, maps).filter(F.col("a") >= least), f"phrases{n}")
         if n < longest:
-            maps[n] = _bitmap(tables[n], _names(n))
+            maps[n] = docs.sparkSession.sparkContext.broadcast(bitmap(tables[n], _names(n), BITS))
     drop(index)
 
     parts = []

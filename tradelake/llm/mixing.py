@@ -118,12 +118,10 @@ def in_training_order(placed: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """Pipeline form: the documents of the mix in training order, a row for
-    every time one is taken.  The one part per source and pass that the target
-    cuts short keeps its first words, joined by one space."""
+    every time one is taken.  No text is cut: the one document per source and
+    pass that the target cuts short comes whole or not at all, whichever leaves
+    the source nearer to its target (in a tie, whole)."""
     pos, names = positional(docs)
-    placed = in_training_order(mix(docs, carry=names))
-    text = column_of(names, "text")
-    whole = F.col("taken") == F.col("size")
-    cut = F.concat_ws(" ", F.slice(words_of(F.col(text)), F.lit(1), F.col("taken").cast("int")))
-    out = [F.when(whole, F.col(c)).otherwise(cut).alias(c) if c == text else F.col(c) for c in pos.columns]
-    return placed.select(*out).toDF(*names)
+    placed = in_training_order(mix(docs, carry=names).withColumn(
+        "takes", F.expr("filter(takes, t -> 2 * t.taken >= size)")))
+    return placed.select(*pos.columns).toDF(*names)

@@ -7,28 +7,37 @@
    order fixed by hash, so short texts are compared alike.
 2. *Equal sets* are one node from here on, whatever the number of copies.
 3. *Bands* of ``ROWS`` registers are joined.  A pair with a similarity of 0.8
-   misses all bands with a probability of about 1e-7, one of 0.85 below 1e-10.  A band key with many documents
-   gives each of them one edge, to the smallest, not all pairs.
+   misses all bands with a probability of about 1e-7, one of 0.85 below 1e-10.
+   The smallest document of a band key is its centre; each document is held
+   against centres, not against all documents of the key.
 4. *Estimate.*  The share of equal registers, corrected for the collisions
-   that compressed registers have by chance, drops pairs far below the
-   threshold (8 standard deviations).
-5. *Confirmation* on the full sets, and components of the confirmed links.
+   that compressed registers of sets of these two sizes have by chance, drops
+   pairs far below the threshold (8 standard deviations).
+5. *Confirmation* on the full sets.  In a first round every document meets one
+   centre, the one that it shares most bands with; the confirmed links are
+   contracted to components.  In a second round it meets its other centres that
+   are in another component by then: within a family of near copies there are none.
 6. *The rest.*  Where a band key still has documents of different components,
    those are compared with each other in blocks of ``BLOCK`` documents: by
    registers, then exactly, on the full sets.  Only confirmed links between
    different components leave a block, so no link that matters is lost and no
    pair list is written.
+7. *Copies* take the component of their set when all components are known.
+
+Full sets are made only of texts whose set was drawn into a comparison; a
+bitmap of ``2**BITS`` bits tells which may be, so no text is shuffled.
 
 Defined results: a null text or one without words has an empty set and links
 with nothing; a row without doc_id is judged alone (component null, kept);
-rows that repeat a doc_id are the same document; an empty table gives an
-empty result.
+rows that repeat a doc_id are documents of their own; an empty table gives an
+empty result.  The pipeline form numbers the rows and keeps one row of each
+component: the one with the smallest doc_id (null last), the first of equals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -37,6 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradelake.llm.bits import bitmap, filter_rows
 from tradelake.llm.components import components
 from tradelake.llm.scratch import column_of, drop, pick, positional, written
 from tradelake.llm.text import BLANK_SEPARATED, U, Words, chunks, lower_ascii, mix64, run_starts, text_bytes, window_hashes
@@ -52,9 +62,32 @@ BLOCK = 256
 _EMPTY = np.uint16(0xFFFF)
 _SHORT = [U(0x1234567 * c + 1) for c in range(SHINGLE)]
 _PROBES = np.random.Generator(np.random.PCG64(7)).integers(0, REGISTERS, (REGISTERS, 64))
-#: Two registers of sets of like size agree by chance when the zero counts do
-#: (about one in three) and then the mantissa bits do.
-CHANCE = 0.34 * 2.0 ** -MANTISSA
+BITS = 22
+
+
+@lru_cache(maxsize=4096)
+def _collisions(log_a: int, log_b: int) -> float:
+    """How likely two registers of independent sets agree, their sizes
+    2**(log / 4): the chance that the smallest values of a bucket, one of each
+    set, fall into the same cell (a zero count and mantissa bits)."""
+    per = [2.0 ** (x / 4) / REGISTERS for x in (log_a, log_b)]
+    edge = np.concatenate([[0.0], (2.0 ** np.arange(-VALUE_BITS + MANTISSA, 0))[:, None].repeat(64, 1).ravel()
+                           * np.tile(1 + np.arange(64) / 64, VALUE_BITS - MANTISSA), [1.0]])
+    # a set of n values in a bucket has its smallest above x with (1 - x)**n; without any value the bucket is empty
+    left = [np.exp(max(n, 1.0) * np.log1p(-np.minimum(edge, 1 - 1e-16))) for n in per]
+    mass = [x[:-1] - x[1:] for x in left]
+    # 64 steps an octave hold 2**MANTISSA / 64 cells each, and values below the last octave one each
+    return float((mass[0] * mass[1])[1:].sum() / (2 ** MANTISSA / 64) + mass[0][0] * mass[1][0])
+
+
+def similarity(equal: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaccard similarity from the share of equal registers of sets of sizes
+    ``a`` and ``b``, corrected for chance collisions."""
+    logs = np.rint(4 * np.log2(np.maximum(np.stack([np.asarray(a), np.asarray(b)], axis=1).astype(np.float64), 1))).astype(int)
+    logs.sort(axis=1)
+    pairs, of = np.unique(logs.reshape(-1, 2), axis=0, return_inverse=True)
+    chance = np.array([_collisions(x, y) for x, y in pairs.tolist()])[of.reshape(-1)] if len(pairs) else np.zeros(0)
+    return (equal - chance) / (1 - chance)
 
 
 def shingle_sets(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +142,7 @@ def registers(values: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, hi, lo, regs) of each row of (doc_id, text)."""
+    """(row, key, n_shingles, hi, lo, regs) of each row of (row, text, key)."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, ends = text_bytes(batch.column(1))
@@ -127,17 +160,19 @@ def signatures(docs: DataFrame) -> DataFrame:
                         sums.append((c[edge[1:]] - c[edge[:-1]]).view(np.int64))
                     packed = [r.tobytes() if s else None for r, s in zip(regs, sizes)]
                     yield pa.RecordBatch.from_arrays([
-                        batch.column(0).slice(lo + at, stop - at), pa.array(sizes, pa.int64()), pa.array(sums[0]),
+                        *(batch.column(c).slice(lo + at, stop - at) for c in (0, 2)), pa.array(sizes, pa.int64()), pa.array(sums[0]),
                         pa.array(sums[1]), pa.array(packed, pa.binary())],
-                        names=["doc_id", "n_shingles", "hi", "lo", "regs"])
+                        names=["row", "key", "n_shingles", "hi", "lo", "regs"])
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, hi long, lo long, regs binary")
+    return docs.mapInArrow(sign, "row long, key long, n_shingles long, hi long, lo long, regs binary")
 
 
-def packed_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, shingles): the full sets, 6 bytes a hash in order."""
+def packed_sets(docs: DataFrame, keep: Callable | None = None) -> DataFrame:
+    """(row, shingles): the full sets, 6 bytes a hash in order, of the rows
+    that ``keep`` leaves of a batch."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = keep(batch) if keep else batch
             buf, ends = text_bytes(batch.column(1))
             for lo, hi, part, e in chunks(buf, ends):
                 values, sizes = shingle_sets(part, e)
@@ -147,9 +182,9 @@ def packed_sets(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo),
                     pa.array([whole[at[i]:at[i + 1]] for i in range(hi - lo)], pa.binary())],
-                    names=["doc_id", "shingles"])
+                    names=["row", "shingles"])
 
-    return docs.mapInArrow(pack, "doc_id long, shingles binary")
+    return docs.mapInArrow(pack, "row long, shingles binary")
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -179,12 +214,12 @@ def _likely(a: Column, b: Column, percent: int) -> Column:
 
 
 @F.pandas_udf(T.DoubleType())
-def _estimate(a: pd.Series, b: pd.Series) -> pd.Series:
+def _estimate(a: pd.Series, b: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     if not len(a):
         return pd.Series([], dtype="float64")
     x = np.frombuffer(b"".join(a), dtype=np.uint16).reshape(len(a), REGISTERS)
     y = np.frombuffer(b"".join(b), dtype=np.uint16).reshape(len(b), REGISTERS)
-    return pd.Series(((x == y).mean(axis=1) - CHANCE) / (1 - CHANCE))
+    return pd.Series(similarity((x == y).mean(axis=1), n.to_numpy(), m.to_numpy()))
 
 
 def _linked(percent: int) -> Callable[[str, str], Column]:
@@ -200,8 +235,13 @@ def _linked(percent: int) -> Callable[[str, str], Column]:
 
 
 def _sets_for(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    wanted = ids.select(F.col("rep").alias("doc_id")).distinct()
-    return written(packed_sets(docs.join(wanted, "doc_id", "left_semi")), name)
+    """The full sets of the documents ``ids``.  Texts that cannot be among them
+    are passed over where they are read; what remains is joined without text."""
+    wanted = written(ids.select(F.col("rep").alias("row")).distinct(), f"{name}-ids")
+    keep = filter_rows(docs, "row", bitmap(wanted, ["row"], BITS))
+    out = written(packed_sets(docs, keep).join(wanted, "row", "left_semi"), name)
+    drop(wanted)
+    return out
 
 
 def _threshold(percent: int) -> float:
@@ -222,7 +262,7 @@ def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
             if not within:
                 other &= side != side[i]
             j = np.flatnonzero(other)
-            if len(j) and (((regs[j] == regs[i]).mean(axis=1) - CHANCE) / (1 - CHANCE) >= _threshold(percent)).any():
+            if len(j) and (similarity((regs[j] == regs[i]).mean(axis=1), size[j], np.full(len(j), size[i])) >= _threshold(percent)).any():
                 ok[i] = True
         yield from table.select(["key", "lo", "hi", "side", "rep", "comp", "n_shingles"]).filter(pa.array(ok)).to_batches()
 
@@ -276,39 +316,50 @@ def _gathered(rows: DataFrame) -> DataFrame:
     return rows.repartition(*by).sortWithinPartitions(*by)
 
 
-def near_links(docs: DataFrame, sig: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) that connect all documents whose sets share
-    ``percent`` of their union or more, of rows (doc_id, text) and their
-    signatures; copies link to one of their own."""
-    full = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = written(full.groupBy("hi", "lo", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.first("regs").alias("regs")), "reps")
-    copies = full.select("hi", "lo", "n_shingles", "doc_id").join(
-        reps.select("hi", "lo", "n_shingles", "rep"), ["hi", "lo", "n_shingles"]).filter("doc_id <> rep")
-    copies = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+def _confirmed(docs: DataFrame, asked: DataFrame, side: DataFrame, percent: int, name: str) -> DataFrame:
+    """The linked ones of pairs (center, rep), as (a, b)."""
+    mine = asked.join(side, "rep")
+    theirs = side.select(F.col("rep").alias("center"), F.col("n_shingles").alias("_n"), F.col("regs").alias("_r"))
+    pairs = mine.join(theirs, "center").filter(_likely(F.col("n_shingles"), F.col("_n"), percent))
+    pairs = pairs.select("center", "rep", _estimate("regs", "_r", "n_shingles", "_n").alias("_e")).filter(F.col("_e") >= _threshold(percent))
+    pairs = written(pairs.select("center", "rep"), f"{name}-pairs")
+    sets = _sets_for(docs, pairs.select("rep").union(pairs.select(F.col("center").alias("rep"))), f"{name}-sets")
+    # a set travels once to its document's pair and once more to its centre; a centre's meets them there
+    both = pairs.join(sets.select(F.col("row").alias("rep"), F.col("shingles").alias("_b")), "rep").join(
+        sets.select(F.col("row").alias("center"), F.col("shingles").alias("_a")), "center")
+    out = written(both.filter(_linked(percent)("_a", "_b")).select(F.col("center").alias("a"), F.col("rep").alias("b")), f"{name}-links")
+    drop(sets, pairs)
+    return out
+
+
+def _with_component(rows: DataFrame, comps: DataFrame, column: str, name: str) -> DataFrame:
+    of = comps.select(F.col("node").alias(column), F.col("component").alias(name))
+    return rows.join(of, column, "left").withColumn(name, F.coalesce(name, column))
 
+
+def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Confirmed links (a, b) that connect all documents whose sets share
+    ``percent`` of their union or more, among ``reps`` (rep, n_shingles, regs),
+    one row of ``docs`` (row, text) for each different set."""
+    side = reps.select("rep", "n_shingles", "regs")
     bands = written(_bands(reps), "bands")
     shared = bands.groupBy("key").agg(F.min("rep").alias("center"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(bands.join(shared, "key"), "shared")
     drop(bands)
-    stars = shared.filter("rep <> center").select("center", "rep").distinct()
-    side = reps.select("rep", "n_shingles", "regs")
-    pairs = stars.join(side, "rep").join(
-        side.select(F.col("rep").alias("center"), F.col("n_shingles").alias("_n"), F.col("regs").alias("_r")), "center")
-    pairs = pairs.filter(_likely(F.col("n_shingles"), F.col("_n"), percent)).select(
-        "center", "rep", _estimate("regs", "_r").alias("_e")).filter(F.col("_e") >= _threshold(percent))
-    pairs = written(pairs.select("center", "rep").distinct(), "pairs")
-    sets = _sets_for(docs, pairs.select("rep").union(pairs.select(F.col("center").alias("rep"))), "sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("_a")), "center").join(
-        sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("_b")), "rep")
-    links = written(both.filter(_linked(percent)("_a", "_b")).select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(),
-                    "links")
-    drop(sets, pairs)
+    stars = written(shared.filter("rep <> center").groupBy("center", "rep").agg(F.count(F.lit(1)).alias("votes")), "stars")
+    first = stars.groupBy("rep").agg(F.max(F.struct("votes", (-F.col("center")).alias("c"))).alias("best")).select(
+        "rep", (-F.col("best.c")).alias("center"))
+    links = _confirmed(docs, first, side, percent, "first")
+    comps = components(links, "a", "b", "first")
+    open_stars = _with_component(_with_component(stars, comps, "rep", "_x"), comps, "center", "_y").filter("_x <> _y")
+    second = open_stars.select("rep", "center").join(first.select("rep", F.col("center").alias("_first")), "rep").filter(
+        "center <> _first").select("rep", "center")
+    more_links = _confirmed(docs, written(second, "second"), side, percent, "second")
+    links = written(links.union(more_links), "star-links")
 
     # the rest: band keys whose documents are not in one component yet
     comps = components(links, "a", "b", "stars")
-    of = shared.filter("members > 2").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "key", "rep", "members", F.coalesce("component", "rep").alias("comp"))
+    of = _with_component(shared.filter("members > 2").select("key", "rep", "members"), comps, "rep", "comp")
     mixed = of.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x <> _y").select("key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rest = of.join(mixed, "key").join(side, "rep").withColumns({
@@ -319,30 +370,56 @@ def near_links(docs: DataFrame, sig: DataFrame, percent: int = PERCENT) -> DataF
     likely = written(_gathered(rest).mapInArrow(
         partial(_plausible, percent=percent), "key long, lo int, hi int, side int, rep long, comp long, n_shingles long"), "likely")
     more = _sets_for(docs, likely, "rest")
-    found = _gathered(likely.join(more.withColumnRenamed("doc_id", "rep"), "rep")).mapInArrow(
+    found = _gathered(likely.join(more.withColumnRenamed("row", "rep"), "rep")).mapInArrow(
         partial(_block_links, percent=percent), "a long, b long")
-    out = written(links.union(found).union(copies), "all-links")
-    drop(reps, shared, links, likely, more)
+    out = written(links.union(found), "all-links")
+    drop(shared, stars, links, likely, more)
     return out
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with a column ``_row``, the same number in every later pass."""
+    return written(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def components_of(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """row, key, n_shingles, component (the smallest row reachable) and
+    component_key (the smallest key of the component) of each of ``rows`` (row,
+    text, key); rows with a negative number or an empty set have no component."""
+    sig = written(signatures(rows), "signatures")
+    full = sig.filter("n_shingles > 0 AND row >= 0")
+    reps = written(full.groupBy("hi", "lo", "n_shingles").agg(
+        F.min("row").alias("rep"), F.min("key").alias("least"), F.first("regs").alias("regs")), "reps")
+    links = near_links(rows, reps, percent)
+    named = _with_component(reps.drop("regs"), components(links, "a", "b"), "rep", "component")
+    named = written(named, "sets")
+    keys = named.groupBy("component").agg(F.min("least").alias("component_key"))
+    named = written(named.join(keys, "component").select("hi", "lo", "n_shingles", "component", "component_key"), "components")
+    drop(reps, links)
+    # copies of a set take its component; rows that are out of it come back with none
+    out = sig.drop("regs").join(named, ["hi", "lo", "n_shingles"], "left")
+    return out.select("row", "key", "n_shingles", *[F.when(F.col("row") >= 0, F.col(c)).alias(c) for c in ("component", "component_key")])
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable) and
     kept, a row for each row of ``docs``."""
-    rows = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sig = written(signatures(rows), "signatures")
-    links = near_links(rows, sig, percent)
-    comps = components(links, "a", "b").select(F.col("node").alias("doc_id"), "component")
-    drop(links)
-    out = sig.select("doc_id", "n_shingles").join(comps, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
-                      F.coalesce(F.col("component").isNull() | (F.col("component") == F.col("doc_id")),
-                                 F.lit(True)).alias("kept"))
+    rows = numbered(pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string")))
+    alone = F.when(F.col("key").isNull(), -1 - F.col("_row")).otherwise(F.col("_row"))
+    out = components_of(rows.select(alone.alias("row"), "text", "key"), percent)
+    component = F.coalesce("component_key", "key")
+    return out.select(F.col("key").alias("doc_id"), "n_shingles", component.alias("component_id"),
+                      (F.col("key").isNull() | (component == F.col("key"))).alias("kept"))
 
 
 def unique_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline form: one document of each component, columns as they came."""
+    """Pipeline form: one row of each component, columns as they came."""
     pos, names = positional(docs)
-    key = column_of(names, "doc_id")
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return pos.join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti").toDF(*names)
+    key, text = F.col(column_of(names, "doc_id")).cast("long"), F.col(column_of(names, "text")).cast("string")
+    whole = numbered(pos)
+    judged = components_of(whole.select(F.col("_row").alias("row"), text.alias("text"), key.alias("key"))).filter("component IS NOT NULL")
+    judged = written(judged, "judged")
+    order = F.struct(F.col("key").isNull().alias("without"), "key", "row")
+    stays = judged.groupBy("component").agg(F.min(order).alias("stays"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    gone = judged.join(stays, "component").filter(F.col("stays.row") != F.col("row")).select(F.col("row").alias("_row"))
+    return whole.join(gone, "_row", "left_anti").select(*pos.columns).toDF(*names)

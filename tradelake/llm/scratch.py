@@ -53,21 +53,32 @@ def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-#: Scratch tables of this driver that are still there, by path.
-_TABLES: list[str] = []
+#: Scratch tables made since each open scope began, the innermost scope last.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """The paths of the scratch tables that are made inside, for :func:`sweep`."""
+    _SCOPES.append([])
+    try:
+        yield _SCOPES[-1]
+    finally:
+        _SCOPES.pop()
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back.  The lineage is cut, so a lost executor costs only tasks over the
     written files, and the shuffle files of the job that made it go at once.
-    Unless ``keep`` is set, :func:`sweep` removes the table."""
+    The table stays until :func:`drop`, until the :func:`sweep` of the scope it
+    was made in (not with ``keep``), or until the cluster cleans that folder."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
         df.write.option("compression", "zstd").parquet(path)
-    if not keep:
-        _TABLES.append(path)
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -81,16 +92,17 @@ def _delete(spark: SparkSession, path: str) -> None:
 def drop(*tables: DataFrame) -> None:
     """Remove written tables whose results have been written in turn."""
     for t in tables:
-        if t.scratch_path in _TABLES:
-            _TABLES.remove(t.scratch_path)
-            _delete(t.sparkSession, t.scratch_path)
+        for held in _SCOPES:
+            if t.scratch_path in held:
+                held.remove(t.scratch_path)
+        _delete(t.sparkSession, t.scratch_path)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Remove the written tables that finished work has left.  Only for callers
-    that know that all results built on them have been written."""
-    while _TABLES:
-        _delete(spark, _TABLES.pop())
+def sweep(spark: SparkSession, paths: list[str]) -> None:
+    """Remove the tables of a scope.  Only for callers that know that all
+    results built on them have been written."""
+    while paths:
+        _delete(spark, paths.pop())
 
 
 def words_of(text: Column) -> Column:

@@ -82,9 +82,14 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
 
 
 def sharded_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline form: the documents with shard and slot behind their columns."""
+    """Pipeline form: the documents with shard and slot behind their columns;
+    where a name is taken (in any case), underscores go before it."""
     out = shard(docs)
-    taken = {n.lower() for n in docs.columns}
-    extra = [n if n not in taken else f"_{n}" for n in ("shard", "slot")]
+    taken, extra = {n.lower() for n in docs.columns}, []
+    for n in ("shard", "slot"):
+        while n in taken:
+            n = f"_{n}"
+        taken.add(n)
+        extra.append(n)
     return out.select(*[f"_in{i}" for i in range(len(docs.columns))], "shard", "slot").toDF(
         *docs.columns, *extra)
