@@ -16,7 +16,8 @@
    written: their children are narrow reads of the bronze copy;
 5. write every table of the export to a version folder, several at a time,
    counting what its integer casts reject (D2) in the same pass; a ``strict`` run
-   stops here if there is any, with all previous tables in place;
+   stops here if there is any, with all previous tables in place.  Where no table
+   loses a row (visits), all come out of one scan (:mod:`.split`);
 6. publish all tables and the rejects at once (S7, keep-on-empty; see
    :mod:`..sources.versions`), write the CSV copies (S8).
 
@@ -26,20 +27,23 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.measures import (BRANCH_MEASURES, MEASURES, MONTHLY_MEASURES,
                                   branch_totals, monthly_branch_sales)
 from ..session import checkpoint_root, ensure_checkpoint_dir, tune_session
-from ..sources import jsonsrc
+from ..sources import jsonsrc, zonemap
 from ..sources.sinks import filesystem, write_csv_copy
-from ..sources.versions import Store
+from ..sources.versions import Store, Version
 from .build import build_with_refs, cast_columns, lists_of, loses_rows, output_columns
+from .split import TAG, in_one_pass, reject_counts, row_counts, schema_of, split, typed
 from .specs import JOB_GROUPS, PIPELINES, SPEC_BY_NAME, SPECS
 
 #: Jobs that are submitted at a time (tables of an export, exports of a group).
@@ -79,13 +83,25 @@ def _each(work: Callable, items: Iterable) -> list:
         return [f.result() for f in [pool.submit(work, x) for x in items]]
 
 
+def _has_zones(spark: SparkSession, source: str, landing: str) -> bool:
+    """Is the landing one that the zone map prunes: asked for by date, and its
+    folders do not tell the date already?"""
+    return (source in jsonsrc.WINDOW_DATES
+            and jsonsrc.WINDOW_DATES[source][1] not in jsonsrc.read_lines(spark, source, landing).columns)
+
+
 def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
         envelope: bool = False, as_of: str | None = None, date_column: str | None = None,
         csv_root: str | None = None, on_empty: str = "keep",
         strict: bool = False, on_corrupt: str = "raise") -> dict[str, bool]:
-    """``as_of`` (a date or ``today``) limits the visit export to its window;
+    """``as_of`` (a date or ``today``) limits the visit export to its window (on
+    a flat landing by its zone map, so that only files of the window are read);
     with ``date_column`` it limits any export by that document column."""
     tune_session(spark)
+    if as_of and not date_column and not envelope and _has_zones(spark, source, landing):
+        docs = zonemap.read_window(spark, source, landing, as_of)
+        return refresh(spark, source, docs, out_root, bronze_key=landing, csv_root=csv_root,
+                       on_empty=on_empty, strict=strict, on_corrupt=on_corrupt)
     docs = (jsonsrc.read_envelopes(spark, source, landing) if envelope
             else jsonsrc.read_lines(spark, source, landing))
     if as_of:
@@ -95,6 +111,52 @@ def run(spark: SparkSession, source: str, landing: str, out_root: str, *,
                    on_empty=on_empty, strict=strict, on_corrupt=on_corrupt)
 
 
+Rejects = list[tuple[str, str, int]]
+
+
+def _build_tables(spark: SparkSession, source: str, docs: DataFrame, version: Version, parents_root: str) -> Rejects:
+    """Write each table of the export to ``version``; what its casts reject."""
+    export = jsonsrc.flatten(source, docs)
+    watched: dict[str, Observation] = {}
+
+    def observed(name: str) -> Observation | None:
+        if not cast_columns(name):
+            return None
+        watched[name] = Observation(f"{name}-{uuid.uuid4().hex}")
+        return watched[name]
+
+    # Parents are de-duplicated once and written with their child lists: lineage
+    # is cut there, and a child reads back only the list and columns it needs.
+    memo: dict = {}
+    parents = {s.parent for s in SPECS if s.source == source and s.parent}
+    for s in SPECS:                                      # specs are parent-first
+        if s.source == source and s.name in parents and loses_rows(s):
+            df, refs = build_with_refs(export, s.name, memo, lists_of(export, s.name), observed(s.name))
+            path = f"{parents_root}/{s.name}"
+            df.write.mode("overwrite").parquet(path)
+            memo[s.name] = (spark.read.schema(df.schema).parquet(path), refs)
+
+    plans = {name: build_with_refs(export, name, memo, seen=None if name in memo else observed(name))[0]
+             for name in PIPELINES[source]}
+
+    _each(lambda name: version.add(name, plans[name].select(*output_columns(name))), PIPELINES[source])
+    return [(name, c, n) for name, o in watched.items() for c, n in o.get.items()]
+
+
+def _split_tables(spark: SparkSession, source: str, docs: DataFrame, version: Version, _: str) -> Rejects:
+    """The same in one pass over the documents, for exports that allow it."""
+    if jsonsrc.CORRUPT in docs.columns:
+        docs = docs.where(F.col(jsonsrc.CORRUPT).isNull())
+    counts, refused = (Observation(f"{source}-{uuid.uuid4().hex}") for _ in range(2))
+    rows = split(docs, source)
+    wrong = reject_counts(source)
+    if wrong:
+        rows = rows.observe(refused, *wrong)
+    rows = typed(rows, source).observe(counts, *row_counts(source))
+    version.add_split(rows, TAG, lambda: counts.get, {n: schema_of(n, rows.schema) for n in PIPELINES[source]})
+    return [(*name.split("."), n) for name, n in refused.get.items()] if wrong else []
+
+
 def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
             bronze_key: str, csv_root: str | None = None, on_empty: str = "keep",
             strict: bool = False, on_corrupt: str = "raise") -> dict[str, bool]:
@@ -119,33 +181,9 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
         raise ValueError(f"{source}: {counted['corrupt']} of {counted['n']} records of {bronze_key} do not parse")
     if counted["n"] == counted["corrupt"]:               # S6: no records, no table writes
         return {}
-    export = jsonsrc.flatten(source, spark.read.schema(docs.schema).parquet(bronze))
-
-    watched: dict[str, Observation] = {}
-
-    def observed(name: str) -> Observation | None:
-        if not cast_columns(name):
-            return None
-        watched[name] = Observation(f"{name}-{uuid.uuid4().hex}")
-        return watched[name]
-
-    # Parents are de-duplicated once and written with their child lists: lineage
-    # is cut there, and a child reads back only the list and columns it needs.
-    memo: dict = {}
-    parents = {s.parent for s in SPECS if s.source == source and s.parent}
-    for s in SPECS:                                      # specs are parent-first
-        if s.source == source and s.name in parents and loses_rows(s):
-            df, refs = build_with_refs(export, s.name, memo, lists_of(export, s.name), observed(s.name))
-            path = f"{work}/parents/{source}-{key}/{s.name}"
-            df.write.mode("overwrite").parquet(path)
-            memo[s.name] = (spark.read.schema(df.schema).parquet(path), refs)
-
-    plans = {name: build_with_refs(export, name, memo, seen=None if name in memo else observed(name))[0]
-             for name in PIPELINES[source]}
-
     version = Store(spark, out_root).begin(source)
-    _each(lambda name: version.add(name, plans[name].select(*output_columns(name))), PIPELINES[source])
-    rejected = [(name, c, n) for name, o in watched.items() for c, n in o.get.items()]
+    write = _split_tables if in_one_pass(source) else _build_tables
+    rejected = write(spark, source, spark.read.schema(docs.schema).parquet(bronze), version, f"{work}/parents/{source}-{key}")
     if strict and any(n for _, _, n in rejected):        # D2 as the reference: refuse what it cannot type
         version.discard()
         raise ValueError("values that are not integers: " + ", ".join(
@@ -156,8 +194,9 @@ def refresh(spark: SparkSession, source: str, docs: DataFrame, out_root: str, *,
 
     def copy(name: str) -> None:
         # the copy reads the table just written (or is empty): no recompute
-        write_csv_copy(spark.read.parquet(version.path(name)) if version.rows[name] else
-                       spark.createDataFrame([], plans[name].select(*output_columns(name)).schema), f"{csv_root.rstrip('/')}/{name}")
+        schema = StructType.fromJson(json.loads(version.columns[name]))
+        write_csv_copy(spark.read.schema(schema).parquet(version.path(name)) if version.rows[name] else
+                       spark.createDataFrame([], schema), f"{csv_root.rstrip('/')}/{name}")
 
     if csv_root:
         _each(copy, [n for n in PIPELINES[source] if written[n] or SPEC_BY_NAME[n].source != "visit"])

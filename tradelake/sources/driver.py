@@ -827,22 +827,40 @@ def documents(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         lists = fr.df.groupBy(*root.refs).agg(F.sort_array(F.collect_list(element)).alias("_l")).select(
             *root.refs, F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in own])).alias(path))
         docs = docs.join(lists, list(root.refs), "left")
+    for path in [p for p in FRAMES[source] if p.count(".") == 1 and p.partition(".")[0] not in FRAMES[source]
+                 and p.partition(".")[0] not in root.lists]:
+        # the list in between has no fields of its own, just the inner list
+        outer, _, inner = path.partition(".")
+        fr = exp.frame(path)
+        above, own = fr.parent_refs(1), [c for c in fr.df.columns if c not in fr.refs]
+        rest = [r for r in above if r not in root.refs]
+        lists = fr.df.groupBy(*above).agg(F.sort_array(F.collect_list(F.struct(*fr.refs, *own))).alias("_l"))
+        element = F.struct(*rest, F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in own])).alias(inner))
+        lists = lists.groupBy(*root.refs).agg(F.sort_array(F.collect_list(element)).alias("_l")).select(
+            *root.refs, F.transform("_l", lambda e: F.struct(e[inner].alias(inner))).alias(outer))
+        docs = docs.join(lists, list(root.refs), "left")
     return docs
 
 
 def land_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool = False) -> DataFrame:
-    """Write the export as JSON to the shared scratch folder and read it as it
-    would be landed: one document a line, or one response object a file."""
+    """The export as it reads from JSON that was landed."""
+    path = write_as_json(spark, sf_dir, source, envelope)
+    return jsonsrc.read_envelopes(spark, source, path) if envelope else jsonsrc.read_lines(spark, source, path)
+
+
+def write_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool = False) -> str:
+    """Write the export as JSON to the shared scratch folder as it would be
+    landed, one document a line or one response object a file; the path."""
     docs = documents(spark, sf_dir, source)
     path = f"{checkpoint_root(spark).rstrip('/')}/json/{source}-{uuid.uuid4().hex}"
     own = [c for c in docs.columns if not c.startswith("_ord")]
     if not envelope:
         docs.select(F.to_json(F.struct("_ord", *own)).alias("value")).write.text(path)
-        return jsonsrc.read_lines(spark, source, path)
+        return path
     part = F.lpad(F.floor(F.col("_ord") / ENVELOPE_DOCUMENTS).cast("string"), 12, "0")
     records = F.transform(F.sort_array(F.collect_list(F.struct("_ord", *own))),
                           lambda e: F.struct(*[e[c].alias(c) for c in own]))
     (docs.groupBy(part.alias("part")).agg(records.alias(ENVELOPE_KEYS[source]))
          .select("part", F.to_json(F.struct(ENVELOPE_KEYS[source])).alias("value"))
          .write.partitionBy("part").text(path))
-    return jsonsrc.read_envelopes(spark, source, path)
+    return path

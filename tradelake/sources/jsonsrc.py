@@ -39,7 +39,7 @@ def _reader(spark: SparkSession, schema: StructType):
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
 
 
-def read_lines(spark: SparkSession, source: str, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, source: str, path: str | list[str]) -> DataFrame:
     """JSON Lines with a declared nested schema."""
     raw = _reader(spark, line_schema(source)).json(path)
     return raw.select("*", F.col("_metadata.file_path").alias("_ord_f"),

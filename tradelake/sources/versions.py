@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,7 +38,7 @@ ORPHAN_HOURS = 24
 @dataclass(frozen=True)
 class Manifest:
     number: int
-    tables: dict[str, str]                    # table -> version
+    tables: dict[str, str]                    # table -> its folder below the export's versions
     columns: dict[str, str] = field(default_factory=dict)   # table -> schema as JSON
 
 
@@ -92,18 +93,18 @@ class Store:
     # -- reading
     def location(self, export: str, table: str) -> str | None:
         m = self.current(export)
-        return f"{self._versions(export)}/{m.tables[table]}/{table}" if m and table in m.tables else None
+        return f"{self._versions(export)}/{m.tables[table]}" if m and table in m.tables else None
 
     def read(self, export: str, table: str) -> DataFrame:
         m = self.current(export)
         if m is None or table not in m.tables:
             raise FileNotFoundError(f"{self.root}: {export} has published no table {table!r}")
         declared = StructType.fromJson(json.loads(m.columns[table]))
-        return self.spark.read.schema(declared).parquet(f"{self._versions(export)}/{m.tables[table]}/{table}")
+        return self.spark.read.schema(declared).parquet(f"{self._versions(export)}/{m.tables[table]}")
 
     def locations(self) -> dict[str, str]:
         """table -> folder of its published version, of all exports."""
-        return {t: f"{self._versions(e)}/{v}/{t}" for e in self.exports() for t, v in (
+        return {t: f"{self._versions(e)}/{v}" for e in self.exports() for t, v in (
             self.current(e) or Manifest(0, {})).tables.items()}
 
     # -- writing
@@ -124,8 +125,8 @@ class Store:
     def expire(self, export: str) -> None:
         """Remove what no manifest that is kept names."""
         whole = self.manifests(export)
-        kept = {v for m in whole[:KEEP] for v in m.tables.values()}
-        published = {v for m in whole for v in m.tables.values()}
+        kept = {v.partition("/")[0] for m in whole[:KEEP] for v in m.tables.values()}
+        published = {v.partition("/")[0] for m in whole for v in m.tables.values()}
         old = (time.time() - ORPHAN_HOURS * 3600) * 1000
         for v in self._names(self._versions(export)):
             if v not in kept and (v in published or int(v.partition("-")[0]) < old):
@@ -141,11 +142,12 @@ class Version:
 
     def __init__(self, store: Store, export: str, name: str) -> None:
         self.store, self.export, self.name = store, export, name
+        self.folders: dict[str, str] = {}
         self.rows: dict[str, int] = {}
         self.columns: dict[str, str] = {}
 
     def path(self, table: str) -> str:
-        return f"{self.store._versions(self.export)}/{self.name}/{table}"
+        return f"{self.store._versions(self.export)}/{self.folders.get(table, f'{self.name}/{table}')}"
 
     def add(self, table: str, df: DataFrame) -> int:
         """Compute ``df`` once, into this version; the number of its rows."""
@@ -154,6 +156,23 @@ class Version:
         self.rows[table], self.columns[table] = rows.get["n"], df.schema.json()
         return self.rows[table]
 
+    def add_split(self, rows: DataFrame, tag: str, counts: Callable[[], dict[str, int]], schemas: dict[str, StructType]) -> None:
+        """Write tagged rows of several tables in one job, a folder for each
+        tag; ``counts`` tells the rows of each, as observed on the way."""
+        spark, writers = self.store.spark, "spark.sql.maxConcurrentOutputFileWriters"
+        before = spark.conf.get(writers, None)
+        spark.conf.set(writers, str(len(schemas) + 1))      # a file open for each table, instead of a sort by table
+        try:
+            rows.write.mode("overwrite").partitionBy(tag).parquet(f"{self.store._versions(self.export)}/{self.name}/split")
+        finally:
+            spark.conf.unset(writers) if before is None else spark.conf.set(writers, before)
+        for table, schema in schemas.items():
+            self.rows[table], self.columns[table] = counts()[table], schema.json()
+            if self.rows[table]:
+                self.folders[table] = f"{self.name}/split/{tag}={table}"
+            else:
+                spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(self.path(table))
+
     def publish(self, on_empty: str = "keep", always: tuple[str, ...] = ()) -> dict[str, bool]:
         """Make all tables of the run current at once; by table, whether it was
         replaced.  Empty ones stay as they were if ``on_empty`` is ``keep``, but
@@ -161,7 +180,7 @@ class Version:
         _checked(on_empty)
         before = self.store.current(self.export) or Manifest(0, {})
         new = {t: on_empty == "replace" or n > 0 or t in always for t, n in self.rows.items()}
-        tables = before.tables | {t: self.name for t, yes in new.items() if yes}
+        tables = before.tables | {t: self.folders.get(t, f"{self.name}/{t}") for t, yes in new.items() if yes}
         columns = before.columns | {t: self.columns[t] for t, yes in new.items() if yes}
         if any(new.values()):
             self.store._publish(self.export, tables, columns)
