@@ -27,16 +27,34 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return out.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Is every component a star: no node points at two, none that is pointed
+    at points on?"""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.filter((F.col("out") > 1) | ((F.col("out") == 1) & (F.col("into") == 1))).isEmpty()
+
+
 def components(edges: DataFrame, a: str, b: str, name: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an
     edge to another node that is not itself the smallest."""
     now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct(), name)
-    print_of = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-    before = None
-    while True:
+    while not now.isEmpty() and not _is_done(now):
         last, now = now, written(_small_star(_large_star(now)), name)
         drop(last)
-        seen = tuple(now.agg(*print_of).first())
-        if seen == before or seen[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = seen
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def extended(comps: DataFrame, links: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """``comps`` (node, component) with further links: only components that a
+    link joins to another one are worked on."""
+    of = comps.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    for end in (a, b):
+        links = links.join(of, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_c", end)).drop("_n", "_c")
+    roots = components(links, a, b, name)
+    if roots.isEmpty():
+        return comps
+    to = roots.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    moved = comps.join(to, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component"))
+    return written(moved.union(roots), name)

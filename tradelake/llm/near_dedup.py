@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradelake.llm.bits import bitmap, filter_rows
-from tradelake.llm.components import components
+from tradelake.llm.components import components, extended
 from tradelake.llm.scratch import column_of, drop, pick, positional, written
 from tradelake.llm.text import BLANK_SEPARATED, U, Words, chunks, lower_ascii, mix64, run_starts, text_bytes, window_hashes
 
@@ -80,13 +80,24 @@ def _collisions(log_a: int, log_b: int) -> float:
     return float((mass[0] * mass[1])[1:].sum() / (2 ** MANTISSA / 64) + mass[0][0] * mass[1][0])
 
 
+def _steps(sizes: np.ndarray) -> np.ndarray:
+    """Sizes as quarters of octaves."""
+    return np.rint(4 * np.log2(np.maximum(np.asarray(sizes), 1).astype(np.float64))).astype(int)
+
+
+def _chances(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(table of collision chances, its row or column for each of ``logs``)."""
+    known, of = np.unique(logs, return_inverse=True)
+    return np.array([[_collisions(*sorted((x, y))) for y in known.tolist()] for x in known.tolist()]), of
+
+
 def similarity(equal: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Jaccard similarity from the share of equal registers of sets of sizes
     ``a`` and ``b``, corrected for chance collisions."""
-    logs = np.rint(4 * np.log2(np.maximum(np.stack([np.asarray(a), np.asarray(b)], axis=1).astype(np.float64), 1))).astype(int)
-    logs.sort(axis=1)
-    pairs, of = np.unique(logs.reshape(-1, 2), axis=0, return_inverse=True)
-    chance = np.array([_collisions(x, y) for x, y in pairs.tolist()])[of.reshape(-1)] if len(pairs) else np.zeros(0)
+    if not len(equal):
+        return equal
+    table, of = _chances(np.concatenate([_steps(a), _steps(b)]))
+    chance = table[of[:len(equal)], of[len(equal):]]
     return (equal - chance) / (1 - chance)
 
 
@@ -257,12 +268,15 @@ def _plausible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         ok = np.zeros(n, dtype=bool)
         comp, size, side = (np.asarray(table[c]) for c in ("comp", "n_shingles", "side"))
         within = bool(table["lo"][0].as_py() == table["hi"][0].as_py())
+        chances, of = _chances(_steps(size))
+        # so many registers have to agree for an estimate at the threshold
+        least = REGISTERS * (_threshold(percent) * (1 - chances) + chances)
         for i in range(n):
             other = (comp != comp[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i]))
             if not within:
                 other &= side != side[i]
             j = np.flatnonzero(other)
-            if len(j) and (similarity((regs[j] == regs[i]).mean(axis=1), size[j], np.full(len(j), size[i])) >= _threshold(percent)).any():
+            if len(j) and ((regs[j] == regs[i]).sum(axis=1) >= least[of[i], of[j]]).any():
                 ok[i] = True
         yield from table.select(["key", "lo", "hi", "side", "rep", "comp", "n_shingles"]).filter(pa.array(ok)).to_batches()
 
@@ -323,6 +337,8 @@ def _confirmed(docs: DataFrame, asked: DataFrame, side: DataFrame, percent: int,
     pairs = mine.join(theirs, "center").filter(_likely(F.col("n_shingles"), F.col("_n"), percent))
     pairs = pairs.select("center", "rep", _estimate("regs", "_r", "n_shingles", "_n").alias("_e")).filter(F.col("_e") >= _threshold(percent))
     pairs = written(pairs.select("center", "rep"), f"{name}-pairs")
+    if pairs.isEmpty():
+        return pairs.select(F.col("center").alias("a"), F.col("rep").alias("b"))
     sets = _sets_for(docs, pairs.select("rep").union(pairs.select(F.col("center").alias("rep"))), f"{name}-sets")
     # a set travels once to its document's pair and once more to its centre; a centre's meets them there
     both = pairs.join(sets.select(F.col("row").alias("rep"), F.col("shingles").alias("_b")), "rep").join(
@@ -337,8 +353,8 @@ def _with_component(rows: DataFrame, comps: DataFrame, column: str, name: str) -
     return rows.join(of, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) that connect all documents whose sets share
+def linked_components(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(node, component): what the links connect of documents whose sets share
     ``percent`` of their union or more, among ``reps`` (rep, n_shingles, regs),
     one row of ``docs`` (row, text) for each different set."""
     side = reps.select("rep", "n_shingles", "regs")
@@ -355,10 +371,9 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
     second = open_stars.select("rep", "center").join(first.select("rep", F.col("center").alias("_first")), "rep").filter(
         "center <> _first").select("rep", "center")
     more_links = _confirmed(docs, written(second, "second"), side, percent, "second")
-    links = written(links.union(more_links), "star-links")
 
     # the rest: band keys whose documents are not in one component yet
-    comps = components(links, "a", "b", "stars")
+    comps = extended(comps, more_links, "a", "b", "stars")
     of = _with_component(shared.filter("members > 2").select("key", "rep", "members"), comps, "rep", "comp")
     mixed = of.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x <> _y").select("key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
@@ -369,11 +384,14 @@ def near_links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> Data
                        F.col("_mine").alias("side"), "rep", "comp", "n_shingles", "regs")
     likely = written(_gathered(rest).mapInArrow(
         partial(_plausible, percent=percent), "key long, lo int, hi int, side int, rep long, comp long, n_shingles long"), "likely")
+    if likely.isEmpty():
+        drop(shared, stars, likely)
+        return comps
     more = _sets_for(docs, likely, "rest")
     found = _gathered(likely.join(more.withColumnRenamed("row", "rep"), "rep")).mapInArrow(
         partial(_block_links, percent=percent), "a long, b long")
-    out = written(links.union(found), "all-links")
-    drop(shared, stars, links, likely, more)
+    out = extended(comps, written(found, "found"), "a", "b", "all")
+    drop(shared, stars, links, more_links, likely, more)
     return out
 
 
@@ -390,12 +408,11 @@ def components_of(rows: DataFrame, percent: int = PERCENT) -> DataFrame:
     full = sig.filter("n_shingles > 0 AND row >= 0")
     reps = written(full.groupBy("hi", "lo", "n_shingles").agg(
         F.min("row").alias("rep"), F.min("key").alias("least"), F.first("regs").alias("regs")), "reps")
-    links = near_links(rows, reps, percent)
-    named = _with_component(reps.drop("regs"), components(links, "a", "b"), "rep", "component")
+    named = _with_component(reps.drop("regs"), linked_components(rows, reps, percent), "rep", "component")
     named = written(named, "sets")
     keys = named.groupBy("component").agg(F.min("least").alias("component_key"))
     named = written(named.join(keys, "component").select("hi", "lo", "n_shingles", "component", "component_key"), "components")
-    drop(reps, links)
+    drop(reps)
     # copies of a set take its component; rows that are out of it come back with none
     out = sig.drop("regs").join(named, ["hi", "lo", "n_shingles"], "left")
     return out.select("row", "key", "n_shingles", *[F.when(F.col("row") >= 0, F.col(c)).alias(c) for c in ("component", "component_key")])
