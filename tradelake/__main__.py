@@ -4,6 +4,8 @@
     spark-submit --py-files tradelake.zip scripts/tradelake_job.py group  --group sales --landing-root s3://.../landing --out ...
     spark-submit --py-files tradelake.zip scripts/tradelake_job.py stream --source visit --landing ... --out ...
     spark-submit --py-files tradelake.zip scripts/tradelake_job.py measures --tables s3://.../tables --out s3://.../measures
+    spark-submit --py-files tradelake.zip scripts/tradelake_job.py census --source order --landing s3://.../order --out s3://.../census
+    spark-submit --py-files tradelake.zip scripts/tradelake_job.py tables --out s3://.../tables
 
 The session comes from the submitting environment (``getOrCreate``); the
 cluster's ``spark.checkpoint.dir`` is used for bronze copies and checkpoints.
@@ -18,6 +20,9 @@ from pyspark.sql import SparkSession
 
 from .plans import pipelines
 from .plans.specs import JOB_GROUPS, PIPELINES
+from .sources.census import census
+from .sources.sinks import write_table
+from .sources.versions import Store
 from .streaming.refresh import refresh_on_landing
 
 
@@ -50,6 +55,12 @@ def main(argv=None) -> None:
     m = sub.add_parser("measures")
     m.add_argument("--tables", required=True)
     m.add_argument("--out", required=True)
+    c = sub.add_parser("census", help="fields of a landing that the declared schema drops or misses")
+    c.add_argument("--source", required=True, choices=sorted(PIPELINES))
+    c.add_argument("--landing", required=True)
+    c.add_argument("--out", required=True)
+    t = sub.add_parser("tables", help="where the published tables are")
+    t.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"tradelake-{args.cmd}").getOrCreate()
@@ -62,6 +73,10 @@ def main(argv=None) -> None:
                                   envelope=args.envelope, csv_root=args.csv,
                                   on_empty=args.on_empty, as_of=args.as_of, strict=args.strict,
                                   on_corrupt=args.on_corrupt)
+    elif args.cmd == "census":
+        res = {"written": write_table(census(spark, args.source, args.landing), args.out, on_empty="replace")}
+    elif args.cmd == "tables":
+        res = Store(spark, args.out).locations()
     elif args.cmd == "measures":
         res = pipelines.refresh_measures(spark, args.tables, args.out)
     else:

@@ -230,3 +230,11 @@ def measure_sql(name: str) -> str:
             "AS sales_time_unparsed FROM od GROUP BY filial_code"),
     }[name]
     return f"WITH {_orders_cte()} {body}"
+
+
+#: The fields that ``driver.write_with_new_fields`` adds, counted per document.
+UNDECLARED_FIELDS = """
+SELECT 'priority text' AS path, count(*) FILTER (o_orderpriority IS NOT NULL) AS documents, 'STRING' AS types FROM orders
+UNION ALL SELECT 'urgent', count(*) FILTER (o_orderpriority = '1-URGENT'), 'OBJECT' FROM orders
+UNION ALL SELECT 'order_products.bonus_points', count(*) FILTER (o_orderstatus = 'F'), 'STRING' FROM orders
+"""

@@ -864,3 +864,17 @@ def write_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool
          .select("part", F.to_json(F.struct(ENVELOPE_KEYS[source])).alias("value"))
          .write.partitionBy("part").text(path))
     return path
+
+
+def write_with_new_fields(spark: SparkSession, sf_dir: str) -> str:
+    """An order export whose source has added fields that no schema declares:
+    one on each document, one on some, one inside the lists; the path."""
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.struct(F.col("o_orderdate").cast("string").alias("since")))
+    line = F.struct(F.col("o_custkey").cast("string").alias("product_unit_id"),
+                    F.when(F.col("o_orderstatus") == "F", F.lit("7")).alias("bonus_points"))
+    path = f"{checkpoint_root(spark).rstrip('/')}/json/new-fields-{uuid.uuid4().hex}"
+    orders.select(F.to_json(F.struct(
+        F.col("o_orderkey").cast("string").alias("deal_id"), F.col("o_orderpriority").alias("priority text"),
+        urgent.alias("urgent"), F.array(line, line).alias("order_products"))).alias("value")).write.text(path)
+    return path
