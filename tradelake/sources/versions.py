@@ -102,6 +102,11 @@ class Store:
         declared = StructType.fromJson(json.loads(m.columns[table]))
         return self.spark.read.schema(declared).parquet(f"{self._versions(export)}/{m.tables[table]}")
 
+    def schema(self, export: str, table: str) -> StructType:
+        """The schema of a table, or of one written in parts."""
+        m = self.current(export)
+        return StructType.fromJson(json.loads(m.columns[table]))
+
     def locations(self) -> dict[str, str]:
         """table -> folder of its published version, of all exports."""
         return {t: f"{self._versions(e)}/{v}" for e in self.exports() for t, v in (
@@ -143,6 +148,7 @@ class Version:
     def __init__(self, store: Store, export: str, name: str) -> None:
         self.store, self.export, self.name = store, export, name
         self.folders: dict[str, str] = {}
+        self.parts: set[str] = set()          # names of parts of tables
         self.rows: dict[str, int] = {}
         self.columns: dict[str, str] = {}
 
@@ -173,6 +179,22 @@ class Version:
             else:
                 spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(self.path(table))
 
+    def folder(self, table: str) -> str:
+        return f"{self.store._versions(self.export)}/{self.name}/{table}"
+
+    def add_parts(self, table: str, rows: DataFrame, by: str, parts: list[tuple[str, str]]) -> None:
+        """Write a table in parts, a folder for each value of the column
+        ``by``; ``parts`` are the names that the manifest gives the parts, with
+        their values.  A part without rows has no folder and is dropped."""
+        rows.repartition(by).write.mode("overwrite").partitionBy(by).parquet(self.folder(table))
+        there = set(self.store._names(self.folder(table)))
+        schema = StructType([f for f in rows.schema.fields if f.name != by])
+        self.columns[table] = schema.json()
+        for name, value in parts:
+            self.parts.add(name)
+            self.rows[name] = 1 if f"{by}={value}" in there else 0
+            self.folders[name] = f"{self.name}/{table}/{by}={value}"
+
     def publish(self, on_empty: str = "keep", always: tuple[str, ...] = ()) -> dict[str, bool]:
         """Make all tables of the run current at once; by table, whether it was
         replaced.  Empty ones stay as they were if ``on_empty`` is ``keep``, but
@@ -181,7 +203,8 @@ class Version:
         before = self.store.current(self.export) or Manifest(0, {})
         new = {t: on_empty == "replace" or n > 0 or t in always for t, n in self.rows.items()}
         tables = before.tables | {t: self.folders.get(t, f"{self.name}/{t}") for t, yes in new.items() if yes}
-        columns = before.columns | {t: self.columns[t] for t, yes in new.items() if yes}
+        tables = {t: f for t, f in tables.items() if t not in self.rows or self.rows[t] or t not in self.parts}
+        columns = before.columns | {t: s for t, s in self.columns.items() if new.get(t, True) and t not in self.parts}
         if any(new.values()):
             self.store._publish(self.export, tables, columns)
             self.store.expire(self.export)
