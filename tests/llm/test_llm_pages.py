@@ -135,3 +135,29 @@ def test_record_parses_back():
         page, size, digest, kind, refers, uri, got = warc.parse(gzip.GzipFile(fileobj=io.BytesIO(data)).read())
         assert (page, size, kind, refers, got) == (5, n, "response", None, payload)
         assert uri == "http://a/%0D%0AX:%20y" and digest == warc.digest_of(payload)
+
+
+def test_long_records_are_read_once():
+    """Ten times the record, ten times the bytes read."""
+    import gzip
+    import io
+    import os
+
+    class Counted(io.BytesIO):
+        read = 0
+
+        def read_at(self, n, at):
+            got = self.getvalue()[at:at + n]
+            self.read += len(got)
+            return got
+
+    for size in (1 << 20, 10 << 20):
+        payload = os.urandom(size)
+        http = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % size + payload
+        head = (b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:7>\r\nWARC-Payload-Digest: sha1:"
+                + warc.digest_of(payload).encode() + b"\r\nContent-Length: %d\r\n\r\n" % len(http))
+        data = gzip.compress(head + http + b"\r\n\r\n", 1)
+        file = Counted(data + warc.EMPTY_MEMBER + data)
+        got = [f for s in range(0, len(file.getvalue()), 1 << 19) for f in warc.records_in(file, s, min(s + (1 << 19), len(file.getvalue())))]
+        assert [(f[0], f[1]) for _, f in got] == [(7, size)] * 2
+        assert file.read < 3.5 * len(file.getvalue())

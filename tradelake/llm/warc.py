@@ -9,7 +9,9 @@ between rows is an empty gzip member, which every gzip reader passes over.
 *Reading.*  Files are listed by Spark and cut into byte ranges.  A task looks
 for the gzip magic in its range, decodes the member there to see whether it
 starts with a WARC header, and owns the records that start inside the range,
-reading beyond its end for the last one.  Paths are opened by URI.
+reading beyond its end for the last one, piece by piece: time is linear in a
+record's length, and only its range and the record itself are held.  Paths are
+opened by URI.
 
 Records with equal payloads: the one with the largest page_id is the response,
 the others revisit it.  Only digests are grouped, so a payload that a third of
@@ -40,6 +42,7 @@ from tradelake.session import checkpoint_root
 
 ARCHIVE = 8 << 20
 RANGE = 4 << 20
+PIECE = 1 << 18
 LEAST_SHARED = 0       # payloads of fewer bytes are never revisited
 DATE = "1970-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
@@ -103,38 +106,33 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
 
 
 class _Bytes:
-    """A file's bytes from ``start`` on, read as they are asked for."""
+    """A file's bytes: those of a range are held, what a record has behind it is
+    read piece by piece and not kept."""
 
     def __init__(self, file: pa.NativeFile, start: int, size: int) -> None:
         self.file, self.start, self.data = file, start, file.read_at(size, start)
 
-    def upto(self, end: int) -> bytes:
-        """Makes the bytes before file offset ``end`` available, if there are as many."""
-        missing = end - self.start - len(self.data)
-        if missing > 0:
-            self.data += self.file.read_at(max(missing, 1 << 18), self.start + len(self.data))
-        return self.data
+    def piece(self, at: int) -> bytes:
+        """Some bytes from file offset ``at`` on; none at the end of the file."""
+        held = self.data[at - self.start:at - self.start + PIECE]
+        return held or self.file.read_at(PIECE, at)
 
     def member(self, at: int, first: bytes) -> tuple[bytes, int] | None:
         """The gzip member at file offset ``at`` and the offset behind it, if it
         is whole and its content starts with ``first`` or is empty."""
-        loose, out, pos = zlib.decompressobj(31), [], at
-        size = 0
+        loose, out, pos = zlib.decompressobj(31), bytearray(), at
         while not loose.eof:
-            data = self.upto(pos + (1 << 16))
-            piece = data[pos - self.start:pos - self.start + (1 << 16)]
+            piece = self.piece(pos)
             if not piece:
                 return None
             try:
-                got = loose.decompress(piece)
+                out += loose.decompress(piece)
             except zlib.error:
                 return None
             pos += len(piece)
-            out.append(got)
-            if size < len(first) and not b"".join(out).startswith(first[:size + len(got)]):
+            if not out.startswith(first[:len(out)]):
                 return None
-            size += len(got)
-        return b"".join(out), pos - len(loose.unused_data)
+        return bytes(out), pos - len(loose.unused_data)
 
 
 def _page(name: bytes | None) -> int | None:
@@ -176,7 +174,6 @@ def records_in(file: pa.NativeFile, start: int, end: int) -> Iterator[tuple[int,
             if fields:
                 yield at, fields
             at = member[1]
-            data.upto(min(at + len(MAGIC), end + len(MAGIC) - 1))
         else:
             at += 1     # the magic by chance, inside compressed data
 
