@@ -77,6 +77,15 @@ def test_empty(spark):
     assert co.collocations(spark.createDataFrame([("en", None), (None, "a. b")], "lang string, text string")).count() == 0
 
 
+def test_shards_without_a_phrase(spark):
+    """A frequent word that always stands alone in its piece: no phrase in its
+    shard, beside shards with phrases and without them."""
+    alone, rows = [("fr", "solo. " * 20)], [("fr", "solo. " * 20), ("en", "new york city " * 12)]
+    assert co.collocations(spark.createDataFrame(alone, "lang string, text string")).count() == 0
+    got = co.collocations(spark.createDataFrame(rows, "lang string, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
 @pytest.mark.parametrize("depth", [2, 3, 5])
 def test_index_counts_phrases(depth):
     rng = np.random.default_rng(depth)

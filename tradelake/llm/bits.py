@@ -14,7 +14,7 @@ from tradelake.llm.text import U, mix64
 
 def slots(keys: np.ndarray, size: int) -> np.ndarray:
     """The bit, of ``size`` (a power of two), of each row of 64-bit keys."""
-    keys = keys.reshape(len(keys), -1)
+    keys = keys[:, None] if keys.ndim == 1 else keys      # a reshape to -1 columns fails without rows
     h = np.full(len(keys), U(keys.shape[1]), dtype=U)
     for c in range(keys.shape[1]):
         h = mix64(h * U(0x9E3779B97F4A7C15) + keys[:, c].astype(U))
