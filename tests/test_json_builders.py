@@ -190,3 +190,14 @@ def test_pipeline_run_equals_in_memory_build(spark, tmpdir_path, source, docs):
         got = read_table(spark, out, name)
         assert got.columns == want.columns, name
         assert _rows(got) == _rows(want), name
+
+
+def test_lines_land_compressed(spark):
+    """Landed documents take a fraction of their text on disk, and read as whole."""
+    from tradelake.sources import driver, jsonsrc
+    path = driver.write_as_json(spark, "/root/testdata/sf0.001", "order")
+    files = jsonsrc.read_lines(spark, "order", path).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+    docs = jsonsrc.read_lines(spark, "order", path)
+    assert docs.count() == driver.documents(spark, "/root/testdata/sf0.001", "order").count()
+    assert docs.where("_corrupt_record IS NOT NULL").isEmpty()

@@ -10,7 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradelake.session import checkpoint_root
+from tradelake.session import checkpoint_root, settings
 
 #: Runs of these characters separate words (space, tab to carriage return).
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -39,20 +39,6 @@ def pick(df: DataFrame, **wanted: str) -> DataFrame:
     return pos.select(*[F.col(column_of(names, src)).alias(new) for new, src in wanted.items()])
 
 
-@contextmanager
-def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
-    """Session settings (dots written as ``__``) for the jobs run inside."""
-    conf = {k.replace("__", "."): v for k, v in conf.items()}
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 #: Scratch tables made since each open scope began, the innermost scope last.
 _SCOPES: list[list[str]] = []
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,7 +33,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 # interpreted for its whole life, ~20x slower.  With the limit at 8000 Spark
 # runs such a subtree operator by operator instead, with every projection
 # compiled as small split methods.
-SESSION_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+#
+# Children are de-duplicated where the join with their parents left them, without
+# a second shuffle.  A document with most of the children is then split all the
+# same, at the price of that shuffle, which otherwise nothing asks for.
+SESSION_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": "8000",
+                    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
 
 
 def tune_session(spark: SparkSession) -> None:
@@ -42,6 +49,20 @@ def tune_session(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings (dots written as ``__``) for the jobs run inside."""
+    conf = {k.replace("__", "."): v for k, v in conf.items()}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data: the one the cluster names in
     ``spark.checkpoint.dir``, or another one that the context was given with

@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, settings
 from . import jsonsrc
 from .export import Export, Frame, path_depth
 from .registry import ENVELOPE_KEYS
@@ -824,7 +824,8 @@ def documents(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
         fr = exp.frame(path)
         own = [c for c in fr.df.columns if c not in fr.refs]
         element = F.struct(*fr.refs, *own)
-        lists = fr.df.groupBy(*root.refs).agg(F.sort_array(F.collect_list(element)).alias("_l")).select(
+        # shuffled first: gathering before it too would only sort what it cannot shrink
+        lists = fr.df.repartition(*root.refs).groupBy(*root.refs).agg(F.sort_array(F.collect_list(element)).alias("_l")).select(
             *root.refs, F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in own])).alias(path))
         docs = docs.join(lists, list(root.refs), "left")
     for path in [p for p in FRAMES[source] if p.count(".") == 1 and p.partition(".")[0] not in FRAMES[source]
@@ -850,12 +851,13 @@ def land_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool =
 
 def write_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool = False) -> str:
     """Write the export as JSON to the shared scratch folder as it would be
-    landed, one document a line or one response object a file; the path."""
+    landed, one document a line (gzip) or one response object a file; the path."""
     docs = documents(spark, sf_dir, source)
     path = f"{checkpoint_root(spark).rstrip('/')}/json/{source}-{uuid.uuid4().hex}"
     own = [c for c in docs.columns if not c.startswith("_ord")]
     if not envelope:
-        docs.select(F.to_json(F.struct("_ord", *own)).alias("value")).write.text(path)
+        with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+            docs.select(F.to_json(F.struct("_ord", *own)).alias("value")).write.option("compression", "gzip").text(path)
         return path
     part = F.lpad(F.floor(F.col("_ord") / ENVELOPE_DOCUMENTS).cast("string"), 12, "0")
     records = F.transform(F.sort_array(F.collect_list(F.struct("_ord", *own))),
