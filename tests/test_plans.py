@@ -55,3 +55,19 @@ def test_children_reference_surviving_parents(spark):
     lines = table(exp, "order_products").select("deal_id").distinct()
     # NULL deal ids are one parent too (NULL keys group together), so null-safe
     assert lines.join(orders, lines.deal_id.eqNullSafe(orders.deal_id), "left_anti").count() == 0
+
+
+@pytest.mark.parametrize("name,column", [("order_products", "product_unit_id"), ("purchase_items", "purchase_item_id"),
+                                         ("purchase_marking_codes", "marking_code"), ("sub_contracts", "sub_contract_id")])
+def test_children_are_shuffled_once(spark, name, column):
+    """A key that holds the parent's key stays within a document: its groups
+    need no shuffle behind the join that brought the document together."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    shuffles = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert "SortMergeJoin" in plan and shuffles
+    assert not any(column in ln for ln in shuffles)

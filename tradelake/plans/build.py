@@ -11,7 +11,9 @@ Plan per table (all DataFrame operators, planned by Catalyst):
    parent's reference columns does the same;
 3. row filters on raw text (O1–O4), text transforms (O16–O18, O21),
    coercion (O6–O8), NULL-key drop (O11);
-4. keep-first (O9) over the reference columns or whole-row distinct (O10);
+4. keep-first (O9) over the reference columns or whole-row distinct (O10); a
+   child's groups lie within one document, so the rows stay where the join
+   brought them;
 5. derived label (O19).
 
 The result keeps the reference columns and, on request, the child lists;
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators.dedup import distinct_rows, drop_null_keys, keep_first
+from ..session import tune_session
 from ..sources.export import Export, path_depth, ref_width
 from .specs import SPEC_BY_NAME, TableSpec
 
@@ -132,6 +135,19 @@ def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo) -> tupl
     return df, refs
 
 
+def _document_refs(spec: TableSpec, refs: tuple[str, ...]) -> tuple[str, ...]:
+    """The references of a child's document, where the table's key (or its
+    columns, if distinct) holds the key of its de-duplicated parent.  Such a key
+    names one parent row, so it names one document: with the references added
+    it means the same groups, and rows that the join has brought together by
+    document are not shuffled once more."""
+    parent = SPEC_BY_NAME[spec.parent] if spec.parent else None
+    if parent is None or parent.key is None:
+        return ()
+    held = set(spec.inherited) & set(spec.columns if spec.distinct else spec.key or ())
+    return refs[: ref_width(refs, 0)] if set(parent.key) <= held else ()
+
+
 def filtered_rows(export: Export, name: str, carry: tuple[str, ...] = (), memo=None
                   ) -> tuple[DataFrame, tuple[str, ...]]:
     """Raw rows of table ``name`` after the parent and the row filters, before
@@ -189,10 +205,13 @@ def build_with_refs(export: Export, name: str, memo: dict[str, tuple[DataFrame,
     df = df.select(*refs, *[exprs.get(c, F.col(c)).alias(c) for c in spec.columns], *lists)
 
     df = drop_null_keys(df, spec.dropna)
+    home = _document_refs(spec, refs)
+    if home:
+        tune_session(df.sparkSession)
     if spec.key is not None:
-        df = keep_first(df, spec.key, refs)
+        df = keep_first(df, [*home, *spec.key], refs)
     if spec.distinct:
-        df = distinct_rows(df, spec.columns)
+        df = distinct_rows(df, [*home, *spec.columns])
     if spec.label:
         df = df.withColumn("label", C.inventory_kind_label("inventory_kind"))
 
