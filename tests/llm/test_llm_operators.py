@@ -189,6 +189,17 @@ def test_block_comparison_of_a_crowded_band(spark, monkeypatch):
     assert got == in_order(brute.near_components(given, near_dedup.PERCENT))
 
 
+def test_documents_meet_their_sets_once_a_key(spark):
+    """Rows for many block pairs are made behind the join with the sets."""
+    pairs = [(7, lo, hi, lo, rep, rep) for rep in range(3) for lo in range(4) for hi in range(4)]
+    likely = spark.createDataFrame(pairs, "key long, lo int, hi int, side int, rep long, comp long")
+    sets = spark.createDataFrame([(r, bytes([r])) for r in range(3)], "row long, shingles binary")
+    got = near_dedup._with_sets(likely, sets)
+    assert sorted((*r[:6], bytes(r[6])) for r in got.collect()) == sorted((k, lo, hi, s, r, c, bytes([r])) for k, lo, hi, s, r, c in pairs)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join") < plan.index("Aggregate")
+
+
 def test_similarity_corrects_collisions_of_both_sizes():
     import numpy as np
     rng = np.random.default_rng(3)

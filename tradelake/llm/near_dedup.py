@@ -330,6 +330,15 @@ def _gathered(rows: DataFrame) -> DataFrame:
     return rows.repartition(*by).sortWithinPartitions(*by)
 
 
+def _with_sets(likely: DataFrame, sets: DataFrame) -> DataFrame:
+    """``likely`` rows with the full sets.  A document of a key is joined with
+    its set once; only then it goes to all block pairs it takes part in."""
+    once = likely.groupBy("key", "rep").agg(F.first("comp").alias("comp"), F.collect_list(F.struct("lo", "hi", "side")).alias("in"))
+    both = once.join(sets.withColumnRenamed("row", "rep"), "rep")
+    return both.select("key", "rep", "comp", "shingles", F.explode("in").alias("in")).select(
+        "key", "in.lo", "in.hi", "in.side", "rep", "comp", "shingles")
+
+
 def _confirmed(docs: DataFrame, asked: DataFrame, side: DataFrame, percent: int, name: str) -> DataFrame:
     """The linked ones of pairs (center, rep), as (a, b)."""
     mine = asked.join(side, "rep")
@@ -388,7 +397,7 @@ def linked_components(docs: DataFrame, reps: DataFrame, percent: int = PERCENT)
         drop(shared, stars, likely)
         return comps
     more = _sets_for(docs, likely, "rest")
-    found = _gathered(likely.join(more.withColumnRenamed("row", "rep"), "rep")).mapInArrow(
+    found = _gathered(_with_sets(likely, more)).mapInArrow(
         partial(_block_links, percent=percent), "a long, b long")
     out = extended(comps, written(found, "found"), "a", "b", "all")
     drop(shared, stars, links, more_links, likely, more)
