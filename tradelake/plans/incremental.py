@@ -89,7 +89,7 @@ class Incremental:
         """Update the tables by the documents ``docs`` (as the readers of
         :mod:`..sources.jsonsrc` give them); the buckets that changed."""
         bronze = f"{checkpoint_root(self.spark).rstrip('/')}/incremental/{uuid.uuid4().hex}"
-        jsonsrc.in_order(docs).write.parquet(f"{bronze}/docs")     # the places of the rows are fixed here
+        jsonsrc.in_order(docs).write.option("compression", "zstd").parquet(f"{bronze}/docs")     # the places of the rows are fixed here
         docs = self.spark.read.parquet(f"{bronze}/docs")
         export = jsonsrc.flatten(self.source, docs)
         version = self.store.begin(self.source)
@@ -98,7 +98,7 @@ class Incremental:
         root = _root(self.source)
         new, refs = build_with_refs(export, root.name, {}, lists_of(export, root.name))
         new = new.withColumn(BUCKET, _bucket(root.key, self.buckets))
-        new.write.parquet(f"{bronze}/new")
+        new.write.option("compression", "zstd").parquet(f"{bronze}/new")
         new = self.spark.read.schema(new.schema).parquet(f"{bronze}/new")
         touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())     # BUCKETS numbers at most
         if not touched:
@@ -109,7 +109,9 @@ class Incremental:
             columns = [c for c in new.columns if c != BUCKET]
             old = self.spark.read.schema(new.select(columns).schema).parquet(*before)
             rows = rows.unionByName(old.withColumn(BUCKET, _bucket(root.key, self.buckets)))
-        self._write(version, STATE, keep_first(rows, root.key, refs), touched)
+            # a key is in one bucket: shuffled once, by bucket, they are merged and written
+            rows = keep_first(rows.repartition(BUCKET), [BUCKET, *root.key], refs)
+        self._write(version, STATE, rows, touched, gathered=bool(before))
         state = self.spark.read.schema(new.schema).parquet(version.folder(STATE))
         memo = {root.name: (state.drop(BUCKET), refs)}
         for name in PIPELINES[self.source]:
@@ -118,8 +120,8 @@ class Incremental:
         version.publish("replace")
         return touched
 
-    def _write(self, version: Version, table: str, rows: DataFrame, touched: list[int]) -> None:
-        version.add_parts(table, rows, BUCKET, [(_part(table, b), str(b)) for b in touched])
+    def _write(self, version: Version, table: str, rows: DataFrame, touched: list[int], gathered: bool = False) -> None:
+        version.add_parts(table, rows, BUCKET, [(_part(table, b), str(b)) for b in touched], gathered)
 
     def _append(self, export, version: Version) -> list[int]:
         number = (self.store.current(self.source).number if self.store.current(self.source) else 0) + 1

@@ -182,11 +182,12 @@ class Version:
     def folder(self, table: str) -> str:
         return f"{self.store._versions(self.export)}/{self.name}/{table}"
 
-    def add_parts(self, table: str, rows: DataFrame, by: str, parts: list[tuple[str, str]]) -> None:
+    def add_parts(self, table: str, rows: DataFrame, by: str, parts: list[tuple[str, str]], gathered: bool = False) -> None:
         """Write a table in parts, a folder for each value of the column
         ``by``; ``parts`` are the names that the manifest gives the parts, with
-        their values.  A part without rows has no folder and is dropped."""
-        rows.repartition(by).write.mode("overwrite").partitionBy(by).parquet(self.folder(table))
+        their values.  A part without rows has no folder and is dropped.
+        ``gathered`` rows are partitioned by ``by`` already."""
+        (rows if gathered else rows.repartition(by)).write.mode("overwrite").partitionBy(by).parquet(self.folder(table))
         there = set(self.store._names(self.folder(table)))
         schema = StructType([f for f in rows.schema.fields if f.name != by])
         self.columns[table] = schema.json()
