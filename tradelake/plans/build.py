@@ -8,7 +8,8 @@ Plan per table (all DataFrame operators, planned by Catalyst):
    and is exploded from the surviving row with the inherited (``^``) columns
    beside it — no join.  A parent without keep-first makes this narrow.  Where
    the frames come from separate relational tables, an inner equi-join on the
-   parent's reference columns does the same;
+   parent's reference columns does the same, on the rows a frame is a projection
+   of where it gives them: the join then moves no text that is made from them;
 3. row filters on raw text (O1–O4), text transforms (O16–O18, O21),
    coercion (O6–O8), NULL-key drop (O11);
 4. keep-first (O9) over the reference columns or whole-row distinct (O10); a
@@ -113,6 +114,8 @@ def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo) -> tupl
             return df, refs
 
     fr = export.frame(spec.path)
+    if spec.parent and fr.source is not None and not spec.first_of:
+        return _source_rows(export, spec, fields, carry, memo)
     refs, raw = fr.refs, fr.df
     have = set(raw.columns)
     cols = [*refs, *[_field(raw, f, have) for f in fields],
@@ -135,6 +138,27 @@ def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo) -> tupl
     return df, refs
 
 
+def _source_rows(export: Export, spec: TableSpec, fields: list[str], carry: tuple[str, ...], memo
+                 ) -> tuple[DataFrame, tuple[str, ...]]:
+    """:func:`_rows` of a child frame that is a projection of its ``source``:
+    the source rows are joined with the parent and projected behind the join."""
+    fr = export.frame(spec.path)
+    pdf, prefs = build_with_refs(export, spec.parent, memo)
+    assert fr.parent_refs(path_depth(SPEC_BY_NAME[spec.parent].path)) == prefs, (spec.name, fr.refs, prefs)
+    on = [f"_on{r}" for r in prefs]
+    rows = fr.source.select("*", *[F.expr(fr.exprs[r]).alias(o) for r, o in zip(prefs, on)])
+    inherited = pdf.select(*[F.col(r).alias(o) for r, o in zip(prefs, on)],
+                           *[F.col(c).alias(f"_in_{c}") for c in spec.inherited])
+    df = rows.join(inherited, on=on, how="inner")
+
+    def own(f):
+        return (F.expr(fr.exprs[f]) if f in fr.exprs else F.lit(None).cast("string")).alias(f)
+    own_refs = [F.col(f"_on{r}").alias(r) if r in prefs else own(r) for r in fr.refs]
+    df = df.select(*own_refs, *[F.col(f"_in_{c}").alias(c) for c in spec.inherited],
+                   *[own(f) for f in fields], *[F.expr(fr.exprs[c]).alias(f"_list_{c}") for c in carry])
+    return df, fr.refs
+
+
 def _document_refs(spec: TableSpec, refs: tuple[str, ...]) -> tuple[str, ...]:
     """The references of a child's document, where the table's key (or its
     columns, if distinct) holds the key of its de-duplicated parent.  Such a key

@@ -793,15 +793,24 @@ def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
     exp = Export(source)
     cache: dict[str, DataFrame] = {}
 
-    def make(path: str, fd: FrameDef) -> Frame:
-        lists = _list_sql(source, path, fd.parts[0]) if len(fd.parts) == 1 and not fd.parts[0].distinct else {}
-        sql = fd.sql(lists)
+    def run(sql: str) -> DataFrame:
         dfs = {}
         for t in tables_of(sql):
             if t not in cache:
                 cache[t] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
             dfs[t] = cache[t]
-        return Frame(spark.sql(sql, **dfs), fd.refs, tuple(lists))
+        return spark.sql(sql, **dfs)
+
+    def make(path: str, fd: FrameDef) -> Frame:
+        part = fd.parts[0]
+        plain = len(fd.parts) == 1 and not part.distinct
+        lists = _list_sql(source, path, part) if plain else {}
+        df = run(fd.sql(lists))
+        if not plain or not _TABLE_REF.fullmatch(part.source):
+            return Frame(df, fd.refs, tuple(lists))
+        rows = run(f"SELECT * FROM {part.source}" + (f" WHERE {part.where}" if part.where else ""))
+        exprs = {**dict(part.refs), **{c: part.value(c) for c in fd.columns}, **lists}
+        return Frame(df, fd.refs, tuple(lists), rows, exprs)
 
     for path, fd in FRAMES[source].items():
         exp.frames.defer(path, lambda path=path, fd=fd: make(path, fd))

@@ -13,7 +13,9 @@ de-duplication.  A frame of nested documents also holds its child lists as
 array columns (``lists``): children are then exploded from the parent rows that
 survive, in place, without a join.  Frames derived from separate relational
 tables have no such list; there the references are the join key between a
-child and its parent, and no step groups an unbounded list into one row.
+child and its parent, and no step groups an unbounded list into one row.  Such a
+frame may also give the ``source`` rows that it is a projection of: a join with
+the parent then moves those, and the text is made from the rows it keeps.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ class Frame:
     df: DataFrame
     refs: tuple[str, ...]          # _ord + position column(s) of every level
     lists: tuple[str, ...] = ()    # array columns: the frame's child lists
+    source: DataFrame | None = None                         # the rows that df is a projection of
+    exprs: dict[str, str] = field(default_factory=dict)     # column of df -> its SQL over source
 
     def parent_refs(self, depth: int) -> tuple[str, ...]:
         """Reference columns of the ancestor at ``depth`` (0 = document)."""
