@@ -123,6 +123,42 @@ def test_suffix_dedup_crowds_and_many_blocks(spark, rows, monkeypatch):
     assert got == in_order(brute.byte_repeats(some, 50))
 
 
+def test_suffix_dedup_rows_follow_the_routes(spark, rows, monkeypatch):
+    """A block sends a row for each route, not for each of the many buckets."""
+    from tradelake.llm import blocks
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 20_000)
+    monkeypatch.setattr(suffix_dedup, "PER_BUCKET", 50)         # 1024 buckets
+    sent = {}
+    per_block = blocks.per_block
+
+    def counted(answers, name):
+        sent[name] = answers.groupBy("block").count().agg(F.max("count")).first()[0]
+        return per_block(answers, name)
+    monkeypatch.setattr(blocks, "per_block", counted)
+    some = [r for r in rows if len(r[1] or "") < 5000]
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(some, "doc_id long, text string").repartition(2))
+    got = table(out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n"),
+                           F.sha2("kept", 256).alias("k")), "doc_id", "n_bytes", "n_removed", "n", "k")
+    assert got == in_order(brute.byte_repeats(some, 50))
+    assert 64 < sent["repeats"] <= 128
+
+
+def test_crowds_count_places(spark, monkeypatch):
+    """Not the blocks that have a hash but the places, as these fill its bucket."""
+    import numpy as np
+    from tradelake.llm import blocks
+    monkeypatch.setattr(blocks, "CROWD", 6)
+    df = spark.createDataFrame([(1, "aaaaab"), (2, "ac"), (3, "b"), (4, "b"), (5, "d")], "doc_id long, text string")
+    written = blocks.blocks_of(df.repartition(1), "crowds", 6)
+
+    def letters(block):
+        return block.buf.astype(np.uint64) << np.uint64(56), np.searchsorted(block.ends, np.arange(len(block.buf)), side="right")
+    got = blocks.repeated(written, letters, 4, "crowds", any_other=True).collect()
+    assert len(got) == 2
+    crowds = [np.unpackbits(np.frombuffer(x["crowds"], dtype=np.uint8), count=x["n"]).tolist() for r in got for x in r["answers"]]
+    assert sum(map(sum, crowds)) == 2                            # "a", in both blocks
+
+
 def test_long_block_in_pieces(rows, monkeypatch):
     import numpy as np
     from tradelake.llm import blocks

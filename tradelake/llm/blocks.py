@@ -3,9 +3,10 @@
 Documents are packed into *blocks* of a few MB, written once to the shared
 checkpoint folder, so that every later pass sees the same blocks whatever
 executors are lost.  A block sends each of its distinct hashes once, with the
-smallest doc_id that has it, as one packed row per hash bucket: the counting
-shuffle has a few rows per block and some 7 bytes per distinct hash, and a
-hash that a third of all documents share costs its bucket one entry per block.
+smallest doc_id and the number of places that have it, as one packed row per
+hash bucket: the counting shuffle has a few rows per block and some 7 bytes per
+distinct hash, and a hash that a third of all documents share costs its bucket
+one entry per block.
 The answer to a block is one bit per hash it sent.
 """
 
@@ -27,7 +28,8 @@ from tradelake.llm.text import CHUNK, U, chunks, run_starts, text_bytes
 NO_ID = np.iinfo(np.int64).max   # a null doc_id: behind all others
 PER_BUCKET = 1_500_000           # hashes that one task of the count sorts, about
 
-CROWD = 128                      # blocks that share a hash from which on it counts as crowded
+CROWD = 8192                     # places that have a hash from which on it counts as crowded
+_TIMES = np.iinfo(np.uint16).max  # as many places of a block are told apart
 
 ANSWERS = "block long, bucket int, n int, flags binary, crowds binary"
 BLOCK = "block long, ids array<long>, ends array<long>, n_bytes long, data binary"
@@ -128,23 +130,24 @@ def unplanes(data: bytes, dtype: type, n: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, n).T).view(dtype).reshape(n)
 
 
-def encode(hashes: np.ndarray, ids: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
-    """Sorted distinct hashes with an id each."""
+def encode(hashes: np.ndarray, ids: np.ndarray, times: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
+    """Sorted distinct hashes with an id and a number of places each."""
     table, of = np.unique(ids, return_inverse=True)
     of = of.astype(np.uint16 if len(table) <= 1 << 16 else np.uint32)
     head = np.array([len(hashes), len(table), of.itemsize], dtype=np.int64).tobytes()
     gaps = np.diff(hashes, prepend=U(0))
     steps = np.diff(table, prepend=np.int64(0))
-    return head + squeeze.compress(planes(gaps) + planes(steps) + planes(of))
+    return head + squeeze.compress(planes(gaps) + planes(steps) + planes(of) + planes(times))
 
 
-def decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray]:
+def decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, ids, width = np.frombuffer(data[:24], dtype=np.int64).tolist()
     raw = loose.decompress(data[24:])
     hashes = np.cumsum(unplanes(raw[:8 * n], U, n), dtype=U)
     table = np.cumsum(unplanes(raw[8 * n:8 * (n + ids)], np.int64, ids))
-    of = unplanes(raw[8 * (n + ids):], np.uint16 if width == 2 else np.uint32, n)
-    return hashes, table[of]
+    behind = 8 * (n + ids) + width * n
+    of = unplanes(raw[8 * (n + ids):behind], np.uint16 if width == 2 else np.uint32, n)
+    return hashes, table[of], unplanes(raw[behind:], np.uint16, n)
 
 
 def bucket_bits(blocks: DataFrame, bytes_per_hash: float, per_bucket: int = PER_BUCKET) -> int:
@@ -156,17 +159,19 @@ def bucket_bits(blocks: DataFrame, bytes_per_hash: float, per_bucket: int = PER_
 def repeated(blocks: DataFrame, hasher: Hasher, bits: int, name: str, any_other: bool = False) -> DataFrame:
     """(block, answers): for each block, two bitmaps per bucket over the
     distinct hashes it sent: does a smaller doc_id of another block have it
-    (or, with ``any_other``, any other doc_id), and do ``CROWD`` blocks or more
-    have it?"""
+    (or, with ``any_other``, any other doc_id), and do ``CROWD`` places or more
+    in all blocks have it?"""
     shift = U(64 - bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
         for number, block, _, _ in unpack(batches):
-            hashes, first, _ = distinct(block, *hasher(block))
+            hashes, first, of = distinct(block, *hasher(block))
+            times = np.minimum(np.bincount(of, minlength=len(hashes)), _TIMES).astype(np.uint16)
             at = np.searchsorted(hashes >> shift, np.arange((1 << bits) + 1, dtype=U))
             full = np.flatnonzero(np.diff(at))
-            rows = [encode(hashes[at[b]:at[b + 1]], block.ids[first[at[b]:at[b + 1]]], squeeze) for b in full]
+            rows = [encode(hashes[lo:hi], block.ids[first[lo:hi]], times[lo:hi], squeeze)
+                    for lo, hi in zip(at[full], at[full + 1])]
             yield pa.RecordBatch.from_arrays([
                 pa.array(full, pa.int32()), pa.array(np.full(len(full), number), pa.int64()),
                 pa.array(rows, pa.binary())], names=["bucket", "block", "sent"])
@@ -175,7 +180,7 @@ def repeated(blocks: DataFrame, hasher: Hasher, bits: int, name: str, any_other:
         loose = zstandard.ZstdDecompressor()
         parts = [decode(x, loose) for x in group["sent"].to_pylist()]
         sizes = [len(p[0]) for p in parts]
-        hashes, ids = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        hashes, ids, times = (np.concatenate([p[i] for p in parts]) for i in range(3))
         del parts
         order = np.argsort(hashes, kind="stable")
         starts = run_starts(hashes[order])
@@ -188,7 +193,7 @@ def repeated(blocks: DataFrame, hasher: Hasher, bits: int, name: str, any_other:
         else:
             hit[order] = sorted_ids > np.repeat(least, counts)
         crowd = np.empty(len(order), dtype=bool)
-        crowd[order] = np.repeat(counts >= CROWD, counts)
+        crowd[order] = np.repeat(np.add.reduceat(times[order].astype(np.int64), starts) >= CROWD, counts)
         flags, crowds = ([np.packbits(x).tobytes() for x in np.split(y, np.cumsum(sizes)[:-1])] for y in (hit, crowd))
         return pa.table({"block": group["block"], "bucket": group["bucket"], "n": pa.array(sizes, pa.int32()),
                          "flags": pa.array(flags, pa.binary()), "crowds": pa.array(crowds, pa.binary())})

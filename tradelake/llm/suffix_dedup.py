@@ -19,11 +19,16 @@ smallest hash of ``GRAM`` bytes, the leftmost of equals), so:
    runs of a block once.  All occurrences of a string meet in one bucket.  Runs
    that share their minimizer with a different run are indexed as above, equal
    ones once; a run that all documents have alike needs no index.
-3. A minimizer that very many blocks share (a passage in a large part of all
-   documents, each time with other bytes around it) has its runs cut into
-   single windows, which are spread by the hash of the whole window.
+3. A minimizer of very many runs (a passage in a large part of all documents,
+   each time with other bytes around it) has its runs cut into single windows,
+   which are spread by the hash of the whole window.  This takes some eight times
+   the bytes, so what counts is the size of the bucket, however many blocks there
+   are.
 
-Each bucket answers a block with one bit per window.
+A block sends one row for each route, which is up to ``2 ** ROUTE`` neighbouring
+buckets: with more text there are more blocks and more buckets, and a row for each
+pair of them would take its time for a few strings.  A route works on its buckets
+one after the other and answers a block with one bit per window.
 
 Defined results: a null text is empty; texts shorter than ``LENGTH`` are kept
 whole; rows with the same doc_id are never repeats of each other; a null doc_id
@@ -48,8 +53,10 @@ from tradelake.llm.text import U, covered, letters_of, mix64, run_starts, spans_
 
 LENGTH = 50
 GRAM = 24
-BLOCK = 2 << 20
+BLOCK = 4 << 20
 PER_BUCKET = 2_000_000   # bytes of documents for each bucket, of which an index holds some
+ROUTE = 3                # log2 of the buckets that share a row
+ROUTES = 6               # log2 of the routes that there are before buckets share a row
 _PLACE = 17              # bits for a place in the piece of a block that is worked on at once
 SEED = 7                 # letters from which extension starts
 PLACE = np.int32         # places in a block or an index, both far below 2 GB
@@ -279,27 +286,30 @@ class Candidates:
 
 # ------------------------------------------------------------------ the job
 
-def _encode(block: B.Block, c: Candidates, lo: int, hi: int, squeeze: zstandard.ZstdCompressor) -> bytes:
-    """Strings lo..hi - 1 with minimizer and smallest id."""
-    which = c.starts[lo:hi]
-    s, size = c.first[which], (c.behind - c.first)[which]
+def _encode(block: B.Block, c: Candidates, cuts: np.ndarray, squeeze: zstandard.ZstdCompressor) -> bytes:
+    """Strings of a route with minimizer and smallest id; cuts: between its buckets."""
+    which = c.starts[cuts[0]:cuts[-1]]
+    s = c.first[which]
+    size = c.behind[which] - s
     table, of = np.unique(block.ids[c.doc[which]], return_inverse=True)
-    head = np.array([len(which), len(table)], dtype=np.int64)
+    head = np.array([len(which), len(table), len(cuts) - 1], dtype=np.int64)
     return head.tobytes() + squeeze.compress(b"".join([
-        table.tobytes(), B.planes(of.astype(np.uint32)), B.planes(size.astype(np.uint32)),
+        table.tobytes(), np.diff(cuts).tobytes(), B.planes(of.astype(np.uint32)), B.planes(size.astype(np.uint32)),
         c.key[which].astype(np.uint32).tobytes(), block.buf[_ranges(s, size)].tobytes()]))
 
 
-def _decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(id of each string, size of each string, part of its minimizer's hash,
-    bytes)"""
-    n, ids = np.frombuffer(data, dtype=np.int64, count=2).tolist()
-    raw = loose.decompress(data[16:])
-    at = 8 * ids
+def _decode(data: bytes, loose: zstandard.ZstdDecompressor) -> tuple[np.ndarray, ...]:
+    """(bucket in the route of each string, its id, its size, part of its
+    minimizer's hash, bytes)"""
+    n, ids, buckets = np.frombuffer(data, dtype=np.int64, count=3).tolist()
+    raw = loose.decompress(data[24:])
+    at = 8 * (ids + buckets)
     table = np.frombuffer(raw, dtype=np.int64, count=ids)
+    held = np.frombuffer(raw, dtype=np.int64, count=buckets, offset=8 * ids)
     of, size = (B.unplanes(raw[at + 4 * n * i:at + 4 * n * (i + 1)], np.uint32, n) for i in range(2))
     key = np.frombuffer(raw, dtype=np.uint32, count=n, offset=at + 8 * n)
-    return table[of], size.astype(np.int64), key, np.frombuffer(raw, dtype=np.uint8, offset=at + 12 * n)
+    return (np.repeat(np.arange(buckets, dtype=np.uint8), held), table[of], size.astype(np.int64), key,
+            np.frombuffer(raw, dtype=np.uint8, offset=at + 12 * n))
 
 
 def repeats_in(ids: np.ndarray, size: np.ndarray, key: np.ndarray, buf: np.ndarray, length: int) -> np.ndarray:
@@ -348,19 +358,25 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for number, block, batch, row in B.unpack(batches):
             c = Candidates(block, B.flags_of(batch, row), B.flags_of(batch, row, field="crowds"), length, gram)
             at = np.searchsorted(c.key[c.starts] >> shift, np.arange((1 << bits) + 1, dtype=U))
-            full = np.flatnonzero(np.diff(at))
+            full = np.flatnonzero(np.diff(at[::held]))
             yield pa.RecordBatch.from_arrays([
                 pa.array(full, pa.int32()), pa.array(np.full(len(full), number), pa.int64()),
-                pa.array([_encode(block, c, at[b], at[b + 1], squeeze) for b in full], pa.binary())],
+                pa.array([_encode(block, c, at[r * held:(r + 1) * held + 1], squeeze) for r in full], pa.binary())],
                 names=["bucket", "block", "sent"])
 
     def answer(group: pa.Table) -> pa.Table:
         loose = zstandard.ZstdDecompressor()
         parts = [_decode(x, loose) for x in group["sent"].to_pylist()]
-        ids, size, key, buf = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        sizes = [int((p[1] - length + 1).sum()) for p in parts]
+        bucket, ids, size, key, buf = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        sizes = [int((p[2] - length + 1).sum()) for p in parts]
         del parts
-        hit = repeats_in(ids, size, key, buf, length)
+        windows, first = size - length + 1, np.cumsum(size) - size
+        base = np.cumsum(windows) - windows
+        hit = np.empty(int(windows.sum()), dtype=bool)
+        order = np.argsort(bucket, kind="stable")
+        for which in np.split(order, run_starts(bucket[order])[1:]):
+            hit[_ranges(base[which], windows[which])] = repeats_in(
+                ids[which], size[which], key[which], buf[_ranges(first[which], size[which])], length)
         return pa.table({"block": group["block"], "bucket": group["bucket"], "n": pa.array(sizes, pa.int32()),
                          "flags": pa.array([np.packbits(x).tobytes() for x in np.split(hit, np.cumsum(sizes)[:-1])],
                                            pa.binary())})
@@ -392,6 +408,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     bits = max(2, math.ceil(math.log2(max(1.0, total / PER_BUCKET))))
     shift = U(64 - bits)
+    held = 1 << max(0, min(ROUTE, bits - ROUTES))            # buckets of a route
     shared = B.repeated(blocks, minimizers, B.bucket_bits(blocks, (length - gram + 2) / 2), "minimizers", any_other=True)
     columns = ["block", "ids", "ends", "n_bytes", "data", "answers"]
     flagged = blocks.join(shared, "block", "left").select(*columns)
