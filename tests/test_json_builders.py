@@ -201,3 +201,36 @@ def test_lines_land_compressed(spark):
     docs = jsonsrc.read_lines(spark, "order", path)
     assert docs.count() == driver.documents(spark, "/root/testdata/sf0.001", "order").count()
     assert docs.where("_corrupt_record IS NOT NULL").isEmpty()
+
+
+def test_lines_of_an_order_move_once_as_table_rows(spark, tmpdir_path):
+    """Lists of the same lines are gathered at once, and their text is made behind the shuffle."""
+    from datetime import datetime
+    from tradelake.sources import driver
+    day = datetime(2024, 5, 6)
+
+    def line(order, number, flag="N"):
+        return (order, 7, 3, number, 2.0, 10.0, 0.1, 0.02, flag, "O", day)
+    tables = {
+        "nation": ([(1, "UZ")], "n_nationkey int, n_name string"),
+        "customer": ([(5, "c5", 1)], "c_custkey long, c_name string, c_nationkey int"),
+        "orders": ([(1, 5, "O", 9.0, day, "1-URGENT"), (2, 5, "F", 8.0, day, "2-HIGH"), (None, 5, "F", 8.0, day, "2-HIGH")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([line(1, 2, "R"), line(None, 1), line(1, 1), line(3, 1), line(1, 1)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(tmpdir_path, f"{name}.parquet"))
+    docs = driver.documents(spark, tmpdir_path, "order")
+    got = {r["_ord"]: r for r in docs.collect()}
+    assert set(got) == {1, 2, None}
+    for path in ("order_products", "order_gifts", "order_actions"):
+        assert [x["external_id"] for x in got[1][path]] == ["E1", "E1", "E2"]
+        assert got[2][path] is None and got[None][path] is None
+    assert [[d and d["batch_number"] for d in x["details"]] for x in got[1]["order_products"]] == [
+        ["B1", None], ["B1", None], ["B1", "RB1"]]
+    assert got[1]["filial_code"] == "UZ" and got[1]["order_gifts"][0]["card_code"] == "GIFT"
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [l_orderkey") == 1
+    moved = plan[plan.index("RepartitionByExpression [l_orderkey"):].split(" parquet\n")[0]
+    assert "l_shipdate" in moved and "CASE" not in moved and "concat" not in moved

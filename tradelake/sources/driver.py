@@ -806,7 +806,7 @@ def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
         plain = len(fd.parts) == 1 and not part.distinct
         lists = _list_sql(source, path, part) if plain else {}
         df = run(fd.sql(lists))
-        if not plain or not _TABLE_REF.fullmatch(part.source):
+        if not plain:
             return Frame(df, fd.refs, tuple(lists))
         rows = run(f"SELECT * FROM {part.source}" + (f" WHERE {part.where}" if part.where else ""))
         exprs = {**dict(part.refs), **{c: part.value(c) for c in fd.columns}, **lists}
@@ -822,20 +822,43 @@ def land(spark: SparkSession, sf_dir: str, source: str) -> Export:
 ENVELOPE_DOCUMENTS = 500        # documents in one response object
 
 
+def _by_document(fr: Frame, root_refs: tuple[str, ...]) -> DataFrame:
+    """The frame with the rows of a document together, documents in order.  Shuffled
+    and sorted are the rows that it is a projection of: the text is made behind it."""
+    rows, on = (fr.df, list(root_refs)) if fr.source is None else (fr.source, [F.expr(fr.exprs[r]) for r in root_refs])
+    return rows.repartition(*on).sortWithinPartitions(*on)
+
+
+def _alike(source: str, paths: list[str]) -> list[list[str]]:
+    """The paths, those together whose frames are projections of the same rows."""
+    alike: dict[str, list[str]] = {}
+    for path in paths:
+        parts = FRAMES[source][path].parts
+        same = f"{parts[0].source} {parts[0].where} {parts[0].refs}"
+        alike.setdefault(same if len(parts) == 1 and not parts[0].distinct else path, []).append(path)
+    return list(alike.values())
+
+
 def documents(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """The export as nested documents.  A list that is a table of its own (an
     order's lines) is gathered per document, as a real document holds it; it is
-    as long as one document's list."""
+    as long as one document's list.  Lists of the same rows are gathered at once."""
     exp = land(spark, sf_dir, source)
     root = exp.frame("")
     docs = root.df
-    for path in [p for p in FRAMES[source] if p and "." not in p and p not in root.lists]:
-        fr = exp.frame(path)
-        own = [c for c in fr.df.columns if c not in fr.refs]
-        element = F.struct(*fr.refs, *own)
-        # shuffled first: gathering before it too would only sort what it cannot shrink
-        lists = fr.df.repartition(*root.refs).groupBy(*root.refs).agg(F.sort_array(F.collect_list(element)).alias("_l")).select(
-            *root.refs, F.transform("_l", lambda e: F.struct(*[e[c].alias(c) for c in own])).alias(path))
+    if root.source is not None:
+        docs = _by_document(root, root.refs).select(*[F.expr(e).alias(c) for c, e in root.exprs.items()])
+    for paths in _alike(source, [p for p in FRAMES[source] if p and "." not in p and p not in root.lists]):
+        frames = {p: exp.frame(p) for p in paths}
+        fr = frames[paths[0]]
+        own = {p: [c for c in x.df.columns if c not in x.refs] for p, x in frames.items()}
+
+        def made(x: Frame, c: str):
+            return (F.col(c) if x.source is None else F.expr(x.exprs[c])).alias(c)
+        rows = _by_document(fr, root.refs).select(*[made(fr, r) for r in fr.refs], *[
+            F.struct(*[made(x, c) for c in own[p]]).alias(p) for p, x in frames.items()])
+        lists = rows.groupBy(*root.refs).agg(F.sort_array(F.collect_list(F.struct(*fr.refs, *paths))).alias("_l")).select(
+            *root.refs, *[F.expr(f"transform(_l, e -> e.{p})").alias(p) for p in paths])
         docs = docs.join(lists, list(root.refs), "left")
     for path in [p for p in FRAMES[source] if p.count(".") == 1 and p.partition(".")[0] not in FRAMES[source]
                  and p.partition(".")[0] not in root.lists]:
@@ -865,7 +888,9 @@ def write_as_json(spark: SparkSession, sf_dir: str, source: str, envelope: bool
     path = f"{checkpoint_root(spark).rstrip('/')}/json/{source}-{uuid.uuid4().hex}"
     own = [c for c in docs.columns if not c.startswith("_ord")]
     if not envelope:
-        with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        # lists are gathered from sorted rows: a hash of documents would sort them again, as text
+        with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
+                      spark__sql__execution__useObjectHashAggregateExec="false"):
             docs.select(F.to_json(F.struct("_ord", *own)).alias("value")).write.option("compression", "gzip").text(path)
         return path
     part = F.lpad(F.floor(F.col("_ord") / ENVELOPE_DOCUMENTS).cast("string"), 12, "0")
