@@ -234,3 +234,17 @@ def test_lines_of_an_order_move_once_as_table_rows(spark, tmpdir_path):
     assert plan.count("RepartitionByExpression [l_orderkey") == 1
     moved = plan[plan.index("RepartitionByExpression [l_orderkey"):].split(" parquet\n")[0]
     assert "l_shipdate" in moved and "CASE" not in moved and "concat" not in moved
+
+
+@pytest.mark.parametrize("source, docs", [("order", ORDERS), ("legal_entity", LEGAL)])
+def test_lists_are_shuffled_with_what_the_table_reads(spark, tmpdir_path, source, docs):
+    from tradelake.plans.build import build_with_refs
+    from tradelake.plans.specs import PIPELINES
+    exp = land_json(spark, source, write_lines(os.path.join(tmpdir_path, "slim"), docs))
+    for name in PIPELINES[source]:
+        assert _rows(table(exp, name)) == _rows(table(exp, name, {})), name    # a memo: whole lists
+    if source == "order":
+        df, _ = build_with_refs(exp, "orders", carry=("order_products",), only="order_product_details")
+        element = df.schema["_list_order_products"].dataType.elementType
+        assert set(element.names) == {"product_unit_id", "external_id", "details"}
+        assert set(element["details"].dataType.elementType.names) == {"expiry_date", "card_code", "batch_number", "sold_quant"}

@@ -6,7 +6,9 @@ Plan per table (all DataFrame operators, planned by Catalyst):
 2. children (O12/O13): where the parent frame holds the child list, the list
    rides along with the parent row through the parent's filters and keep-first,
    and is exploded from the surviving row with the inherited (``^``) columns
-   beside it — no join.  A parent without keep-first makes this narrow.  Where
+   beside it — no join.  A parent without keep-first makes this narrow.  If no
+   other table is built from it, a list that is shuffled with its parent holds
+   only what the asked table reads.  Where
    the frames come from separate relational tables, an inner equi-join on the
    parent's reference columns does the same, on the rows a frame is a projection
    of where it gives them: the join then moves no text that is made from them;
@@ -23,8 +25,9 @@ The result keeps the reference columns and, on request, the child lists;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ..operators import clean as C
 from ..operators.dedup import distinct_rows, drop_null_keys, keep_first
@@ -92,16 +95,46 @@ def _steps(parent: TableSpec, child: TableSpec) -> list[str]:
     return child.path[len(parent.path):].lstrip(".").split(".")
 
 
-def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo) -> tuple[DataFrame, tuple[str, ...]]:
+def _needs(name: str) -> dict[str, set[str]]:
+    """By nesting path, the fields that table ``name`` and its parents read for it."""
+    spec = SPEC_BY_NAME[name]
+    needs = {spec.path: set(spec.read_fields)}
+    while spec.parent:
+        child, spec = spec, SPEC_BY_NAME[spec.parent]
+        read = spec.read_fields if spec.distinct else [f for f in spec.read_fields if f not in spec.own]
+        needs.setdefault(spec.path, set()).update(read, spec.truthy, spec.dropna, spec.key or (), child.inherited,
+                                                  {"state"} if spec.active or spec.active_or_blank else ())
+    return needs
+
+
+def _slim(column: Column, element: StructType, path: str, needs: dict[str, set[str]]) -> Column:
+    """The list ``column`` of ``element``s at ``path`` with the fields and lists that
+    are needed; NULL elements keep their places."""
+    def of(e: Column) -> Column:
+        kept = []
+        for f in element.fields:
+            below = f"{path}.{f.name}"
+            if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, StructType):
+                if any(p == below or p.startswith(f"{below}.") for p in needs):
+                    kept.append(_slim(e[f.name], f.dataType.elementType, below, needs).alias(f.name))
+            elif f.name in needs.get(path, ()):
+                kept.append(e[f.name].alias(f.name))
+        return F.when(e.isNotNull(), F.struct(*kept)) if kept else e
+    return F.transform(column, of)
+
+
+def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo, only: str | None = None
+          ) -> tuple[DataFrame, tuple[str, ...]]:
     """Raw rows of the table's frame whose parent survived: references, raw
-    fields, inherited columns and the lists ``carry`` (as ``_list_<name>``)."""
+    fields, inherited columns and the lists ``carry`` (as ``_list_<name>``), with
+    what table ``only`` reads of them if it is the only one that is built."""
     first_field = spec.first_of[1] if spec.first_of else None
     fields = [f for f in spec.read_fields if f not in spec.inherited and f != first_field]
     if spec.parent:
         parent = SPEC_BY_NAME[spec.parent]
         steps = _steps(parent, spec)
         if steps[0] in export.frame(parent.path).lists:
-            pdf, prefs = build_with_refs(export, spec.parent, memo, carry=(steps[0],))
+            pdf, prefs = build_with_refs(export, spec.parent, memo, carry=(steps[0],), only=only)
             depth = path_depth(parent.path)
             df = _explode(pdf, [*prefs, *spec.inherited], steps, depth)
             refs = (*prefs, *[f"_p{depth + n}" for n in range(1, len(steps) + 1)])
@@ -118,8 +151,13 @@ def _rows(export: Export, spec: TableSpec, carry: tuple[str, ...], memo) -> tupl
         return _source_rows(export, spec, fields, carry, memo)
     refs, raw = fr.refs, fr.df
     have = set(raw.columns)
+
+    def carried(c: str) -> Column:
+        if only is None or not loses_rows(spec):
+            return F.col(c)
+        return _slim(F.col(c), raw.schema[c].dataType.elementType, f"{spec.path}.{c}".lstrip("."), _needs(only))
     cols = [*refs, *[_field(raw, f, have) for f in fields],
-            *[F.col(c).alias(f"_list_{c}") for c in carry]]
+            *[carried(c).alias(f"_list_{c}") for c in carry]]
     if spec.first_of and spec.first_of[0] in fr.lists:               # O15, in the row
         child, fname = spec.first_of
         element = F.get(F.filter(F.col(child), lambda e: e.isNotNull()), F.lit(0))
@@ -172,12 +210,12 @@ def _document_refs(spec: TableSpec, refs: tuple[str, ...]) -> tuple[str, ...]:
     return refs[: ref_width(refs, 0)] if set(parent.key) <= held else ()
 
 
-def filtered_rows(export: Export, name: str, carry: tuple[str, ...] = (), memo=None
+def filtered_rows(export: Export, name: str, carry: tuple[str, ...] = (), memo=None, only: str | None = None
                   ) -> tuple[DataFrame, tuple[str, ...]]:
     """Raw rows of table ``name`` after the parent and the row filters, before
     any coercion: the values that the table's casts see."""
     spec: TableSpec = SPEC_BY_NAME[name]
-    df, refs = _rows(export, spec, carry, {} if memo is None else memo)
+    df, refs = _rows(export, spec, carry, {} if memo is None else memo, only)
     # -- row filters on raw text
     cond = F.lit(True)
     if spec.active:
@@ -192,18 +230,19 @@ def filtered_rows(export: Export, name: str, carry: tuple[str, ...] = (), memo=N
 
 
 def build_with_refs(export: Export, name: str, memo: dict[str, tuple[DataFrame, tuple[str, ...]]] | None = None,
-                    carry: tuple[str, ...] = (), seen: Observation | None = None
+                    carry: tuple[str, ...] = (), seen: Observation | None = None, only: str | None = None
                     ) -> tuple[DataFrame, tuple[str, ...]]:
     """Build table ``name`` from ``export``; returns (DataFrame incl. refs and
     the lists ``carry``, refs).  ``memo`` holds tables that are already built
     (or written), with all lists they were built with.  ``seen`` observes the
-    table's rejects (D2) in the pass that builds it."""
+    table's rejects (D2) in the pass that builds it.  ``only`` is the table that
+    ``memo`` serves, if there is no other; the lists then hold what it reads."""
     memo = {} if memo is None else memo
     lists = [f"_list_{c}" for c in carry]
     if name in memo and set(lists) <= set(memo[name][0].columns):
         return memo[name]
     spec: TableSpec = SPEC_BY_NAME[name]
-    df, refs = filtered_rows(export, name, carry, memo)
+    df, refs = filtered_rows(export, name, carry, memo, only)
     ints = cast_columns(name)
     if seen is not None and ints:
         df = df.observe(seen, *[F.count_if(C.int_reject(c)).alias(c) for c in ints])
@@ -250,7 +289,7 @@ def output_columns(name: str) -> list[str]:
 
 def table(export: Export, name: str, memo=None) -> DataFrame:
     """Table ``name`` as written: business columns only, in reference order."""
-    df, _ = build_with_refs(export, name, memo)
+    df, _ = build_with_refs(export, name, memo, only=name if memo is None else None)
     return df.select(*output_columns(name))
 
 
