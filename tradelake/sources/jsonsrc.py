@@ -40,8 +40,11 @@ def _reader(spark: SparkSession, schema: StructType):
 
 
 def read_lines(spark: SparkSession, source: str, path: str | list[str]) -> DataFrame:
-    """JSON Lines with a declared nested schema."""
+    """JSON Lines with a declared nested schema.  Spark does not read a file
+    for its broken lines alone, so their text comes with (nothing of) ``_ord``."""
     raw = _reader(spark, line_schema(source)).json(path)
+    nothing = F.substring(F.coalesce(F.col("_ord").cast("string"), F.lit("")), 0, 0)
+    raw = raw.withColumn(CORRUPT, F.concat(F.col(CORRUPT), nothing))
     return raw.select("*", F.col("_metadata.file_path").alias("_ord_f"),
                       F.col("_metadata.file_block_start").alias("_ord_g"))
 
